@@ -69,6 +69,8 @@ MODEL_FEATURES = [f for f in FEATURES if f not in LEAKAGE]
 SPLIT_COLUMNS = FEATURES + ["label", "congestion_label", *KEY, "x", "y"]
 
 SPLIT_SHARES = {"train": 0.70, "val": 0.15, "test": 0.15}
+# Underscore: hidden from partition discovery next to the split folders.
+FEATURE_LIST = "_feature_cols.txt"
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
 REASONS = {
