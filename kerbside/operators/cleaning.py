@@ -24,10 +24,12 @@ def deduplicate(df: DataFrame, order_by: list[str] | None = None,
     """Keep the first row of each key by ``order_by`` (default: all other columns).
 
     Filtering ``row_number() = 1`` lets Spark cut every key to one row per map task before
-    the shuffle, so a key with very many copies stays cheap.
+    the shuffle, so a key with very many copies stays cheap. The keys are listed in reverse
+    because rows are sorted by them: vehicle ids tell rows apart sooner than session ids,
+    which share a long prefix.
     """
     order = order_by or _other_columns(df, keys)
-    first = Window.partitionBy(*keys).orderBy(*order)
+    first = Window.partitionBy(*reversed(keys)).orderBy(*order)
     return (df.withColumn("_rn", F.row_number().over(first))
             .where("_rn = 1").drop("_rn"))
 
@@ -95,7 +97,7 @@ def drop_report(df: DataFrame, order_by: list[str] | None = None, accel_max: flo
     per_key = (
         marked.select("_bad", *keys, F.struct(*order).alias("_order"),
                       first_failure(accel_max, speed_max).alias("_failure"))
-        .groupBy("_bad", *KEY)
+        .groupBy(*reversed(KEY), "_bad")
         .agg(F.count(F.lit(1)).alias("n"), F.min_by("_failure", "_order").alias("failure")))
     usable = ~F.col("_bad")
     totals = per_key.agg(

@@ -9,13 +9,10 @@ adaptive planner decides from measured size.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions import columns as C
 from kerbside.operators.prefix import order_statistics, running_totals, value_counts
-from kerbside.operators.quality import pearson
 from kerbside.schema import KEY, LABELS
 
 
@@ -241,19 +238,43 @@ def ecdf(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Long symmetric Pearson matrix, every pair computed in one aggregate."""
-    pairs = list(combinations(columns, 2))
-    one = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-                 *[pearson(c, c).alias(f"d{i}") for i, c in enumerate(columns)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in ((a, b), (b, a)):
-            cells.append(F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"),
-                                  F.round(f"r{i}", 6).alias("r")))
-    for i, c in enumerate(columns):
-        cells.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"),
-                              F.round(f"d{i}", 6).alias("r")))
-    return one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    """Long symmetric Pearson matrix over pairwise present values.
+
+    Rows are grouped by which columns are missing (few patterns occur) and each group keeps
+    plain sums of centred values and products. A pair adds up the groups that have both
+    columns, so the work per row is one product per pair, not one correlation state.
+    """
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    numbers = df.select(*[F.when(C.present(c), F.col(c).cast("double")).alias(f"v{i}")
+                          for i, c in enumerate(columns)])
+    centres = numbers.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(len(columns))])
+    mask = sum((F.col(f"v{i}").isNotNull().cast("int") * (1 << i)
+                for i in range(1, len(columns))), F.col("v0").isNotNull().cast("int"))
+    centred = numbers.select(mask.alias("mask"), *[
+        F.coalesce(F.col(f"v{i}") - centres.select(f"m{i}").scalar(), F.lit(0.0)).alias(f"c{i}")
+        for i in range(len(columns))])
+    sums = centred.groupBy("mask").agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.sum(f"c{i}").alias(f"s{i}") for i in range(len(columns))],
+        *[F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"p{i}_{j}") for i, j in pairs])
+    # From here on there is one row per pattern of missing columns.
+    per_pair = F.array(*[
+        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"),
+                 F.lit((1 << i) | (1 << j)).alias("need"), F.col(f"s{i}").alias("sa"),
+                 F.col(f"s{j}").alias("sb"), F.col(f"p{i}_{i}").alias("aa"),
+                 F.col(f"p{j}_{j}").alias("bb"), F.col(f"p{i}_{j}").alias("ab"))
+        for i, j in pairs])
+    long = (sums.select("mask", "n", F.explode(per_pair).alias("p")).select("mask", "n", "p.*")
+            .where(F.col("mask").bitwiseAND(F.col("need")) == F.col("need"))
+            .groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "aa", "bb", "ab")]))
+    n = F.col("n")
+    covariance = F.col("ab") - F.col("sa") * F.col("sb") / n
+    spread = F.sqrt((F.col("aa") - F.col("sa") * F.col("sa") / n)
+                    * (F.col("bb") - F.col("sb") * F.col("sb") / n))
+    r = F.round(F.try_divide(covariance, spread), 6)
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return (long.select(F.explode(both).alias("k"), r.alias("r")).select("k.a", "k.b", "r"))
 
 
 def summary_stats(df: DataFrame, columns: list[str]) -> DataFrame:

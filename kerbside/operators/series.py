@@ -147,9 +147,9 @@ def label_transitions(df: DataFrame, block: int = BLOCK) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     code = C.label_code("congestion_label")
     runs = runs.withColumns({"_block": F.floor(F.col("tick") / block), "code": code})
-    trail = ["session_id", "vehicle_id"]
+    trail = ["vehicle_id", "session_id"]  # sorted by: the sooner-telling column first
     order = ["tick", "code", "congestion_label"]
-    inside = Window.partitionBy(*trail, "_block").orderBy(*order)
+    inside = Window.partitionBy("vehicle_id", "_block", "session_id").orderBy(*order)
     linked = runs.withColumns({"next": F.lead("code").over(inside),
                                "_first": F.row_number().over(inside) == 1})
     ends = linked.groupBy(*trail, "_block").agg(

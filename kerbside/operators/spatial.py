@@ -159,10 +159,12 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
     dx, dy = F.col("_ax") - F.col("x"), F.col("_ay") - F.col("y")
     near = (F.sqrt(dx * dx + dy * dy) <= radius) & (
         ~F.col("_own") | (F.col("_a") < F.col(vehicle)))
-    matches = (seekers.join(located.hint("merge"), [*frame, "_cx", "_cy"]).where(near)
+    # Join columns are sorted by in this order: cells tell rows apart sooner than sessions.
+    cell = ["_cx", "_cy", *reversed(frame)]
+    matches = (seekers.join(located.hint("merge"), cell).where(near)
                .select(*frame, F.explode(F.array("_a", vehicle)).alias(vehicle))
                .groupBy(*frame, vehicle).agg(F.count(F.lit(1)).alias("_n")))
     return (df.select(*frame, vehicle)
-            .join(matches.hint("merge"), [*frame, vehicle], "left")
+            .join(matches.hint("merge"), [vehicle, *reversed(frame)], "left")
             .select(*frame, vehicle, F.coalesce("_n", F.lit(0)).cast("int")
                     .alias("traffic_density")))

@@ -57,21 +57,23 @@ def split_report(df: DataFrame) -> DataFrame:
     """Rows per split and label with subtotals (null = all) and share of the whole."""
     counts = df.rollup("split", "label").agg(F.count(F.lit(1)).alias("n_rows"),
                                              F.grouping_id().alias("_level"))
-    whole = counts.where("_level = 3").select("n_rows").scalar()
-    per_split = counts.where("_level = 1").select("split", F.col("n_rows").alias("_split_rows"))
-    return (counts.join(F.broadcast(per_split), "split", "left")  # three rows
-            .select("split", "label", "n_rows", F.round(100.0 * F.col("n_rows") / whole, 6)
-                    .alias("pct_of_all"),
-                    F.round(F.try_divide(100.0 * F.col("n_rows"), F.col("_split_rows")), 6)
-                    .alias("pct_of_split")))
+    # The windows run over the rolled-up table: splits times labels, plus subtotals.
+    whole = F.max(F.when(F.col("_level") == 3, F.col("n_rows"))).over(Window.partitionBy())
+    per_split = F.max(F.when(F.col("_level") == 1, F.col("n_rows"))).over(
+        Window.partitionBy("split"))
+    return counts.select(
+        "split", "label", "n_rows",
+        F.round(100.0 * F.col("n_rows") / whole, 6).alias("pct_of_all"),
+        F.when(F.col("split").isNotNull(),
+               F.round(F.try_divide(100.0 * F.col("n_rows"), per_split), 6)).alias("pct_of_split"))
 
 
 def class_weights(df: DataFrame) -> DataFrame:
     """Balanced weight n / (k * n_c) per label."""
     counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
-    whole = counts.agg(F.sum("n_rows").alias("n"), F.count(F.lit(1)).alias("k"))
-    return counts.select("label", "n_rows", (whole.select("n").scalar() / (
-        whole.select("k").scalar() * F.col("n_rows"))).alias("weight"))
+    every = Window.partitionBy()  # over one row per label
+    return counts.select("label", "n_rows", (F.sum("n_rows").over(every) / (
+        F.count(F.lit(1)).over(every) * F.col("n_rows"))).alias("weight"))
 
 
 def add_class_weight(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import columns as C
 from kerbside.operators import attribution, evaluate, features, ml, score
 from kerbside.plans.cleaning import KEYS, OBS_LIST, cleaned
-from kerbside.plans.modelling import _FULL, rule_scores, split_features
+from kerbside.plans.modelling import _FULL, _scored_test, split_features
 from kerbside.plans.registry import query
 from kerbside.plans.tables import observations, observations_over, plain, read_table, sql
 from kerbside.schema import FEATURES, KEY, METRICS, MODEL_FEATURES, OBS_COLUMNS, SPLIT_COLUMNS
@@ -100,8 +100,7 @@ def feature_list(spark, sf_dir):
                              **_FULL))
 def comparison_csv(spark, sf_dir):
     path = scratch_path(spark, "comparison")
-    scored = rule_scores(split_features(spark, sf_dir).where("split = 'test'"))
-    sinks.write_comparison(scored.transform(evaluate.metrics), path)
+    sinks.write_comparison(_scored_test(spark, sf_dir).transform(evaluate.metrics), path)
     return readers.read_comparison(spark, path)
 
 
@@ -115,9 +114,10 @@ def training_table(spark, sf_dir):
 
 def _evaluated(scored, name):
     """Validation and test metrics of one model."""
-    named = scored.where("split <> 'train'").withColumn("model", F.concat_ws(
-        " / ", F.lit(name), "split")).withColumn("prediction", C.best_class("probability"))
-    return named.transform(evaluate.metrics)
+    named = scored.where("split <> 'train'").select(
+        F.concat_ws(" / ", F.lit(name), "split").alias("model"), "label", "probability",
+        C.best_class("probability").alias("prediction"))
+    return written(named, "scored").transform(evaluate.metrics)
 
 
 def fit_all(table, trees=20, depth=8, rounds=10):
@@ -163,7 +163,7 @@ def model_comparison_fitted(spark, sf_dir):
                else score.add_probability(test, model))
         one = one.select(F.lit(name).alias("model"), "label", "probability")
         scored = one if scored is None else scored.unionByName(one)
-    return (scored.withColumn("prediction", C.best_class("probability"))
+    return (written(scored.withColumn("prediction", C.best_class("probability")), "scored")
             .transform(evaluate.metrics).transform(evaluate.comparison))
 
 

@@ -10,6 +10,7 @@ from kerbside.plans.cleaning import KEYS, cleaned
 from kerbside.plans.registry import query
 from kerbside.plans.tables import ORDER, actors, observations, sql
 from kerbside.schema import REASONS
+from kerbside.sources.scratch import written
 
 # --- snapshots -------------------------------------------------------------------------
 
@@ -215,7 +216,9 @@ def rule_scores(df):
 
 
 def _scored_test(spark, sf_dir):
-    return rule_scores(split_features(spark, sf_dir).where("split = 'test'"))
+    """Scored test rows as a stored table: the evaluators read them more than once."""
+    scored = rule_scores(split_features(spark, sf_dir).where("split = 'test'"))
+    return written(scored.select("model", "label", "prediction", "probability"), "scored")
 
 
 @query("eval_metrics", sql("feat", "SELECT * FROM metrics", **_FULL))

@@ -33,11 +33,13 @@ def write_splits(df: DataFrame, directory: str, files: int | None = None) -> Non
     """Write train, val and test folders and the feature list next to them.
 
     One pass: the split column becomes the folder, ``split=train`` and so on. ``files`` bounds
-    the number of tasks for small outputs; by default rebalancing picks the file count.
+    the number of tasks for small outputs; by default every task of the incoming plan, which
+    adaptive execution has sized, writes its own three files and nothing is shuffled again.
     """
     base = directory.rstrip("/")
     out = df.select(*SPLIT_COLUMNS, "split")
-    out = out.hint("rebalance", "split") if files is None else out.coalesce(files)
+    if files is not None:
+        out = out.coalesce(files)
     out.write.mode("overwrite").partitionBy("split").parquet(base)
     write_feature_list(df.sparkSession, f"{base}/{FEATURE_LIST}")
 
