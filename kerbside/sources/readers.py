@@ -92,7 +92,7 @@ def read_feature_list(spark: SparkSession, path: str) -> list[str]:
         return []
     lines = spark.read.text(path, wholetext=True).where(F.length("value") > 0)
     rows = lines.select(F.explode(F.filter(
-        F.transform(F.split("value", r"\r?\n"), F.trim), lambda s: s != "")).alias("f"))
+        F.transform(F.split("value", r"\r?\n"), lambda s: F.trim(s)), lambda s: s != "")).alias("f"))
     return [r.f for r in rows.collect()]
 
 
