@@ -95,13 +95,14 @@ def proximity_density(spark, sf_dir):
     one="""SELECT session_id, CAST((raw_tick - 100) // 5 AS INT) AS tick, vehicle_id, x, y, yaw,
         sqrt(vx * vx + vy * vy + vz * vz) * 3.6e0 AS v, sqrt(ax * ax + ay * ay + az * az) AS acc
       FROM (SELECT *, row_number() OVER (PARTITION BY session_id, raw_tick, vehicle_id
-        ORDER BY row_a, row_b) AS rn FROM actors)
+        ORDER BY row_a, row_b, ax, started) AS rn FROM actors)
       WHERE rn = 1 AND raw_tick >= 100 AND raw_tick % 5 = 0 AND wheels >= 4 AND x IS NOT NULL
         AND y IS NOT NULL""",
     pos="SELECT session_id, tick, vehicle_id, x, y FROM one", near=_NEAR))
 def snapshot_observations(spark, sf_dir):
     from kerbside.operators.cleaning import deduplicate
-    states = actors(spark, sf_dir).transform(deduplicate, ORDER,
+    # Here the row numbers alone do not tell all copies apart.
+    states = actors(spark, sf_dir).transform(deduplicate, [*ORDER, "ax", "started"],
                                              ["session_id", "raw_tick", "vehicle_id"])
     return states.transform(snapshot.observe).select(
         "session_id", "tick", "vehicle_id", "speed", "acceleration", "x", "y", "yaw",
