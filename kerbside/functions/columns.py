@@ -35,6 +35,12 @@ def clip(c: str | Column, lo: float | None = None, hi: float | None = None) -> C
     return out
 
 
+def steady(c: str | Column, digits: int) -> Column:
+    """Round for output. Rounding to nine digits first removes the noise that the order of a
+    floating-point sum leaves, so a tie falls the same way on any partitioning."""
+    return F.round(F.round(_col(c), 9), digits)
+
+
 # --- bins ------------------------------------------------------------------------------
 
 def ordinal_bin(c: str | Column, edges: list[float]) -> Column:

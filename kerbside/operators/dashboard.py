@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kerbside.functions import columns as C
+
 ALL = "All"
 
 
@@ -46,12 +48,12 @@ def kpi(df: DataFrame) -> DataFrame:
         F.count_if(high).alias("h"))
     return part.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("session_id").alias("n_sessions"),
-        F.round(F.try_divide(F.sum("s"), F.sum("c")), 1).alias("avg_speed"),
-        F.round(F.try_divide(100.0 * F.sum("h"), F.sum("n")), 1).alias("pct_high"))
+        C.steady(F.try_divide(F.sum("s"), F.sum("c")), 1).alias("avg_speed"),
+        C.steady(F.try_divide(100.0 * F.sum("h"), F.sum("n")), 1).alias("pct_high"))
 
 
 def session_summary(df: DataFrame) -> DataFrame:
     return (df.where(F.col("session_id").isNotNull()).groupBy("session_id")
-            .agg(F.count("speed").alias("n_rows"), F.round(F.avg("speed"), 2).alias("avg_speed"),
-                 F.round(F.avg("traffic_density"), 2).alias("avg_density"),
-                 F.round(_share_high(), 2).alias("pct_high")))
+            .agg(F.count("speed").alias("n_rows"), C.steady(F.avg("speed"), 2).alias("avg_speed"),
+                 C.steady(F.avg("traffic_density"), 2).alias("avg_density"),
+                 C.steady(_share_high(), 2).alias("pct_high")))

@@ -87,10 +87,10 @@ def histogram(df: DataFrame, value: str | Column, bins: int | Column, by: list[s
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     count = F.coalesce("n", F.lit(0))
     return frame.join(filled, [*by, "bin"], "left").select(
-        *by, "bin", F.round(F.col("lo") + F.col("bin") * width, 6).alias("bin_lo"),
-        F.round(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("bin_hi"),
+        *by, "bin", C.steady(F.col("lo") + F.col("bin") * width, 6).alias("bin_lo"),
+        C.steady(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("bin_hi"),
         count.alias("n_rows"),
-        F.round(count / (F.col("total") * width), 6).alias("density"))
+        C.steady(count / (F.col("total") * width), 6).alias("density"))
 
 
 def edge_histogram(df: DataFrame, value: Column, edges: list[float]) -> DataFrame:
@@ -136,8 +136,8 @@ def kernel_density(df: DataFrame, by: str, value: str | Column, lo: float, hi: f
             .select(by, "point", "total", "h",
                     (F.col("n") * C.normal_kernel((at - F.col("value")) / F.col("h"))).alias("w"))
             .groupBy(by, "point", "total", "h").agg(F.sum("w").alias("w"))
-            .select(by, "point", F.round(at, 6).alias("at"),
-                    F.round(F.col("w") / (F.col("total") * F.col("h")), 6).alias("density")))
+            .select(by, "point", C.steady(at, 6).alias("at"),
+                    C.steady(F.col("w") / (F.col("total") * F.col("h")), 6).alias("density")))
 
 
 # --- category shares -------------------------------------------------------------------
@@ -154,7 +154,7 @@ def label_shares(df: DataFrame, by: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(F.col("congestion_label") == l).alias(f"n_{l.lower()}") for l in LABELS])
     return counted.select("*", *[
-        F.round(100.0 * F.col(f"n_{l.lower()}") / F.col("n_rows"), 6).alias(f"pct_{l.lower()}")
+        C.steady(100.0 * F.col(f"n_{l.lower()}") / F.col("n_rows"), 6).alias(f"pct_{l.lower()}")
         for l in LABELS])
 
 
@@ -201,21 +201,21 @@ def box_stats(df: DataFrame, by: list[str], value: str | Column, min_rows: int =
                "whisker_lo": F.col("whisker_lo"), "whisker_hi": F.col("whisker_hi"),
                "notch_lo": F.col("median") - half_notch, "notch_hi": F.col("median") + half_notch,
                "min_value": F.col("min_value"), "max_value": F.col("max_value")}
-    return grouped.select(*by, "n_rows", *[F.round(v, 6).alias(k) for k, v in numbers.items()],
+    return grouped.select(*by, "n_rows", *[C.steady(v, 6).alias(k) for k, v in numbers.items()],
                           "n_outliers")
 
 
 def medians(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
     return (order_statistics(value_counts(df, by, value), by, {"median": 0.5})
-            .select(*by, F.col("n").alias("n_rows"), F.round("median", 6).alias("median")))
+            .select(*by, F.col("n").alias("n_rows"), C.steady("median", 6).alias("median")))
 
 
 def mean_and_median(df: DataFrame, value: str | Column) -> DataFrame:
     counts = value_counts(df, [], value)
     means = counts.agg((F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("m"))
     return (order_statistics(counts, [], {"median": 0.5})
-            .select(F.col("n").alias("n_rows"), F.round(means.scalar(), 6).alias("mean"),
-                    F.round("median", 6).alias("median")))
+            .select(F.col("n").alias("n_rows"), C.steady(means.scalar(), 6).alias("mean"),
+                    C.steady("median", 6).alias("median")))
 
 
 def mean_and_std(df: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -225,16 +225,16 @@ def mean_and_std(df: DataFrame, by: list[str], value: str) -> DataFrame:
         known = known.where(F.col(b).isNotNull())
     number = F.when(C.present(value), F.col(value).cast("double"))
     return known.groupBy(*by).agg(
-        F.count(number).alias("n_rows"), F.round(F.avg(number), 6).alias("mean"),
-        F.round(F.stddev_samp(number), 6).alias("std"))
+        F.count(number).alias("n_rows"), C.steady(F.avg(number), 6).alias("mean"),
+        C.steady(F.stddev_samp(number), 6).alias("std"))
 
 
 def ecdf(df: DataFrame, by: list[str], value: str | Column) -> DataFrame:
     """Empirical curve y = (i - 1) / (n - 1), one point per distinct value (its last i)."""
     ranked = running_totals(value_counts(df, by, value), by, "value", ["n"])
     y = F.try_divide((F.col("n_before") + F.col("n") - 1).cast("double"), F.col("n_total") - 1)
-    return ranked.select(*by, F.round("value", 6).alias("value"), F.col("n").alias("n_rows"),
-                         F.round(F.coalesce(y, F.lit(0.0)), 6).alias("cumulative"))
+    return ranked.select(*by, C.steady("value", 6).alias("value"), F.col("n").alias("n_rows"),
+                         C.steady(F.coalesce(y, F.lit(0.0)), 6).alias("cumulative"))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -271,7 +271,7 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     covariance = F.col("ab") - F.col("sa") * F.col("sb") / n
     spread = F.sqrt((F.col("aa") - F.col("sa") * F.col("sa") / n)
                     * (F.col("bb") - F.col("sb") * F.col("sb") / n))
-    r = F.round(F.try_divide(covariance, spread), 6)
+    r = C.steady(F.try_divide(covariance, spread), 6)
     both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
         F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
     return (long.select(F.explode(both).alias("k"), r.alias("r")).select("k.a", "k.b", "r"))
@@ -285,9 +285,9 @@ def summary_stats(df: DataFrame, columns: list[str]) -> DataFrame:
         aggregates += [F.avg(v).alias(f"{c}_mean"), F.stddev_samp(v).alias(f"{c}_std"),
                        F.min(v).alias(f"{c}_min"), F.max(v).alias(f"{c}_max")]
         lines.append(F.struct(
-            F.lit(c).alias("column_name"), F.round(f"{c}_mean", 6).alias("mean"),
-            F.round(f"{c}_std", 6).alias("stddev"), F.round(f"{c}_min", 6).alias("min_value"),
-            F.round(f"{c}_max", 6).alias("max_value")))
+            F.lit(c).alias("column_name"), C.steady(f"{c}_mean", 6).alias("mean"),
+            C.steady(f"{c}_std", 6).alias("stddev"), C.steady(f"{c}_min", 6).alias("min_value"),
+            C.steady(f"{c}_max", 6).alias("max_value")))
     return (df.agg(*aggregates).select(F.explode(F.array(*lines)).alias("r")).select("r.*"))
 
 

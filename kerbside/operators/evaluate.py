@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kerbside.functions import columns as C
 from kerbside.operators.prefix import running_totals
 from kerbside.schema import LABELS, METRICS
 
@@ -46,7 +47,7 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
     """Nine cells per model, with percent of the actual class."""
     lines = [F.struct(F.lit(LABELS[i]).alias("actual"), F.lit(LABELS[j]).alias("predicted"),
                       F.col(f"c{i}{j}").alias("n_rows"),
-                      F.round(100.0 * _ratio(F.col(f"c{i}{j}"), _actual(i)), 6).alias("pct"))
+                      C.steady(100.0 * _ratio(F.col(f"c{i}{j}"), _actual(i)), 6).alias("pct"))
              for i in CLASSES for j in CLASSES]
     return (confusion_counts(scored).select("model", F.explode(F.array(*lines)).alias("r"))
             .select("model", "r.*"))
@@ -105,10 +106,10 @@ def roc_curve(scored: DataFrame) -> DataFrame:
     """Points of each class curve from the highest score down, starting at (0, 0)."""
     ranked = running_totals(_score_counts(scored), ["model", "class"], "score", ["pos", "neg"])
     points = ranked.select(
-        "model", "class", F.round("score", 6).alias("threshold"),
-        F.round(F.try_divide((F.col("neg_total") - F.col("neg_before")).cast("double"),
+        "model", "class", C.steady("score", 6).alias("threshold"),
+        C.steady(F.try_divide((F.col("neg_total") - F.col("neg_before")).cast("double"),
                              F.col("neg_total")), 6).alias("fpr"),
-        F.round(F.try_divide((F.col("pos_total") - F.col("pos_before")).cast("double"),
+        C.steady(F.try_divide((F.col("pos_total") - F.col("pos_before")).cast("double"),
                              F.col("pos_total")), 6).alias("tpr"))
     start = ranked.select("model", "class").distinct().select(
         "model", "class", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
@@ -127,7 +128,7 @@ def metrics(scored: DataFrame) -> DataFrame:
     base = confusion_counts(scored).select(
         "model", accuracy.alias("accuracy"), *[v.alias(m) for m, v in weighted.items()])
     return base.join(roc_auc(scored), "model").select(
-        "model", *[F.round(m, 6).alias(m) for m in METRICS])
+        "model", *[C.steady(m, 6).alias(m) for m in METRICS])
 
 
 def comparison(per_model: DataFrame) -> DataFrame:

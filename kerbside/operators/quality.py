@@ -71,7 +71,7 @@ def rows_by_town_and_weather(df: DataFrame) -> DataFrame:
     totals = long.groupBy("dimension").agg(F.sum("n_rows").alias("_total"))
     return (long.join(F.broadcast(totals), "dimension")  # two rows
             .select("dimension", "name", "n_rows",
-                    F.round(100.0 * F.col("n_rows") / F.col("_total"), 6).alias("pct")))
+                    C.steady(100.0 * F.col("n_rows") / F.col("_total"), 6).alias("pct")))
 
 
 def missing_values(df: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def missing_values(df: DataFrame) -> DataFrame:
     return (one.select("_rows", _records([
                 F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_missing"))
                 for c in columns]).alias("r"))
-            .select("r.*", F.round(F.try_divide(100.0 * F.col("r.n_missing"), F.col("_rows")), 6)
+            .select("r.*", C.steady(F.try_divide(100.0 * F.col("r.n_missing"), F.col("_rows")), 6)
                     .alias("pct"))
             .where("n_missing > 0"))
 
@@ -107,8 +107,8 @@ def value_ranges(df: DataFrame, ranges: dict[str, tuple[float, float]] = RANGES)
                        F.avg(ok).alias(f"{c}_mean"),
                        F.count_if((ok < lo) | (ok > hi)).alias(f"{c}_bad")]
         lines.append(F.struct(
-            F.lit(c).alias("column_name"), F.round(f"{c}_min", 6).alias("min_value"),
-            F.round(f"{c}_max", 6).alias("max_value"), F.round(f"{c}_mean", 6).alias("mean_value"),
+            F.lit(c).alias("column_name"), C.steady(f"{c}_min", 6).alias("min_value"),
+            C.steady(f"{c}_max", 6).alias("max_value"), C.steady(f"{c}_mean", 6).alias("mean_value"),
             F.col(f"{c}_bad").alias("n_out_of_range"),
             F.when(F.col(f"{c}_bad") == 0, "OK").otherwise("WARN").alias("status")))
     return df.agg(*aggregates).select(_records(lines).alias("r")).select("r.*")
@@ -134,12 +134,12 @@ def label_distribution(df: DataFrame) -> DataFrame:
         *[F.coalesce(F.sum(F.when(F.col("congestion_label") == l, F.col("n"))), F.lit(0)).alias(l)
           for l in LABELS])
     share = F.try_divide(100.0 * F.col("_least"), F.col("_total"))
-    return (one.select("_total", F.round(share, 6).alias("min_share_pct"),
+    return (one.select("_total", C.steady(share, 6).alias("min_share_pct"),
                        F.when(share >= 5, "OK").otherwise("WARN").alias("balance"),
                        _records([F.struct(F.lit(i).alias("label"), F.lit(l).alias("label_name"),
                                           F.col(l).alias("n_rows"))
                                  for i, l in enumerate(LABELS)]).alias("r"))
-            .select("r.*", F.round(F.try_divide(100.0 * F.col("r.n_rows"), F.col("_total")), 6)
+            .select("r.*", C.steady(F.try_divide(100.0 * F.col("r.n_rows"), F.col("_total")), 6)
                     .alias("pct"), "min_share_pct", "balance"))
 
 
@@ -148,8 +148,8 @@ def spatial_coverage(df: DataFrame, min_range: float = 100.0) -> DataFrame:
     return (df.where(F.col("town").isNotNull()).groupBy("town")
             .agg((F.max(ok["x"]) - F.min(ok["x"])).alias("x_range"),
                  (F.max(ok["y"]) - F.min(ok["y"])).alias("y_range"))
-            .select("town", F.round("x_range", 6).alias("x_range"),
-                    F.round("y_range", 6).alias("y_range"),
+            .select("town", C.steady("x_range", 6).alias("x_range"),
+                    C.steady("y_range", 6).alias("y_range"),
                     F.when((F.col("x_range") < min_range) | (F.col("y_range") < min_range), "WARN")
                     .otherwise("OK").alias("status")))
 
@@ -162,7 +162,7 @@ def pearson(a: str, b: str) -> Column:
 
 def speed_density_correlation(df: DataFrame) -> DataFrame:
     return (df.agg(pearson("speed", "traffic_density").alias("r"))
-            .select(F.round("r", 6).alias("pearson_r"),
+            .select(C.steady("r", 6).alias("pearson_r"),
                     F.when(F.col("r") < -0.05, "OK").when(F.col("r") > 0.1, "WARN")
                     .otherwise("INFO").alias("status")))
 
@@ -204,7 +204,7 @@ def verdict(df: DataFrame, min_total: int = MIN_TOTAL_ROWS, speed_max: float = S
     ]
     failed = F.filter(F.array(*[
         F.when(broken, F.struct(F.lit(i).alias("rule_no"), F.lit(name).alias("rule"),
-                                F.round(value.cast("double"), 6).alias("metric"),
+                                C.steady(value.cast("double"), 6).alias("metric"),
                                 F.lit("ACTION NEEDED").alias("verdict")))
         for i, (name, broken, value) in enumerate(rules, 1)]), lambda r: r.isNotNull())
     passed = F.array(F.struct(F.lit(0).alias("rule_no"), F.lit("all").alias("rule"),

@@ -35,12 +35,6 @@ def per_tick(df: DataFrame, **aggregates: Column) -> DataFrame:
             .agg(*[a.alias(name) for name, a in aggregates.items()]))
 
 
-def exact_mean(column: str) -> Column:
-    """Mean from a decimal sum (six digits): the same on any partitioning of the rows."""
-    return F.try_divide(F.sum(F.col(column).cast("decimal(18,6)")).cast("double"),
-                        F.count(column))
-
-
 def trailing_mean(df: DataFrame, by: list[str], order: str, values: list[str],
                   size: int = 5, block: int = BLOCK) -> DataFrame:
     """Mean of the current and the ``size - 1`` previous rows, null until ``size`` exist.
@@ -72,7 +66,7 @@ def label_shares_per_tick(df: DataFrame, size: int = 5) -> DataFrame:
         n: F.avg((F.col("congestion_label") == l).cast("double")) for n, l in zip(names, LABELS)})
     rolled = trailing_mean(shares, ["session_id"], "tick", names, size)
     return rolled.select("session_id", "tick", *[
-        F.round(100.0 * F.col(f"{n}_rolling"), 6).alias(f"pct_{n}") for n in names])
+        C.steady(100.0 * F.col(f"{n}_rolling"), 6).alias(f"pct_{n}") for n in names])
 
 
 def stationary_share(df: DataFrame, size: int = 5) -> DataFrame:
@@ -80,8 +74,8 @@ def stationary_share(df: DataFrame, size: int = 5) -> DataFrame:
     slow = F.coalesce(F.col("speed") < 1.0, F.lit(False)).cast("double")
     share = per_tick(df, pct_stationary=F.avg(slow) * 100.0)
     return (trailing_mean(share, ["session_id"], "tick", ["pct_stationary"], size)
-            .select("session_id", "tick", F.round("pct_stationary", 6).alias("pct_stationary"),
-                    F.round("pct_stationary_rolling", 6).alias("pct_rolling")))
+            .select("session_id", "tick", C.steady("pct_stationary", 6).alias("pct_stationary"),
+                    C.steady("pct_stationary_rolling", 6).alias("pct_rolling")))
 
 
 def speed_volatility(df: DataFrame, size: int = 5) -> DataFrame:
@@ -89,8 +83,8 @@ def speed_volatility(df: DataFrame, size: int = 5) -> DataFrame:
     speed = F.when(C.present("speed"), F.col("speed"))
     spread = per_tick(df, std=F.stddev_samp(speed))
     return (trailing_mean(spread, ["session_id"], "tick", ["std"], size)
-            .select("session_id", "tick", F.round("std", 6).alias("speed_std"),
-                    F.round("std_rolling", 6).alias("speed_std_rolling")))
+            .select("session_id", "tick", C.steady("std", 6).alias("speed_std"),
+                    C.steady("std_rolling", 6).alias("speed_std_rolling")))
 
 
 def tick_profile(df: DataFrame) -> DataFrame:
@@ -106,8 +100,8 @@ def tick_profile(df: DataFrame) -> DataFrame:
                           (-F.when(code < 0, 99).otherwise(code)).alias("p"))
     named = F.col("congestion_label").isNotNull()
     return partial.groupBy("session_id", "tick").agg(
-        F.round(F.try_divide(F.sum("s"), F.sum("c")), 6).alias("avg_speed"),
-        F.round(F.try_divide(F.sum("ds"), F.sum("dc")), 6).alias("avg_density"),
+        C.steady(F.try_divide(F.sum("s"), F.sum("c")), 6).alias("avg_speed"),
+        C.steady(F.try_divide(F.sum("ds"), F.sum("dc")), 6).alias("avg_density"),
         F.max_by(F.when(named, F.col("congestion_label")), F.when(named, preference))
         .alias("mode_label"))
 
@@ -130,7 +124,7 @@ def cumulative_rows(df: DataFrame) -> DataFrame:
     ranked = running_totals(sessions, [], "session_id", ["n"], F.substring("session_id", 1, 11))
     total = F.col("n_before") + F.col("n")
     return ranked.select("session_id", F.col("n").alias("n_rows"), total.alias("cumulative_rows"),
-                         F.round(total / 1e6, 6).alias("cumulative_millions"))
+                         C.steady(total / 1e6, 6).alias("cumulative_millions"))
 
 
 def label_transitions(df: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -174,6 +168,6 @@ def label_transitions(df: DataFrame, block: int = BLOCK) -> DataFrame:
         lines.append(F.struct(
             F.lit(LABELS[i]).alias("from_label"), F.lit(LABELS[j]).alias("to_label"),
             F.col(f"c{i}{j}").alias("n_pairs"),
-            F.round(F.coalesce(F.try_divide(100.0 * F.col(f"c{i}{j}"), total), F.lit(0.0)), 6)
+            C.steady(F.coalesce(F.try_divide(100.0 * F.col(f"c{i}{j}"), total), F.lit(0.0)), 6)
             .alias("pct")))
     return counted.select(F.explode(F.array(*lines)).alias("r")).select("r.*")

@@ -41,7 +41,7 @@ def grid_means(df: DataFrame, values: dict[str, str | Column], bins: int = 60,
     The grid spans each group's own extent. Cells without rows are absent.
     """
     by = by or []
-    means = [F.round(F.avg(F.when(C.present(f"_{n}"), F.col(f"_{n}"))), 6).alias(f"mean_{n}")
+    means = [C.steady(F.avg(F.when(C.present(f"_{n}"), F.col(f"_{n}"))), 6).alias(f"mean_{n}")
              for n in values]
     return (_cells(df, bins, by, values, bounded).groupBy(*by, "ix", "iy")
             .agg(F.count(F.lit(1)).alias("n_rows"), *means))
@@ -79,7 +79,7 @@ def smooth_grid(cells: DataFrame, by: list[str], bins: int, value: str = "n_rows
                .where(F.col("_t").between(0, bins - 1))
                .groupBy(*by, F.col("_t").alias(axis), other)
                .agg(F.sum(F.col("v") * F.col("_k.w")).alias("v")))
-    return out.select(*by, "ix", "iy", F.round("v", 6).alias("smoothed"))
+    return out.select(*by, "ix", "iy", C.steady("v", 6).alias("smoothed"))
 
 
 def hexbin(df: DataFrame, x: str | Column, y: str | Column, gridsize: int,
@@ -113,7 +113,7 @@ def hexbin(df: DataFrame, x: str | Column, y: str | Column, gridsize: int,
         F.when(near, F.rint("v")).otherwise(F.floor("v")).cast("int").alias("j"),
         *([] if value is None else ["_v"]))
     mean = [] if value is None else [
-        F.round(F.avg(F.when(C.present("_v"), F.col("_v"))), 6).alias("mean_value")]
+        C.steady(F.avg(F.when(C.present("_v"), F.col("_v"))), 6).alias("mean_value")]
     return cells.groupBy("lattice", "i", "j").agg(F.count(F.lit(1)).alias("n_rows"), *mean)
 
 
@@ -130,9 +130,9 @@ def hotspots(df: DataFrame, cell: int = 20, top: int = 10, by: list[str] | None
                     F.avg(F.coalesce(high, F.lit(False)).cast("double")).alias("h")))
     return (grouped.where(F.col("records") >= min_records)
             .orderBy(F.desc("h"), F.desc("records"), *by, "x_bin", "y_bin").limit(top)
-            .select(*by, "x_bin", "y_bin", "records", F.round("s", 1).alias("avg_speed"),
-                    F.round("d", 1).alias("avg_density"),
-                    F.round(F.col("h") * 100.0, 1).alias("pct_high")))
+            .select(*by, "x_bin", "y_bin", "records", C.steady("s", 1).alias("avg_speed"),
+                    C.steady("d", 1).alias("avg_density"),
+                    C.steady(F.col("h") * 100.0, 1).alias("pct_high")))
 
 
 def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kerbside.functions import columns as C
 from kerbside.operators.prefix import running_totals
 from kerbside.schema import KEY, SPLIT_SHARES
 
@@ -63,9 +64,9 @@ def split_report(df: DataFrame) -> DataFrame:
         Window.partitionBy("split"))
     return counts.select(
         "split", "label", "n_rows",
-        F.round(100.0 * F.col("n_rows") / whole, 6).alias("pct_of_all"),
+        C.steady(100.0 * F.col("n_rows") / whole, 6).alias("pct_of_all"),
         F.when(F.col("split").isNotNull(),
-               F.round(F.try_divide(100.0 * F.col("n_rows"), per_split), 6)).alias("pct_of_split"))
+               C.steady(F.try_divide(100.0 * F.col("n_rows"), per_split), 6)).alias("pct_of_split"))
 
 
 def class_weights(df: DataFrame) -> DataFrame:

@@ -19,8 +19,8 @@ def histogram(source: str, by: str | None, value: str, bins: int, where: str = "
     return sql(
         source,
         f"""SELECT {'r.' + by + ',' if by else ''} CAST(t.bin AS INT) AS bin,
-              round(lo + t.bin * w, 6) AS bin_lo, round(lo + (t.bin + 1) * w, 6) AS bin_hi,
-              coalesce(n, 0) AS n_rows, round(coalesce(n, 0) / (total * w), 6) AS density
+              round(round(lo + t.bin * w, 9), 6) AS bin_lo, round(round(lo + (t.bin + 1) * w, 9), 6) AS bin_hi,
+              coalesce(n, 0) AS n_rows, round(round(coalesce(n, 0) / (total * w), 9), 6) AS density
             FROM r CROSS JOIN (SELECT unnest(range({bins})) AS bin) AS t
             LEFT JOIN b ON b.{key} = r.{key} AND b.bin = t.bin""",
         **steps,
@@ -40,9 +40,9 @@ def density(source: str, by: str, value: str, lo: float, hi: float, points: int,
     step = (float(hi) - float(lo)) / (points - 1)
     return sql(
         source,
-        f"""SELECT {by}, CAST(point AS INT) AS point, round({lo}e0 + point * {step!r}, 6) AS at,
-              round(sum(n * exp(-0.5e0 * pow(({lo}e0 + point * {step!r} - value) / h, 2)))
-                / (any_value(total) * any_value(h) * sqrt(2 * pi())), 6) AS density
+        f"""SELECT {by}, CAST(point AS INT) AS point, round(round({lo}e0 + point * {step!r}, 9), 6) AS at,
+              round(round(sum(n * exp(-0.5e0 * pow(({lo}e0 + point * {step!r} - value) / h, 2)))
+                / (any_value(total) * any_value(h) * sqrt(2 * pi())), 9), 6) AS density
             FROM v JOIN m USING ({by}) CROSS JOIN (SELECT unnest(range({points})) AS point)
             GROUP BY {by}, point""",
         v=f"""SELECT {by}, {clip(value, lo, hi)} AS value, count(*) AS n FROM {source}
@@ -58,7 +58,7 @@ def shares(source: str, by: str) -> str:
         return f"count(*) FILTER (WHERE congestion_label = '{label}')"
     return sql(source, f"SELECT {by}, count(*) AS n_rows, "
                + ", ".join(f"{n(l)} AS n_{l.lower()}, "
-                           f"round(100e0 * {n(l)} / count(*), 6) AS pct_{l.lower()}"
+                           f"round(round(100e0 * {n(l)} / count(*), 9), 6) AS pct_{l.lower()}"
                            for l in ("Low", "Medium", "High"))
                + f" FROM {source} WHERE congestion_label IS NOT NULL AND {by} IS NOT NULL"
                f" GROUP BY {by}")
@@ -67,13 +67,13 @@ def shares(source: str, by: str) -> str:
 def box(source: str, by: str, value: str, min_rows: int = 1, **steps: str) -> str:
     return sql(
         source,
-        f"""SELECT {by}, any_value(n_rows) AS n_rows, round(any_value(q1), 6) AS q1,
-              round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
-              round(min(value) FILTER (WHERE inside), 6) AS whisker_lo,
-              round(max(value) FILTER (WHERE inside), 6) AS whisker_hi,
-              round(any_value(med - 1.57e0 * (q3 - q1) / sqrt(n_rows)), 6) AS notch_lo,
-              round(any_value(med + 1.57e0 * (q3 - q1) / sqrt(n_rows)), 6) AS notch_hi,
-              round(min(value), 6) AS min_value, round(max(value), 6) AS max_value,
+        f"""SELECT {by}, any_value(n_rows) AS n_rows, round(round(any_value(q1), 9), 6) AS q1,
+              round(round(any_value(med), 9), 6) AS median, round(round(any_value(q3), 9), 6) AS q3,
+              round(round(min(value) FILTER (WHERE inside), 9), 6) AS whisker_lo,
+              round(round(max(value) FILTER (WHERE inside), 9), 6) AS whisker_hi,
+              round(round(any_value(med - 1.57e0 * (q3 - q1) / sqrt(n_rows)), 9), 6) AS notch_lo,
+              round(round(any_value(med + 1.57e0 * (q3 - q1) / sqrt(n_rows)), 9), 6) AS notch_hi,
+              round(round(min(value), 9), 6) AS min_value, round(round(max(value), 9), 6) AS max_value,
               count(*) FILTER (WHERE NOT inside) AS n_outliers
             FROM (SELECT *, value BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)
               AS inside FROM v JOIN q USING ({by})) GROUP BY {by}""",
@@ -88,8 +88,8 @@ def box(source: str, by: str, value: str, min_rows: int = 1, **steps: str) -> st
 def ecdf(source: str, by: str, value: str, where: str) -> str:
     return sql(
         source,
-        f"""SELECT {by}, round(value, 6) AS value, n AS n_rows, round(CASE WHEN total = 1 THEN 0e0
-              ELSE CAST(upto - 1 AS DOUBLE) / (total - 1) END, 6) AS cumulative
+        f"""SELECT {by}, round(round(value, 9), 6) AS value, n AS n_rows, round(round(CASE WHEN total = 1 THEN 0e0
+              ELSE CAST(upto - 1 AS DOUBLE) / (total - 1) END, 9), 6) AS cumulative
             FROM (SELECT {by}, value, n, sum(n) OVER (PARTITION BY {by}) AS total,
               sum(n) OVER (PARTITION BY {by} ORDER BY value) AS upto FROM c)""",
         c=f"""SELECT {by}, {value} AS value, count(*) AS n FROM {source}
@@ -99,7 +99,7 @@ def ecdf(source: str, by: str, value: str, where: str) -> str:
 def correlations(source: str, columns: dict[str, str]) -> str:
     names = list(columns)
     return sql(source, " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({columns[a]}, {columns[b]}), 6) AS r "
+        f"SELECT '{a}' AS a, '{b}' AS b, round(round(corr({columns[a]}, {columns[b]}), 9), 6) AS r "
         f"FROM {source}" for a in names for b in names))
 
 
@@ -107,7 +107,7 @@ def grid(source: str, by: str | None, value: str | None, bins: int = 60, where:
          **steps: str) -> str:
     key = by or "one"
     group = f"{by}, " if by else ""
-    mean = f", round(avg({value}), 6) AS mean_value" if value else ""
+    mean = f", round(round(avg({value}), 9), 6) AS mean_value" if value else ""
     return sql(
         source,
         f"SELECT {group} ix, iy, count(*) AS n_rows{mean} FROM cells GROUP BY {group} ix, iy",
@@ -123,7 +123,7 @@ def grid(source: str, by: str | None, value: str | None, bins: int = 60, where:
 
 def hexbin(source: str, x: str, y: str, gridsize: int, value: str | None = None) -> str:
     rows = int(gridsize / 3 ** 0.5)
-    mean = f", round(avg(val), 6) AS mean_value" if value else ""
+    mean = f", round(round(avg(val), 9), 6) AS mean_value" if value else ""
     val = value or "NULL"
     return sql(
         source,

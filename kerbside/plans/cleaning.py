@@ -119,11 +119,11 @@ def feature_flags(spark, sf_dir):
 
 
 @query("feature_interaction", sql("feat", f"""SELECT {KEYS},
-    round(speed_x_density, 6) AS speed_x_density FROM feat"""))
+    round(round(speed_x_density, 9), 6) AS speed_x_density FROM feat"""))
 def feature_interaction(spark, sf_dir):
     return cleaned(spark, sf_dir).select(
         "session_id", "tick", "vehicle_id",
-        F.round(C.speed_x_density(), 6).alias("speed_x_density"))
+        C.steady(C.speed_x_density(), 6).alias("speed_x_density"))
 
 
 @query("feature_town_code", sql("feat", """SELECT town, town_code, count(*) AS n_rows
@@ -159,14 +159,14 @@ def label_encode_counts(spark, sf_dir):
 
 
 def _feature_list(names: list[str]) -> str:
-    return ", ".join("round(speed_x_density, 6) AS speed_x_density" if n == "speed_x_density"
+    return ", ".join("round(round(speed_x_density, 9), 6) AS speed_x_density" if n == "speed_x_density"
                      else n for n in names)
 
 
 def _rounded(df):
     if "speed_x_density" not in df.columns:
         return df
-    return df.withColumn("speed_x_density", F.round("speed_x_density", 6))
+    return df.withColumn("speed_x_density", C.steady("speed_x_density", 6))
 
 
 @query("feature_table", sql("feat", f"SELECT {_feature_list(SPLIT_COLUMNS)} FROM feat"))

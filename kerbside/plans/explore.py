@@ -33,9 +33,9 @@ def labelled(spark, sf_dir):
 
 @query("dq_report_hist", sql(
     "obs",
-    """SELECT r.panel, CAST(t.bin AS INT) AS bin, round(lo + t.bin * w, 6) AS bin_lo,
-         round(lo + (t.bin + 1) * w, 6) AS bin_hi, coalesce(n, 0) AS n_rows,
-         round(coalesce(n, 0) / (total * w), 6) AS density
+    """SELECT r.panel, CAST(t.bin AS INT) AS bin, round(round(lo + t.bin * w, 9), 6) AS bin_lo,
+         round(round(lo + (t.bin + 1) * w, 9), 6) AS bin_hi, coalesce(n, 0) AS n_rows,
+         round(round(coalesce(n, 0) / (total * w), 9), 6) AS density
        FROM r CROSS JOIN (SELECT unnest(range(60)) AS bin) AS t
        LEFT JOIN b ON b.panel = r.panel AND b.bin = t.bin WHERE t.bin < bins""",
     v=f"""SELECT 'speed' AS panel, 60 AS bins, {checks.clip('speed', 0, 130)} AS value FROM obs
@@ -84,7 +84,7 @@ def vehicles_per_tick(spark, sf_dir):
 
 @query("cumulative_rows", sql("obs", """SELECT session_id, n AS n_rows,
     CAST(sum(n) OVER (ORDER BY session_id) AS BIGINT) AS cumulative_rows,
-    round(sum(n) OVER (ORDER BY session_id) / 1e6, 6) AS cumulative_millions
+    round(round(sum(n) OVER (ORDER BY session_id) / 1e6, 9), 6) AS cumulative_millions
     FROM (SELECT session_id, count(*) AS n FROM obs GROUP BY session_id)"""))
 def cumulative_rows(spark, sf_dir):
     return raw(spark, sf_dir).transform(series.cumulative_rows)
@@ -218,13 +218,13 @@ query("share_rainy", checks.shares("obs", "is_rainy").replace(
 
 
 @query("high_share_town_weather", sql("obs", """SELECT town, weather_name, count(*) AS n_rows,
-    round(100e0 * count(*) FILTER (WHERE congestion_label = 'High') / count(*), 6) AS pct_high
+    round(round(100e0 * count(*) FILTER (WHERE congestion_label = 'High') / count(*), 9), 6) AS pct_high
     FROM obs GROUP BY town, weather_name"""))
 def high_share_town_weather(spark, sf_dir):
     high = F.coalesce(F.col("congestion_label") == "High", F.lit(False)).cast("double")
     return (raw(spark, sf_dir).where("town IS NOT NULL AND weather_name IS NOT NULL")
             .groupBy("town", "weather_name")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.round(100.0 * F.avg(high), 6)
+            .agg(F.count(F.lit(1)).alias("n_rows"), C.steady(100.0 * F.avg(high), 6)
                  .alias("pct_high")))
 
 
@@ -252,22 +252,22 @@ def hour_bucket_speed(spark, sf_dir):
             .transform(D.box_stats, ["hour_bucket"], "speed", 2))
 
 
-@query("speed_center", sql("obs", """SELECT count(speed) AS n_rows, round(avg(speed), 6) AS mean,
-    round(quantile_cont(speed, 0.5), 6) AS median FROM obs"""))
+@query("speed_center", sql("obs", """SELECT count(speed) AS n_rows, round(round(avg(speed), 9), 6) AS mean,
+    round(round(quantile_cont(speed, 0.5), 9), 6) AS median FROM obs"""))
 def speed_center(spark, sf_dir):
     return raw(spark, sf_dir).transform(D.mean_and_median, "speed")
 
 
 @query("median_town_label", sql("obs", """SELECT town, congestion_label, count(speed) AS n_rows,
-    round(quantile_cont(speed, 0.5), 6) AS median FROM obs
+    round(round(quantile_cont(speed, 0.5), 9), 6) AS median FROM obs
     WHERE congestion_label IN ('Low', 'Medium', 'High') GROUP BY ALL"""))
 def median_town_label(spark, sf_dir):
     return labelled(spark, sf_dir).transform(D.medians, ["town", "congestion_label"], "speed")
 
 
 def _mean_std_sql(by: str, value: str) -> str:
-    return sql("obs", f"""SELECT {by}, count({value}) AS n_rows, round(avg({value}), 6) AS mean,
-        round(stddev_samp({value}), 6) AS std FROM obs WHERE {by} IS NOT NULL GROUP BY {by}""")
+    return sql("obs", f"""SELECT {by}, count({value}) AS n_rows, round(round(avg({value}), 9), 6) AS mean,
+        round(round(stddev_samp({value}), 9), 6) AS std FROM obs WHERE {by} IS NOT NULL GROUP BY {by}""")
 
 
 query("speed_by_weather", _mean_std_sql("weather_name", "speed"))(
@@ -297,12 +297,12 @@ def corr_matrix_label(spark, sf_dir):
 
 
 @query("weather_hour_label", sql("obs", f"""SELECT weather_name, hour, count(*) AS n_rows,
-    round(avg({LABEL_CODE}), 6) AS mean_label FROM obs WHERE {LABEL_IN} GROUP BY ALL"""))
+    round(round(avg({LABEL_CODE}), 9), 6) AS mean_label FROM obs WHERE {LABEL_IN} GROUP BY ALL"""))
 def weather_hour_label(spark, sf_dir):
     return (labelled(spark, sf_dir).where("weather_name IS NOT NULL AND hour IS NOT NULL")
             .groupBy("weather_name", "hour")
             .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.round(F.avg(C.label_code()), 6).alias("mean_label")))
+                 C.steady(F.avg(C.label_code()), 6).alias("mean_label")))
 
 
 @query("bin_crosstab", sql(
@@ -319,7 +319,7 @@ def bin_crosstab(spark, sf_dir):
 
 
 @query("top_vehicles", sql("obs", """SELECT vehicle_id, count(speed) AS n_rows,
-    round(avg(speed), 6) AS mean, round(stddev_samp(speed), 6) AS std FROM obs
+    round(round(avg(speed), 9), 6) AS mean, round(round(stddev_samp(speed), 9), 6) AS std FROM obs
     WHERE vehicle_id IN (SELECT vehicle_id FROM obs GROUP BY vehicle_id
       ORDER BY count(*) DESC, vehicle_id LIMIT 8) GROUP BY vehicle_id"""))
 def top_vehicles(spark, sf_dir):
@@ -339,26 +339,26 @@ def top_vehicle_share(spark, sf_dir):
 
 # --- time series -----------------------------------------------------------------------
 
-@query("speed_per_tick", sql("obs", """SELECT session_id, tick, round(avg(speed), 6) AS avg_speed
+@query("speed_per_tick", sql("obs", """SELECT session_id, tick, round(round(avg(speed), 9), 6) AS avg_speed
     FROM obs WHERE session_id IN (SELECT DISTINCT session_id FROM obs ORDER BY 1 LIMIT 3)
     GROUP BY session_id, tick"""))
 def speed_per_tick(spark, sf_dir):
     df = raw(spark, sf_dir)
     chosen = series.restrict(df, series.first_values(df, "session_id", 3), "session_id")
-    return series.per_tick(chosen, avg_speed=F.round(F.avg("speed"), 6))
+    return series.per_tick(chosen, avg_speed=C.steady(F.avg("speed"), 6))
 
 
 @query("top_session_series", sql("obs", """SELECT session_id, tick,
-    round(CAST(sum(CAST(speed AS DECIMAL(18, 6))) AS DOUBLE) / count(speed), 6) AS avg_speed,
-    round(CAST(sum(CAST(acceleration AS DECIMAL(18, 6))) AS DOUBLE) / count(acceleration), 6)
+    round(round(avg(speed), 9), 6) AS avg_speed,
+    round(round(avg(acceleration), 9), 6)
       AS avg_acceleration FROM obs
     WHERE session_id IN (SELECT session_id FROM obs GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
     GROUP BY session_id, tick"""))
 def top_session_series(spark, sf_dir):
     df = raw(spark, sf_dir)
     chosen = series.restrict(df, series.top_by_rows(df, "session_id", 5), "session_id")
-    return series.per_tick(chosen, avg_speed=F.round(series.exact_mean("speed"), 6),
-                           avg_acceleration=F.round(series.exact_mean("acceleration"), 6))
+    return series.per_tick(chosen, avg_speed=C.steady(F.avg("speed"), 6),
+                           avg_acceleration=C.steady(F.avg("acceleration"), 6))
 
 
 _ROLL = "OVER (PARTITION BY session_id ORDER BY tick ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
@@ -370,7 +370,7 @@ def _rolling(value: str) -> str:
 
 @query("label_share_rolling", sql(
     "obs", "SELECT session_id, tick, " + ", ".join(
-        f"round(100e0 * {_rolling(l)}, 6) AS pct_{l}" for l in ("low", "medium", "high"))
+        f"round(round(100e0 * {_rolling(l)}, 9), 6) AS pct_{l}" for l in ("low", "medium", "high"))
     + " FROM t WHERE session_id = (SELECT min(session_id) FROM obs)",
     t="SELECT session_id, tick, " + ", ".join(
         f"avg(CAST(congestion_label = '{l}' AS DOUBLE)) AS {l.lower()}" for l in LABELS)
@@ -382,8 +382,8 @@ def label_share_rolling(spark, sf_dir):
 
 
 @query("stationary_rolling", sql(
-    "obs", f"""SELECT session_id, tick, round(p, 6) AS pct_stationary,
-      round({_rolling('p')}, 6) AS pct_rolling FROM t
+    "obs", f"""SELECT session_id, tick, round(round(p, 9), 6) AS pct_stationary,
+      round(round({_rolling('p')}, 9), 6) AS pct_rolling FROM t
       WHERE session_id IN (SELECT DISTINCT session_id FROM obs ORDER BY 1 LIMIT 4)""",
     t="""SELECT session_id, tick, avg(CAST(coalesce(speed < 1, FALSE) AS DOUBLE)) * 100e0 AS p
       FROM obs GROUP BY session_id, tick"""))
@@ -394,8 +394,8 @@ def stationary_rolling(spark, sf_dir):
 
 
 @query("speed_volatility", sql(
-    "obs", f"""SELECT session_id, tick, round(s, 6) AS speed_std,
-      round({_rolling('s')}, 6) AS speed_std_rolling FROM t
+    "obs", f"""SELECT session_id, tick, round(round(s, 9), 6) AS speed_std,
+      round(round({_rolling('s')}, 9), 6) AS speed_std_rolling FROM t
       WHERE session_id = (SELECT min(session_id) FROM obs)""",
     t="SELECT session_id, tick, stddev_samp(speed) AS s FROM obs GROUP BY session_id, tick"))
 def speed_volatility(spark, sf_dir):
@@ -405,8 +405,8 @@ def speed_volatility(spark, sf_dir):
 
 
 @query("tick_profile", sql(
-    "obs", """SELECT session_id, tick, round(avg(speed), 6) AS avg_speed,
-      round(avg(traffic_density), 6) AS avg_density, any_value(mode_label) AS mode_label
+    "obs", """SELECT session_id, tick, round(round(avg(speed), 9), 6) AS avg_speed,
+      round(round(avg(traffic_density), 9), 6) AS avg_density, any_value(mode_label) AS mode_label
       FROM obs JOIN m USING (session_id, tick) GROUP BY session_id, tick""",
     m=f"""SELECT session_id, tick, congestion_label AS mode_label FROM (SELECT *,
       row_number() OVER (PARTITION BY session_id, tick ORDER BY n DESC,
@@ -420,7 +420,7 @@ def tick_profile(spark, sf_dir):
 @query("label_transitions", sql(
     "obs",
     """SELECT a.l AS from_label, b.l AS to_label, coalesce(n, 0) AS n_pairs,
-         round(coalesce(100e0 * n / (SELECT sum(n) FROM p AS q WHERE q.cur = a.i), 0e0), 6) AS pct
+         round(round(coalesce(100e0 * n / (SELECT sum(n) FROM p AS q WHERE q.cur = a.i), 0e0), 9), 6) AS pct
        FROM (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High')) AS a(i, l)
        CROSS JOIN (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High')) AS b(i, l)
        LEFT JOIN p ON p.cur = a.i AND p.nxt = b.i""",
@@ -451,7 +451,7 @@ _VIEWS = {"speed": "speed", "density": "traffic_density",
 
 @query("spatial_value_grid", checks.grid("obs", None, None).replace(
     "count(*) AS n_rows FROM cells", "count(*) AS n_rows, " + ", ".join(
-        f"round(avg({v}), 6) AS mean_{n}" for n, v in _VIEWS.items()) + " FROM cells"))
+        f"round(round(avg({v}), 9), 6) AS mean_{n}" for n, v in _VIEWS.items()) + " FROM cells"))
 def spatial_value_grid(spark, sf_dir):
     df = raw(spark, sf_dir)
     views = {"speed": "speed", "density": "traffic_density",
@@ -475,7 +475,7 @@ _KERNEL = ", ".join(f"({k - 6}, {w!r})" for k, w in enumerate(spatial.smoothing_
 
 @query("spatial_smooth", sql(
     "obs",
-    "SELECT town, ix, iy, round(v, 6) AS smoothed FROM s2",
+    "SELECT town, ix, iy, round(round(v, 9), 6) AS smoothed FROM s2",
     pts=f"SELECT * FROM obs WHERE {_FIRST_TOWNS}",
     ext="""SELECT town, min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM pts
       GROUP BY town""",
@@ -516,8 +516,8 @@ query("hexbin_speed_acceleration", checks.hexbin(
 
 @query("hotspots", sql("clean", """SELECT CAST(floor(x / 20) * 20 AS INT) AS x_bin,
     CAST(floor(y / 20) * 20 AS INT) AS y_bin, count(speed) AS records,
-    round(avg(speed), 1) AS avg_speed, round(avg(traffic_density), 1) AS avg_density,
-    round(avg(CAST(congestion_label = 'High' AS DOUBLE)) * 100e0, 1) AS pct_high
+    round(round(avg(speed), 9), 1) AS avg_speed, round(round(avg(traffic_density), 9), 1) AS avg_density,
+    round(round(avg(CAST(congestion_label = 'High' AS DOUBLE)) * 100e0, 9), 1) AS pct_high
     FROM clean GROUP BY 1, 2
     ORDER BY avg(CAST(congestion_label = 'High' AS DOUBLE)) DESC, records DESC, x_bin, y_bin
     LIMIT 10"""))
@@ -527,8 +527,8 @@ def hotspots(spark, sf_dir):
 
 
 @query("session_summary", sql("obs", """SELECT session_id, count(speed) AS n_rows,
-    round(avg(speed), 2) AS avg_speed, round(avg(traffic_density), 2) AS avg_density,
-    round(avg(CAST(congestion_label = 'High' AS DOUBLE)) * 100e0, 2) AS pct_high
+    round(round(avg(speed), 9), 2) AS avg_speed, round(round(avg(traffic_density), 9), 2) AS avg_density,
+    round(round(avg(CAST(congestion_label = 'High' AS DOUBLE)) * 100e0, 9), 2) AS pct_high
     FROM obs GROUP BY session_id"""))
 def session_summary(spark, sf_dir):
     from kerbside.operators import dashboard
@@ -536,8 +536,8 @@ def session_summary(spark, sf_dir):
 
 
 @query("kpi", sql("obs", """SELECT count(*) AS n_rows, count(DISTINCT session_id) AS n_sessions,
-    round(avg(speed), 1) AS avg_speed,
-    round(100e0 * avg(CAST(congestion_label = 'High' AS DOUBLE)), 1) AS pct_high FROM obs"""))
+    round(round(avg(speed), 9), 1) AS avg_speed,
+    round(round(100e0 * avg(CAST(congestion_label = 'High' AS DOUBLE)), 9), 1) AS pct_high FROM obs"""))
 def kpi(spark, sf_dir):
     from kerbside.operators import dashboard
     return raw(spark, sf_dir).transform(dashboard.kpi)
@@ -559,9 +559,9 @@ def filtered_view(spark, sf_dir):
 
 
 @query("summary_stats", sql("feat", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, round(avg({c}), 6) AS mean,
-      round(stddev_samp({c}), 6) AS stddev, round(CAST(min({c}) AS DOUBLE), 6) AS min_value,
-      round(CAST(max({c}) AS DOUBLE), 6) AS max_value FROM feat"""
+    f"""SELECT '{c}' AS column_name, round(round(avg({c}), 9), 6) AS mean,
+      round(round(stddev_samp({c}), 9), 6) AS stddev, round(round(CAST(min({c}) AS DOUBLE), 9), 6) AS min_value,
+      round(round(CAST(max({c}) AS DOUBLE), 9), 6) AS max_value FROM feat"""
     for c in ["speed", "acceleration", "traffic_density", "speed_x_density", "x", "y", "yaw"])))
 def summary_stats(spark, sf_dir):
     from kerbside.operators.features import add_features

@@ -63,7 +63,7 @@ def _stored_splits(spark, sf_dir):
     return base
 
 
-_STORED = ", ".join("round(speed_x_density, 6) AS speed_x_density" if c == "speed_x_density" else c
+_STORED = ", ".join("round(round(speed_x_density, 9), 6) AS speed_x_density" if c == "speed_x_density" else c
                     for c in SPLIT_COLUMNS)
 
 
@@ -71,7 +71,7 @@ _STORED = ", ".join("round(speed_x_density, 6) AS speed_x_density" if c == "spee
 def sink_splits(spark, sf_dir):
     stored = spark.read.parquet(_stored_splits(spark, sf_dir))
     return stored.select(*SPLIT_COLUMNS, "split").withColumn(
-        "speed_x_density", F.round("speed_x_density", 6))
+        "speed_x_density", C.steady("speed_x_density", 6))
 
 
 @query("split_reader", sql("feat", "SELECT label, " + ", ".join(
@@ -244,8 +244,8 @@ def stream_dedup(spark, sf_dir):
 
 _TIMED = """SELECT *, strptime(substr(session_id, 1, 15), '%Y%m%d_%H%M%S')
     + to_milliseconds(tick * 250) AS event_ts FROM valid"""
-_KPI = """count(*) AS n_rows, round(avg(speed), 6) AS avg_speed,
-    round(100e0 * avg(CAST(congestion_label = 'High' AS DOUBLE)), 6) AS pct_high"""
+_KPI = """count(*) AS n_rows, round(round(avg(speed), 9), 6) AS avg_speed,
+    round(round(100e0 * avg(CAST(congestion_label = 'High' AS DOUBLE)), 9), 6) AS pct_high"""
 
 
 @query("windowed_kpi", sql(
@@ -291,7 +291,7 @@ _A = "least(speed, 100e0) / 100e0"
 @query("stream_score", sql(
     "complete",
     f"""SELECT {KEYS}, row_n, CAST(CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1
-          ELSE 2 END AS INT) AS prediction, round(50e0 * p1 + 100e0 * p2, 6) AS severity
+          ELSE 2 END AS INT) AS prediction, round(round(50e0 * p1 + 100e0 * p2, 9), 6) AS severity
         FROM p""",
     valid=_VALID,
     p=f"""SELECT {KEYS}, count(*) AS row_n, {_A} * {_A} AS p0,
@@ -308,4 +308,4 @@ def stream_score(spark, sf_dir):
     path = streams.run_available(rows.transform(streams.score_rows, rule), "score")
     return (spark.read.parquet(path).groupBy(*KEY, "speed", "prediction", "severity")
             .agg(F.count(F.lit(1)).alias("row_n"))
-            .select(*KEY, "row_n", "prediction", F.round("severity", 6).alias("severity")))
+            .select(*KEY, "row_n", "prediction", C.steady("severity", 6).alias("severity")))

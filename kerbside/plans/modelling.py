@@ -141,8 +141,8 @@ def stratified_split_exact(spark, sf_dir):
 @query("split_report", sql(
     "feat",
     """SELECT split, label, n AS n_rows,
-         round(100e0 * n / (SELECT count(*) FROM s), 6) AS pct_of_all,
-         round(100e0 * n / (SELECT count(*) FROM s WHERE s.split = c.split), 6) AS pct_of_split
+         round(round(100e0 * n / (SELECT count(*) FROM s), 9), 6) AS pct_of_all,
+         round(round(100e0 * n / (SELECT count(*) FROM s WHERE s.split = c.split), 9), 6) AS pct_of_split
        FROM c""",
     s=_SPLIT, c="SELECT split, label, count(*) AS n FROM s GROUP BY ROLLUP (split, label)").replace(
         "/ (SELECT count(*) FROM s WHERE s.split = c.split)",
@@ -152,11 +152,11 @@ def split_report(spark, sf_dir):
 
 
 @query("class_weights", sql("feat", """SELECT label, n AS n_rows,
-    round((SELECT sum(n) FROM c) / (3e0 * n), 6) AS weight FROM c""",
+    round(round((SELECT sum(n) FROM c) / (3e0 * n), 9), 6) AS weight FROM c""",
     s=_SPLIT, c="SELECT label, count(*) AS n FROM s WHERE split = 'train' GROUP BY label"))
 def class_weights(spark, sf_dir):
     return (split_features(spark, sf_dir).where("split = 'train'").transform(split.class_weights)
-            .withColumn("weight", F.round("weight", 6)))
+            .withColumn("weight", C.steady("weight", 6)))
 
 
 # --- evaluation on rule baselines ------------------------------------------------------
@@ -196,10 +196,10 @@ _AUC = """SELECT model, class, sum(hit) AS support,
 _EVAL = {"s": _SPLIT, "base": _BASE, "scored": _SCORED}
 _FULL = {**_EVAL, "conf": _CONF, "per": _PER, "scores": _SCORES, "ranked_scores": _RANKED,
          "auc": _AUC,
-         "metrics": """SELECT model, round(sum(tp) / CAST(sum(ap) AS DOUBLE), 6) AS accuracy,
-            round(sum(pr * ap) / sum(ap), 6) AS precision,
-            round(sum(rc * ap) / sum(ap), 6) AS recall, round(sum(f1 * ap) / sum(ap), 6) AS f1,
-            round((SELECT sum(auc * support) / sum(support) FROM auc WHERE auc.model = per.model),
+         "metrics": """SELECT model, round(round(sum(tp) / CAST(sum(ap) AS DOUBLE), 9), 6) AS accuracy,
+            round(round(sum(pr * ap) / sum(ap), 9), 6) AS precision,
+            round(round(sum(rc * ap) / sum(ap), 9), 6) AS recall, round(round(sum(f1 * ap) / sum(ap), 9), 6) AS f1,
+            round(round((SELECT sum(auc * support) / sum(support) FROM auc WHERE auc.model = per.model), 9),
               6) AS roc_auc FROM per GROUP BY model"""}
 
 
@@ -230,8 +230,8 @@ def eval_metrics(spark, sf_dir):
 @query("eval_confusion", sql(
     "feat",
     """SELECT m.model, a.l AS actual, b.l AS predicted, coalesce(n, 0) AS n_rows,
-         round(100e0 * coalesce(n, 0) / (SELECT sum(n) FROM conf AS q
-           WHERE q.model = m.model AND q.i = a.i), 6) AS pct
+         round(round(100e0 * coalesce(n, 0) / (SELECT sum(n) FROM conf AS q
+           WHERE q.model = m.model AND q.i = a.i), 9), 6) AS pct
        FROM (SELECT DISTINCT model FROM scored) AS m
        CROSS JOIN (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High')) AS a(i, l)
        CROSS JOIN (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High')) AS b(i, l)
@@ -259,18 +259,18 @@ def eval_class_report(spark, sf_dir):
 
 
 @query("eval_roc_auc", sql("feat", """SELECT model, CAST(class AS INT) AS class,
-    round(auc, 6) AS auc, CAST(support AS BIGINT) AS support FROM auc""",
+    round(round(auc, 9), 6) AS auc, CAST(support AS BIGINT) AS support FROM auc""",
     **_EVAL, scores=_SCORES, ranked_scores=_RANKED, auc=_AUC))
 def eval_roc_auc(spark, sf_dir):
     return (_scored_test(spark, sf_dir).transform(evaluate.class_auc)
-            .withColumn("auc", F.round("auc", 6)))
+            .withColumn("auc", C.steady("auc", 6)))
 
 
 @query("eval_roc_curve", sql(
     "feat",
-    """SELECT model, CAST(class AS INT) AS class, round(score, 6) AS threshold,
-         round(sum(neg) OVER w / CAST(sum(neg) OVER g AS DOUBLE), 6) AS fpr,
-         round(sum(pos) OVER w / CAST(sum(pos) OVER g AS DOUBLE), 6) AS tpr FROM k
+    """SELECT model, CAST(class AS INT) AS class, round(round(score, 9), 6) AS threshold,
+         round(round(sum(neg) OVER w / CAST(sum(neg) OVER g AS DOUBLE), 9), 6) AS fpr,
+         round(round(sum(pos) OVER w / CAST(sum(pos) OVER g AS DOUBLE), 9), 6) AS tpr FROM k
        WINDOW g AS (PARTITION BY model, class),
          w AS (PARTITION BY model, class ORDER BY score DESC)
        UNION ALL SELECT DISTINCT model, CAST(class AS INT), 'inf'::DOUBLE, 0e0, 0e0 FROM k""",
@@ -300,7 +300,7 @@ _SEV = "50e0 * p1 + 100e0 * p2"
     "feat",
     f"""SELECT {KEYS}, model, prediction, CASE prediction WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium'
           ELSE 'High' END AS predicted_label,
-        round(100e0 * greatest(p0, p1, p2), 6) AS confidence_pct, round({_SEV}, 6) AS severity,
+        round(round(100e0 * greatest(p0, p1, p2), 9), 6) AS confidence_pct, round(round({_SEV}, 9), 6) AS severity,
         CASE WHEN {_SEV} < 20 THEN 'Free flow' WHEN {_SEV} < 40 THEN 'Light'
           WHEN {_SEV} < 60 THEN 'Moderate' WHEN {_SEV} < 80 THEN 'Heavy' ELSE 'Gridlock' END
           AS severity_band,
@@ -314,8 +314,8 @@ _SEV = "50e0 * p1 + 100e0 * p2"
 def severity_score(spark, sf_dir):
     return rule_scores(cleaned(spark, sf_dir).transform(features.feature_table)).select(
         "session_id", "tick", "vehicle_id", "model", "prediction", "predicted_label",
-        F.round("confidence_pct", 6).alias("confidence_pct"),
-        F.round("severity", 6).alias("severity"), "severity_band", "severity_colour")
+        C.steady("confidence_pct", 6).alias("confidence_pct"),
+        C.steady("severity", 6).alias("severity"), "severity_band", "severity_colour")
 
 
 _SLOW_HEAD, _SLOW_TAIL = REASONS["slow"].split("{speed}")

@@ -42,16 +42,16 @@ def rows_per_session(spark, sf_dir):
 
 
 @query("rows_by_town_weather", sql("obs", """SELECT 'town' AS dimension, town AS name,
-    count(*) AS n_rows, round(100e0 * count(*) / sum(count(*)) OVER (), 6) AS pct
+    count(*) AS n_rows, round(round(100e0 * count(*) / sum(count(*)) OVER (), 9), 6) AS pct
     FROM obs GROUP BY town
     UNION ALL SELECT 'weather', weather_name, count(*),
-      round(100e0 * count(*) / sum(count(*)) OVER (), 6) FROM obs GROUP BY weather_name"""))
+      round(round(100e0 * count(*) / sum(count(*)) OVER (), 9), 6) FROM obs GROUP BY weather_name"""))
 def rows_by_town_weather(spark, sf_dir):
     return _raw(spark, sf_dir).transform(quality.rows_by_town_and_weather)
 
 
 @query("dq_missing", sql("obs", """SELECT column_name, n_missing,
-    round(100e0 * n_missing / (SELECT count(*) FROM obs), 6) AS pct FROM m WHERE n_missing > 0""",
+    round(round(100e0 * n_missing / (SELECT count(*) FROM obs), 9), 6) AS pct FROM m WHERE n_missing > 0""",
     m=" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing FROM obs"
                          for c in OBS_COLUMNS)))
 def dq_missing(spark, sf_dir):
@@ -66,8 +66,8 @@ def dq_duplicates(spark, sf_dir):
 
 
 @query("dq_ranges", sql("obs", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, round(CAST(min({c}) AS DOUBLE), 6) AS min_value,
-      round(CAST(max({c}) AS DOUBLE), 6) AS max_value, round(avg({c}), 6) AS mean_value,
+    f"""SELECT '{c}' AS column_name, round(round(CAST(min({c}) AS DOUBLE), 9), 6) AS min_value,
+      round(round(CAST(max({c}) AS DOUBLE), 9), 6) AS max_value, round(round(avg({c}), 9), 6) AS mean_value,
       count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS n_out_of_range,
       CASE WHEN count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) = 0 THEN 'OK' ELSE 'WARN' END
         AS status FROM obs"""
@@ -97,8 +97,8 @@ def session_parse(spark, sf_dir):
 
 @query("label_distribution", sql("obs", """SELECT CAST(i AS INT) AS label, name AS label_name,
     coalesce(n, 0) AS n_rows,
-    round(100e0 * coalesce(n, 0) / (SELECT sum(n) FROM c), 6) AS pct,
-    round((SELECT 100e0 * min(n) FILTER (WHERE congestion_label IS NOT NULL) / sum(n) FROM c), 6)
+    round(round(100e0 * coalesce(n, 0) / (SELECT sum(n) FROM c), 9), 6) AS pct,
+    round(round((SELECT 100e0 * min(n) FILTER (WHERE congestion_label IS NOT NULL) / sum(n) FROM c), 9), 6)
       AS min_share_pct,
     CASE WHEN (SELECT 100e0 * min(n) FILTER (WHERE congestion_label IS NOT NULL) / sum(n) FROM c)
       >= 5 THEN 'OK' ELSE 'WARN' END AS balance
@@ -109,15 +109,15 @@ def label_distribution(spark, sf_dir):
     return _raw(spark, sf_dir).transform(quality.label_distribution)
 
 
-@query("dq_spatial", sql("obs", """SELECT town, round(max(x) - min(x), 6) AS x_range,
-    round(max(y) - min(y), 6) AS y_range,
+@query("dq_spatial", sql("obs", """SELECT town, round(round(max(x) - min(x), 9), 6) AS x_range,
+    round(round(max(y) - min(y), 9), 6) AS y_range,
     CASE WHEN max(x) - min(x) < 100 OR max(y) - min(y) < 100 THEN 'WARN' ELSE 'OK' END AS status
     FROM obs GROUP BY town"""))
 def dq_spatial(spark, sf_dir):
     return _raw(spark, sf_dir).transform(quality.spatial_coverage)
 
 
-@query("dq_corr", sql("obs", """SELECT round(r, 6) AS pearson_r, CASE WHEN r < -0.05 THEN 'OK'
+@query("dq_corr", sql("obs", """SELECT round(round(r, 9), 6) AS pearson_r, CASE WHEN r < -0.05 THEN 'OK'
     WHEN r > 0.1 THEN 'WARN' ELSE 'INFO' END AS status
     FROM (SELECT corr(speed, traffic_density) AS r FROM obs)"""))
 def dq_corr(spark, sf_dir):
@@ -126,7 +126,7 @@ def dq_corr(spark, sf_dir):
 
 @query("dq_verdict", sql(
     "obs",
-    """SELECT CAST(rule_no AS INT) AS rule_no, rule, round(metric, 6) AS metric,
+    """SELECT CAST(rule_no AS INT) AS rule_no, rule, round(round(metric, 9), 6) AS metric,
          'ACTION NEEDED' AS verdict FROM failed
        UNION ALL SELECT 0, 'all', NULL, 'PASS' WHERE NOT EXISTS (SELECT 1 FROM failed)""",
     f="""SELECT count(*) AS n, """ + " + ".join(f"count(*) - count({c})" for c in OBS_COLUMNS)
