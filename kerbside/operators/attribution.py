@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions import columns as C
 from kerbside.schema import MODEL_FEATURES
-from kerbside.sources.scratch import scratch_path
+from kerbside.sources.scratch import scratch_path, written
 
-MAX_LEAVES = 2_000_000
+# Leaves broadcast at once: with eleven features about 50 MB.
+MAX_LEAVES = 200_000
 
 
 def tree_nodes(spark: SparkSession, model) -> DataFrame:
@@ -36,16 +37,27 @@ def tree_nodes(spark: SparkSession, model) -> DataFrame:
         F.try_element_at(f"{n}.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
 
 
-def leaf_boxes(nodes: DataFrame, n_features: int, tree_weights: list[float],
-               classify: bool) -> dict[str, np.ndarray]:
-    """Interval bounds, path shares and weighted values of all leaves.
+def tree_parts(nodes: DataFrame, max_leaves: int = MAX_LEAVES) -> list[list[int]]:
+    """Trees grouped so that no group has more than ``max_leaves`` leaves (or is one tree)."""
+    sizes = nodes.where("left_id < 0").groupBy("tree").count().orderBy("tree").collect()
+    parts, used = [[]], 0
+    for row in sizes:  # one row per tree of the model
+        if parts[-1] and used + row["count"] > max_leaves:
+            parts.append([])
+            used = 0
+        parts[-1].append(row.tree)
+        used += row["count"]
+    return parts
 
-    The table describes the model, not the data; its size is checked before it is collected,
-    and the driver holds the fitted model already.
+
+def leaf_boxes(nodes: DataFrame, n_features: int, tree_weights: list[float], classify: bool,
+               trees: list[int] | None = None) -> dict[str, np.ndarray]:
+    """Interval bounds, path shares and weighted values of the leaves of some trees.
+
+    The table describes the model, not the data; ``tree_parts`` bounds its size.
     """
-    leaves = nodes.where("left_id < 0").count()
-    if leaves > MAX_LEAVES:
-        raise ValueError(f"{leaves} leaves exceed {MAX_LEAVES}; attribute parts of the ensemble")
+    if trees is not None:
+        nodes = nodes.where(F.col("tree").isin(trees))
     lo, hi, share, value = [], [], [], []
     for tree, part in nodes.toPandas().groupby("tree"):
         by_id = {row.id: row for row in part.itertuples()}
@@ -125,6 +137,30 @@ def attribute(df: DataFrame, boxes: dict[str, np.ndarray], keep: list[str],
     return wanted.mapInPandas(run, f"{kept}, attribution array<array<double>>")
 
 
+def attribute_ensemble(df: DataFrame, nodes: DataFrame, keep: list[str],
+                       tree_weights: list[float], classify: bool,
+                       features: list[str] = MODEL_FEATURES,
+                       max_leaves: int = MAX_LEAVES) -> DataFrame:
+    """Attributions of a whole ensemble of any size.
+
+    They add up over trees, so a large ensemble is worked through in parts of bounded size,
+    each adding to the table the previous part has written.
+    """
+    out = None
+    columns = list(dict.fromkeys([*keep, *features]))
+    for trees in tree_parts(nodes, max_leaves):
+        boxes = leaf_boxes(nodes, len(features), tree_weights, classify, trees)
+        if out is None:
+            out = attribute(df, boxes, columns, features)
+            continue
+        total = written(out, "attribution").withColumnRenamed("attribution", "_sum")
+        added = F.zip_with("_sum", "attribution",
+                           lambda a, b: F.zip_with(a, b, lambda p, q: p + q))
+        out = (attribute(total, boxes, [*columns, "_sum"], features)
+               .select(*columns, added.alias("attribution")))
+    return out.select(*keep, "attribution")
+
+
 def top_attributions(df: DataFrame, key: list[str], features: list[str] = MODEL_FEATURES,
                      top: int = 11, explained: int = 5) -> DataFrame:
     """Largest attributions of the predicted class per row, with a sentence for the first few.

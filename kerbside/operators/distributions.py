@@ -30,15 +30,21 @@ def attach(big: DataFrame, small: DataFrame, by: list[str], bounded: bool = Fals
 # --- samples ---------------------------------------------------------------------------
 
 def sample_bounded(df: DataFrame, n: int, seed: int = 42, key: list[str] = KEY) -> DataFrame:
-    """min(n, rows) rows, picked by the smallest seeded hash of the key.
+    """min(n, rows) rows, those with the smallest seeded hash of the key.
 
-    A top-n by hash: every task keeps at most n rows, nothing is sorted globally, and the
-    same rows come back whatever the partitioning. Copies of a key are told apart by the
-    other columns.
+    Counts per hash prefix give the prefix at which n rows are reached. Only rows up to it are
+    sorted, about n of them, so a plain top-n does not send n rows per input task to one
+    place. The same rows come back whatever the partitioning; copies of a key are told apart
+    by the other columns.
     """
     ticket = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
     rest = [c for c in df.columns if c not in key]
-    return (df.withColumn("_ticket", ticket)
+    ticketed = df.withColumn("_ticket", ticket)
+    prefix = F.substring("_ticket", 1, 6)
+    counts = ticketed.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, [], "prefix", ["n"], F.substring("prefix", 1, 3))
+    last = ranked.where(F.col("n_before") < n).agg(F.max("prefix"))
+    return (ticketed.where(prefix <= last.scalar())
             .orderBy("_ticket", *key, *rest).limit(n).drop("_ticket"))
 
 

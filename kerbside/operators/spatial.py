@@ -139,32 +139,37 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
                       frame: list[str] | None = None, vehicle: str = "vehicle_id") -> DataFrame:
     """Other vehicles within ``radius`` metres (inclusive, in the plane) in the same frame.
 
-    ``df`` has one row per frame and vehicle. Positions fall into square cells of side
-    ``radius``, so partners are in the same or an adjacent cell. Each unordered pair is met
-    once: a vehicle looks for partners in its own cell (larger ids only) and in four of the
-    eight neighbours, and a match counts for both sides. The merge hint keeps the planner from
-    broadcasting a side that grows with the data; adaptive execution splits skewed cells.
+    ``df`` has one row per frame and vehicle. Vehicles at one spot (parked, or logged at a
+    default position) become one position with a count, so a crowded spot makes no pairs.
+    Positions fall into square cells of side ``radius``, which puts partners into the same or
+    an adjacent cell. Each unordered pair of positions is met once: a position looks in its own
+    cell (one direction only) and in four of the eight neighbours, and a match counts for both
+    sides. The merge hint keeps the planner from broadcasting a side that grows with the
+    data; adaptive execution splits skewed cells.
     """
     frame = frame or ["session_id", "tick"]
-    located = df.where(C.present("x") & C.present("y")).select(
-        *frame, vehicle, "x", "y", F.floor(F.col("x") / radius).alias("_cx"),
-        F.floor(F.col("y") / radius).alias("_cy"))
+    spots = (df.where(C.present("x") & C.present("y")).groupBy("x", "y", *reversed(frame))
+             .agg(F.count(F.lit(1)).alias("n"))
+             .withColumns({"_cx": F.floor(F.col("x") / radius), "_cy": F.floor(F.col("y") / radius)}))
     looks = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                       for dx, dy in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
-    seekers = (located.withColumn("_o", F.explode(looks))
-               .select(*frame, F.col(vehicle).alias("_a"), F.col("x").alias("_ax"),
-                       F.col("y").alias("_ay"), (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
+    seekers = (spots.withColumn("_o", F.explode(looks))
+               .select(*frame, F.col("x").alias("_ax"), F.col("y").alias("_ay"),
+                       F.col("n").alias("_an"), (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
                        (F.col("_cy") + F.col("_o.dy")).alias("_cy"),
                        ((F.col("_o.dx") == 0) & (F.col("_o.dy") == 0)).alias("_own")))
     dx, dy = F.col("_ax") - F.col("x"), F.col("_ay") - F.col("y")
-    near = (F.sqrt(dx * dx + dy * dy) <= radius) & (
-        ~F.col("_own") | (F.col("_a") < F.col(vehicle)))
+    first = (F.col("_ax") < F.col("x")) | ((F.col("_ax") == F.col("x"))
+                                           & (F.col("_ay") < F.col("y")))
+    near = (F.sqrt(dx * dx + dy * dy) <= radius) & (~F.col("_own") | first)
     # Join columns are sorted by in this order: cells tell rows apart sooner than sessions.
-    cell = ["_cx", "_cy", *reversed(frame)]
-    matches = (seekers.join(located.hint("merge"), cell).where(near)
-               .select(*frame, F.explode(F.array("_a", vehicle)).alias(vehicle))
-               .groupBy(*frame, vehicle).agg(F.count(F.lit(1)).alias("_n")))
-    return (df.select(*frame, vehicle)
-            .join(matches.hint("merge"), [vehicle, *reversed(frame)], "left")
-            .select(*frame, vehicle, F.coalesce("_n", F.lit(0)).cast("int")
+    both = F.array(F.struct(F.col("_ax").alias("x"), F.col("_ay").alias("y"), F.col("n")),
+                   F.struct("x", "y", F.col("_an").alias("n")))
+    matches = (seekers.join(spots.hint("merge"), ["_cx", "_cy", *reversed(frame)]).where(near)
+               .select(*frame, F.explode(both).alias("_m")).select(*frame, "_m.*"))
+    counted = (matches.unionByName(spots.select(*frame, "x", "y", F.col("n")))
+               .groupBy("x", "y", *reversed(frame)).agg(F.sum("n").alias("_n")))
+    return (df.select(*frame, vehicle, "x", "y")
+            .join(counted.hint("merge"), ["x", "y", *reversed(frame)], "left")
+            .select(*frame, vehicle, F.coalesce(F.col("_n") - 1, F.lit(0)).cast("int")
                     .alias("traffic_density")))

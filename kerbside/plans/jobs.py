@@ -189,13 +189,12 @@ def feature_importance(spark, sf_dir):
 def _attributed(spark, sf_dir, trees=10, depth=6):
     table = training_table(spark, sf_dir)
     model = ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
-    forest = model.stages[-1]
-    boxes = attribution.leaf_boxes(attribution.tree_nodes(spark, forest), len(MODEL_FEATURES),
-                                   [1.0 / trees] * trees, classify=True)
     scored = (score.add_probability(table.where("split = 'test'"), model)
               .withColumn("prediction", C.best_class("probability"))
               .select(*KEY, "prediction", *MODEL_FEATURES))
-    return attribution.attribute(scored, boxes, [*KEY, "prediction", *MODEL_FEATURES])
+    nodes = attribution.tree_nodes(spark, model.stages[-1])
+    return attribution.attribute_ensemble(scored, nodes, [*KEY, "prediction", *MODEL_FEATURES],
+                                          [1.0 / trees] * trees, classify=True)
 
 
 @query("attribution")

@@ -141,6 +141,17 @@ def test_attributions_sum_to_prediction_minus_base(spark, table):
         assert np.allclose(base + [sum(a) for a in r.attribution], r.probability)
 
 
+def test_attribution_in_parts_equals_one_pass(spark, table):
+    forest = ml.fit_forest(table.where("split = 'train'"), trees=4, depth=3)
+    nodes = attribution.tree_nodes(spark, forest.stages[-1])
+    assert len(attribution.tree_parts(nodes, 10)) > 1
+    rows = table.where("split = 'test'").orderBy(*KEY).limit(20)
+    whole, parts = (attribution.attribute_ensemble(rows, nodes, KEY, [0.25] * 4, True, max_leaves=m)
+                    .orderBy(*KEY).toPandas() for m in (1000, 10))
+    for a, b in zip(whole.attribution, parts.attribution):
+        assert np.allclose([list(v) for v in a], [list(v) for v in b])
+
+
 def brute_shapley(x, boxes):
     """Sum over all feature subsets, by definition."""
     from itertools import combinations

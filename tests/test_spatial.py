@@ -38,6 +38,19 @@ def test_proximity_equals_brute_force_with_a_crowded_cell(spark):
     assert density(spark, points) == near_count(points)
 
 
+def test_one_spot_with_very_many_vehicles_makes_no_pairs(spark):
+    df = spark.range(30000).selectExpr("'s' AS session_id", "1 AS tick", "cast(id as int) AS vehicle_id",
+                                       "if(id < 29990, 0.0D, id - 29980.0D) AS x", "0.0D AS y")
+    got = {r.traffic_density: r["count"] for r in
+           spatial.proximity_density(df).groupBy("traffic_density").count().collect()}
+    assert got == {29999: 30000}
+
+
+def test_vehicles_without_a_position_have_no_neighbours(spark):
+    assert density(spark, [("s", 1, 1, None, 0.0), ("s", 1, 2, 0.0, 0.0)]) == {
+        ("s", 1, 1): 0, ("s", 1, 2): 0}
+
+
 def test_proximity_plan_has_no_cross_join(spark):
     df = spark.createDataFrame([("s", 1, 1, 0.0, 0.0)],
                                "session_id string, tick int, vehicle_id int, x double, y double")
