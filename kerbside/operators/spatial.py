@@ -149,27 +149,31 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
     """
     frame = frame or ["session_id", "tick"]
     spots = (df.where(C.present("x") & C.present("y")).groupBy("x", "y", *reversed(frame))
-             .agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min(vehicle).alias("_id"))
              .withColumns({"_cx": F.floor(F.col("x") / radius), "_cy": F.floor(F.col("y") / radius)}))
     looks = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                       for dx, dy in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
     seekers = (spots.withColumn("_o", F.explode(looks))
-               .select(*frame, F.col("x").alias("_ax"), F.col("y").alias("_ay"),
-                       F.col("n").alias("_an"), (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
+               .select(*frame, F.col("_id").alias("_a"), F.col("x").alias("_ax"),
+                       F.col("y").alias("_ay"), F.col("n").alias("_an"),
+                       (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
                        (F.col("_cy") + F.col("_o.dy")).alias("_cy"),
                        ((F.col("_o.dx") == 0) & (F.col("_o.dy") == 0)).alias("_own")))
     dx, dy = F.col("_ax") - F.col("x"), F.col("_ay") - F.col("y")
-    first = (F.col("_ax") < F.col("x")) | ((F.col("_ax") == F.col("x"))
-                                           & (F.col("_ay") < F.col("y")))
-    near = (F.sqrt(dx * dx + dy * dy) <= radius) & (~F.col("_own") | first)
+    near = (F.sqrt(dx * dx + dy * dy) <= radius) & (~F.col("_own") | (F.col("_a") < F.col("_id")))
     # Join columns are sorted by in this order: cells tell rows apart sooner than sessions.
-    both = F.array(F.struct(F.col("_ax").alias("x"), F.col("_ay").alias("y"), F.col("n")),
-                   F.struct("x", "y", F.col("_an").alias("n")))
-    matches = (seekers.join(spots.hint("merge"), ["_cx", "_cy", *reversed(frame)]).where(near)
-               .select(*frame, F.explode(both).alias("_m")).select(*frame, "_m.*"))
-    counted = (matches.unionByName(spots.select(*frame, "x", "y", F.col("n")))
-               .groupBy("x", "y", *reversed(frame)).agg(F.sum("n").alias("_n")))
+    pairs = seekers.join(spots.hint("merge"), ["_cx", "_cy", *reversed(frame)]).where(near)
+    # Both ends of a pair, each with the number of vehicles at the other end.
+    ends = F.array(
+        F.struct(F.col("_a").alias("_id"), F.col("_ax").alias("x"), F.col("_ay").alias("y"), "n"),
+        F.struct("_id", "x", "y", F.col("_an").alias("n")))
+    around = (pairs.select(*frame, F.explode(ends).alias("_e")).select(*frame, "_e.*")
+              .groupBy("_id", *reversed(frame))
+              .agg(F.sum("n").alias("_near"), F.min("x").alias("x"), F.min("y").alias("y")))
+    counted = (spots.select(*frame, "_id", "x", "y", (F.col("n") - 1).alias("_near"))
+               .unionByName(around).groupBy("x", "y", *reversed(frame))
+               .agg(F.sum("_near").alias("_near")))
     return (df.select(*frame, vehicle, "x", "y")
             .join(counted.hint("merge"), ["x", "y", *reversed(frame)], "left")
-            .select(*frame, vehicle, F.coalesce(F.col("_n") - 1, F.lit(0)).cast("int")
+            .select(*frame, vehicle, F.coalesce("_near", F.lit(0)).cast("int")
                     .alias("traffic_density")))

@@ -58,8 +58,8 @@ def clean_label(spark, sf_dir):
     return plain(observations(spark, sf_dir).transform(cleaning.keep_labels))
 
 
-@query("clean_pipeline", sql("clean", f"SELECT {OBS_LIST} FROM clean"))
-def clean_pipeline(spark, sf_dir):
+@query("clean_all", sql("clean", f"SELECT {OBS_LIST} FROM clean"))
+def clean_all(spark, sf_dir):
     return plain(cleaned(spark, sf_dir))
 
 

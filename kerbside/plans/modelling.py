@@ -81,7 +81,7 @@ _NEAR = """SELECT a.session_id, a.tick, a.vehicle_id, count(b.vehicle_id) AS n
 def proximity_density(spark, sf_dir):
     positions = (observations(spark, sf_dir).groupBy("session_id", "tick", "vehicle_id")
                  .agg(F.min("x").alias("x"), F.min("y").alias("y")))
-    return positions.transform(spatial.proximity_density)
+    return written(positions, "positions").transform(spatial.proximity_density)
 
 
 @query("snapshot_observations", sql(
