@@ -1,4 +1,4 @@
-"""Three classifiers on Spark ML with the reference hyper-parameters as defaults.
+"""Three classifiers on Spark ML.
 
 The caller persists the training frame if it fits several models. ``fit_boosted`` needs a
 boolean ``is_val`` column marking the rows used for early stopping.
