@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one is set only where none is."""
+    """The shared folder that the cluster names; where none is named, a folder in the session's
+    warehouse, which driver and executors share too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="kerbside-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_kerbside"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
