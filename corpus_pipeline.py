@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kerbside.llm import packing, quality, secrets
+from kerbside.llm import ngram_join, packing, quality, secrets, substrings
 from kerbside.llm.queries import table, vocabulary
 from kerbside.sources.scratch import written
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """n_chars follows the text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules."""
     return quality.accepted(docs)
 
 
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id."""
+    return ngram_join.representatives(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that an earlier document has."""
+    return _measured(substrings.shortened(docs))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their text replaced; n_chars follows the text."""
-    from pyspark.sql import functions as F
-
-    return secrets.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return _measured(secrets.redacted(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +39,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2)
 
 
-STAGES = [("quality rules", quality_rules), ("secret scan", secret_scan), ("packing", pack)]
+STAGES = [("quality rules", quality_rules), ("n-gram join", ngram_join_stage),
+          ("substring dedup", substring_dedup), ("secret scan", secret_scan), ("packing", pack)]
 
 #: Tokenizers have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None

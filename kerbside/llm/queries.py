@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import packing, pieces, quality, records, secrets, token_counts, warc
+from kerbside.llm import (ngram_join, packing, pieces, quality, records, secrets, substrings,
+                          token_counts, vectors, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +43,57 @@ def op2(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+@query("op3_ngram_join", """
+    WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+        '[\\x20\\x09-\\x0D]'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+        lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)
+        AS g FROM t),
+    n AS (SELECT doc_id, count(*) AS n_ngrams, bit_xor(hash(g)) AS h, sum(hash(g)) AS k FROM s GROUP BY doc_id),
+    c AS (SELECT *, count(*) OVER (PARTITION BY h, k, n_ngrams) AS copies FROM n),
+    i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM s AS a JOIN s AS b USING (g)
+        WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM i JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+        WHERE n_both >= 0.8e0 * (x.n_ngrams + y.n_ngrams - n_both)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM t UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+    k AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a)
+    SELECT t.doc_id, coalesce(n_ngrams, 0) AS n_ngrams, coalesce(copies, 1) AS copies,
+      (SELECT count(*) FROM l WHERE l.a = t.doc_id) AS n_links, class_id
+    FROM t LEFT JOIN c USING (doc_id) JOIN k USING (doc_id)""")
+def op3(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_ngrams", "copies", "n_links", "class_id")
+
+
+@query("op4_substring_dedup", """
+    WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+        '[\\x20\\x09-\\x0D]'), lambda x: x <> '') AS w FROM documents),
+    e AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM t WHERE len(w) >= 50),
+    g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM e),
+    d AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS least FROM g),
+    r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM d WHERE least < doc_id),
+    z AS (SELECT doc_id, count(*) AS n_removed, list(j) AS gone FROM r GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+      sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_sort(
+        list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(gone, x))), lambda x: w[x]) END, ' '))
+        AS kept_sha256
+    FROM t LEFT JOIN z USING (doc_id)""")
+def op4(spark, sf_dir):
+    return substrings.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op5_vector_near_dedup", """
+    WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98e0),
+    reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+    c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links, component_id,
+      vec_id = component_id AS kept FROM c""")
+def op5(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_warc", """
     WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
     d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS h,
