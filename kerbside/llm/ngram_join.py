@@ -29,7 +29,7 @@ def choose_bands(threshold: float, recall: float, max_hashes: int = 256) -> tupl
     needs still fit into ``max_hashes``. Longer rows mean fewer candidates below the threshold."""
     best = None
     for rows in range(1, 33):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
+        bands = math.ceil(math.log1p(-recall) / math.log1p(-threshold ** rows))
         if bands * rows <= max_hashes:
             best = (bands, rows)
     if best is None:

@@ -1,0 +1,183 @@
+"""Quality rules, secret scans and the WARC archive."""
+
+import base64
+import collections
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from kerbside.llm import quality, secrets, warc
+
+from helpers import corpus, frame, same, words
+
+
+def figures(text):
+    text = text or ""
+    w = words(text)
+    windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    often = collections.Counter(windows)
+    covered = {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(3)}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            again += line in seen
+            seen.add(line)
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), again, len(covered),
+            len(w) < 50 or 100 * len(covered) > 50 * len(w))
+
+
+def rule_rows():
+    rows = corpus(6, 30)
+    rows += [(10**6, "la la la " * 40), (10**6 + 1, "word### " * 20 + " ".join(f"w{i}%%" for i in range(60))),
+             (10**6 + 2, "one line here\n" * 30), (10**6 + 3, " ".join(f"UPPER{i}" for i in range(70))),
+             (10**6 + 4, "\n".join(f"a{i} b{i} c{i}" for i in range(40))), (10**6 + 5, "x " * 30_000)]
+    return rows
+
+
+def test_figures_and_verdict(spark):
+    rows = rule_rows()
+    got = quality.judged(frame(spark, rows)).collect()
+    same([tuple(r)[:7] for r in got], [(i, *figures(t)) for i, t in rows])
+    kept = {r.doc_id: r.kept for r in got}
+    assert not any(kept[10**6 + k] for k in (0, 1, 2, 3, 5)) and kept[10**6 + 4]
+    assert not any(r.kept for r in got if r.base_failed)
+
+
+def test_accepted_is_the_verdict_in_any_order(spark):
+    rows = rule_rows()
+    docs = frame(spark, rows)
+    kept = {r.doc_id for r in quality.judged(docs).collect() if r.kept}
+    for chosen in (None, quality.rules(quality.on_text)[::-1]):
+        got = quality.accepted(docs, chosen)
+        assert got.columns == docs.columns
+        assert {r.doc_id for r in got.collect()} == kept
+
+
+def test_cascade_puts_cheap_rejections_first(spark):
+    docs = frame(spark, [(i, "short") for i in range(300)])
+    order = [r.name for r in quality.ordered(docs, quality.rules(quality.on_text))]
+    assert order[0] == "min_words" and len(order) == 6
+
+
+@pytest.mark.parametrize("run", [quality.judged, quality.accepted, secrets.scanned, secrets.redacted])
+def test_no_python_in_the_plan(spark, run):
+    plan = run(frame(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                    re.I | re.A)
+
+
+def base_spans(text):
+    text = text or ""
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans)
+
+
+def secret_rows():
+    rng = random.Random(8)
+    bits = ["token", "Password", "api_key", "APIKEY", " = ", ": ", '"', "'", "secret", "passwd", "abcdef123", "x.y-z/w",
+            "0123456789abcdef01234567", "AKIA", "ABCDEFGHIJKLMNOP", "é", "\n", "日本 ", "short"]
+    rows = corpus(7, 12)
+    rows += [(10**6 + i, "".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))) for i in range(150)]
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows += [(2 * 10**6 + i, "é key " + "".join(rng.choice(alphabet) for _ in range(40)) + " end") for i in range(20)]
+    rows += [(3 * 10**6 + i, "abcabcabcabcabcabcabcabc111111111111111111 aaaaaaaaaaaaaaaaaaaaaaaaaaaa1") for i in range(5)]
+    return rows
+
+
+def test_secret_spans(spark):
+    rows = secret_rows()
+    got = secrets.scanned(frame(spark, rows)).collect()
+    want = []
+    for i, text in rows:
+        spans = base_spans(text)
+        joined = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        want.append((i, *[sum(s[1] == k for s in spans) for k in range(3)], hashlib.sha256(joined.encode()).hexdigest()))
+    same([tuple(r)[:5] for r in got], want)
+    found = {r.doc_id: r.spans for r in got}
+    assert sum("random" in found[2 * 10**6 + i] for i in range(20)) >= 18
+    assert not any("random" in found[3 * 10**6 + i] for i in range(5))
+    for i, text in rows:
+        if i is not None and i >= 10**6:
+            assert set(found[i].split(",")) >= {f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base_spans(text)}
+
+
+def test_redaction(spark):
+    rows = secret_rows()
+    docs = frame(spark, rows)
+    got = secrets.redacted(docs)
+    assert got.columns == docs.columns
+    spans = {(r.doc_id): r.spans for r in secrets.scanned(docs).collect()}
+    for r in got.collect():
+        text = dict(rows)[r.doc_id]
+        if text is None:
+            assert r.text is None
+            continue
+        out, at = "", 0
+        for s in [x.split(":") for x in spans[r.doc_id].split(",") if x]:
+            a, b = int(s[1]), int(s[2])
+            if a >= at:
+                out += text[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert r.text == out + text[at:]
+
+
+def test_battery_tells_random_from_regular(spark):
+    rng = random.Random(1)
+    good = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (24, 40, 64) for _ in range(20)]
+    bad = ["0123456789abcdef" * 3, "a1" * 20, "0" * 30 + "a", "abcdefgh12345678" * 4]
+    frame_ = spark.createDataFrame([(t, t in bad) for t in good + bad], "text string, regular boolean")
+    got = frame_.select("regular", secrets.p_value(F.col("text")).alias("p")).collect()
+    assert sum(r.p > 0.01 for r in got if not r.regular) >= 55
+    assert all(r.p < 0.01 for r in got if r.regular)
+
+
+def page_rows():
+    rows = [(i, f"http://x/{i % 7}", f"<p>{'é' * (i % 5)}</p>" * (i % 4)) for i in range(60)]
+    return rows + [(100, None, None), (101, "bad url\r\n", ""), (102, "u", "<p>big</p>" * 50_000), (None, "u", "<b>only</b>"),
+                   (None, "u", rows[7][2]), rows[7]]
+
+
+@pytest.mark.parametrize("min_bytes", [0, 20])
+def test_archive_round_trip(spark, min_bytes):
+    rows = page_rows()
+    pages = spark.createDataFrame([(*r, b"x", 1) for r in rows], "page_id long, url string, html string, digest binary, owner int")
+    got = warc.archived(pages, min_bytes).collect()
+    owner = {}
+    for i, _, html in rows:
+        if i is not None:
+            owner[html or ""] = max(owner.get(html or "", i), i)
+    want = []
+    for i, _, html in rows:
+        data = (html or "").encode()
+        best = owner.get(html or "")
+        refers = best if len(data) >= min_bytes and best != i else None
+        want.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+                     "response" if refers is None else "revisit", refers))
+    same(got, want)
+
+
+def test_payloads_are_stored_once_and_records_parse(spark):
+    rows = page_rows()
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write_archive(pages)
+    stored = warc.read_payloads(spark, archive).collect()
+    assert sorted(bytes(r.payload) for r in stored) == sorted({(h or "").encode() for _, _, h in rows})
+    assert all(hashlib.sha256(r.payload).digest() == bytes(r.digest) for r in stored)
+    for r in warc.read_records(spark, archive).select("header").collect():
+        head = bytes(r.header).decode()
+        assert head.startswith("WARC/1.1\r\n") and head.count("\r\n\r\n") == 2
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [])
+    for run in (quality.judged, quality.accepted, secrets.scanned, secrets.redacted):
+        assert run(none).count() == 0
+    assert warc.archived(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
