@@ -172,7 +172,7 @@ def label_severity(label: str | Column = "congestion_label", missing: int | None
 
 
 def severity(probabilities: str | Column) -> Column:
-    """0*P(Low) + 50*P(Medium) + 100*P(High) of a three-element array."""
+    """Expected severity of class probabilities: the classes stand for 0, 50 and 100."""
     p = _col(probabilities)
     return F.lit(50.0) * F.element_at(p, 2) + F.lit(100.0) * F.element_at(p, 3)
 

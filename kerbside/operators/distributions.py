@@ -119,14 +119,19 @@ def edge_histogram(df: DataFrame, value: Column, edges: list[float]) -> DataFram
 # --- kernel density --------------------------------------------------------------------
 
 def kernel_density(df: DataFrame, by: str, value: str | Column, lo: float, hi: float, points: int,
-                   factor: float, groups: list[str], min_rows: int = 2) -> DataFrame:
+                   factor: float, groups: list[str] | None = None,
+                   min_rows: int = 2) -> DataFrame:
     """Gaussian density of each group on a fixed grid; bandwidth = factor * sample std.
 
+    All groups that occur, or a closed list of ``groups``; only with such a list is the table
+    of bandwidths broadcast.
+
     Values are clamped to the grid first. Each distinct value adds its weight to every grid
     point, summed map-side, so the shuffle carries groups * points rows per task.
     """
     column = F.col(value) if isinstance(value, str) else value
-    counts = value_counts(only_groups(df, by, groups), [by], C.clip(column, float(lo), float(hi)))
+    chosen = df if groups is None else only_groups(df, by, groups)
+    counts = value_counts(chosen, [by], C.clip(column, float(lo), float(hi)))
     moments = counts.groupBy(by).agg(
         F.sum("n").alias("total"), F.sum(F.col("n") * F.col("value")).alias("s1"),
         F.sum(F.col("n") * F.col("value") * F.col("value")).alias("s2"))
@@ -137,7 +142,7 @@ def kernel_density(df: DataFrame, by: str, value: str | Column, lo: float, hi: f
               .where("h > 0"))
     step = (float(hi) - float(lo)) / (points - 1)
     at = F.lit(float(lo)) + F.col("point") * F.lit(step)
-    return (counts.join(F.broadcast(widths), by)  # at most len(groups) rows
+    return (counts.join(widths if groups is None else F.broadcast(widths), by)
             .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
             .select(by, "point", "total", "h",
                     (F.col("n") * C.normal_kernel((at - F.col("value")) / F.col("h"))).alias("w"))
@@ -146,6 +151,28 @@ def kernel_density(df: DataFrame, by: str, value: str | Column, lo: float, hi: f
                     C.steady(F.col("w") / (F.col("total") * F.col("h")), 6).alias("density")))
 
 
+# --- crossed names ---
+
+def crossed(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Every value of one column with every value of the other, nulls left out.
+
+    Meant for columns with few values (towns, weathers): the result is their product. Each side
+    is its distinct values; neither is gathered in one task.
+    """
+    left = df.where(F.col(rows).isNotNull()).select(rows).distinct()
+    right = df.where(F.col(columns).isNotNull()).select(columns).distinct()
+    return left.join(right)
+
+
+def high_shares(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Rows and % High per pair of values; pairs that don't occur have 0."""
+    high = F.coalesce(F.col("congestion_label") == "High", F.lit(False)).cast("double")
+    cells = df.groupBy(rows, columns).agg(
+        F.count(F.lit(1)).alias("n_rows"), C.steady(100.0 * F.avg(high), 6).alias("pct_high"))
+    return crossed(df, rows, columns).join(cells, [rows, columns], "left").fillna(
+        {"n_rows": 0, "pct_high": 0.0})
+
+
 # --- category shares -------------------------------------------------------------------
 
 def label_shares(df: DataFrame, by: list[str]) -> DataFrame:

@@ -35,8 +35,10 @@ def histogram(source: str, by: str | None, value: str, bins: int, where: str = "
 
 
 def density(source: str, by: str, value: str, lo: float, hi: float, points: int, factor: float,
-            groups: list[str], min_rows: int = 2) -> str:
-    names = ", ".join(f"'{g}'" for g in groups)
+            groups: list[str] | None, min_rows: int = 2) -> str:
+    inside = f"{by} IS NOT NULL"
+    if groups is not None:
+        inside = f"{by} IN ({', '.join(repr(g) for g in groups)})"
     step = (float(hi) - float(lo)) / (points - 1)
     return sql(
         source,
@@ -46,7 +48,7 @@ def density(source: str, by: str, value: str, lo: float, hi: float, points: int,
             FROM v JOIN m USING ({by}) CROSS JOIN (SELECT unnest(range({points})) AS point)
             GROUP BY {by}, point""",
         v=f"""SELECT {by}, {clip(value, lo, hi)} AS value, count(*) AS n FROM {source}
-          WHERE {by} IN ({names}) AND {value} IS NOT NULL GROUP BY ALL""",
+          WHERE {inside} AND {value} IS NOT NULL GROUP BY ALL""",
         m=f"""SELECT {by}, sum(n) AS total,
             {factor} * sqrt((sum(n * value * value) - sum(n * value) * sum(n * value) / sum(n))
               / (sum(n) - 1)) AS h

@@ -9,14 +9,10 @@ from kerbside.operators import distributions as D, quality, series, spatial
 from kerbside.plans import checks
 from kerbside.plans.registry import query
 from kerbside.plans.tables import ORDER, observations, plain, sql
-from kerbside.schema import KEY, LABELS, OBS_COLUMNS, WEATHER_CODES
+from kerbside.schema import KEY, LABELS, OBS_COLUMNS, RAINY_CODES
 
-WEATHERS = list(WEATHER_CODES)
-TOWNS = ["Town01", "Town02", "Town03", "Town04"]
 LABEL_IN = "congestion_label IN ('Low', 'Medium', 'High')"
-KNOWN_WEATHER = "weather_name IN (" + ", ".join(f"'{w}'" for w in WEATHERS) + ")"
-KNOWN_TOWN = "town IN ('Town01', 'Town02', 'Town03', 'Town04')"
-RAINY = "weather IN (2, 3, 4, 5, 6, 9, 10, 11, 12, 13, 16, 17, 18, 19, 20)"
+RAINY = f"weather IN ({', '.join(map(str, sorted(RAINY_CODES)))})"
 LABEL_CODE = ("CASE congestion_label WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 "
               "ELSE -1 END")
 
@@ -152,11 +148,10 @@ query("hist_density_label", checks.histogram("obs", "congestion_label", "traffic
 
 
 @query("hist_speed_weather", checks.histogram("obs", "weather_name", checks.clip("speed", 0, 100),
-                                              60, f"speed IS NOT NULL AND {KNOWN_WEATHER}"))
+                                              60, "speed IS NOT NULL AND weather_name IS NOT NULL"))
 def hist_speed_weather(spark, sf_dir):
-    known = D.only_groups(raw(spark, sf_dir), "weather_name", WEATHERS)
-    return known.transform(D.histogram, C.clip("speed", 0.0, 100.0), 60, ["weather_name"],
-                           bounded=True)
+    return raw(spark, sf_dir).transform(D.histogram, C.clip("speed", 0.0, 100.0), 60,
+                                        ["weather_name"])
 
 
 @query("hist_speed_rain", checks.histogram(
@@ -167,10 +162,9 @@ def hist_speed_rain(spark, sf_dir):
             .transform(D.histogram, C.clip("speed", 0.0, 100.0), 60, ["is_rainy"], bounded=True))
 
 
-@query("hist_elevation_town", checks.histogram("obs", "town", "z", 40, KNOWN_TOWN))
+@query("hist_elevation_town", checks.histogram("obs", "town", "z", 40, "town IS NOT NULL"))
 def hist_elevation_town(spark, sf_dir):
-    return D.only_groups(raw(spark, sf_dir), "town", TOWNS).transform(
-        D.histogram, "z", 40, ["town"], bounded=True)
+    return raw(spark, sf_dir).transform(D.histogram, "z", 40, ["town"])
 
 
 @query("severity_hist", sql("obs", """SELECT CAST(i AS INT) AS bin, lo AS bin_lo, hi AS bin_hi,
@@ -198,10 +192,10 @@ def kde_acceleration_label(spark, sf_dir):
 
 
 @query("kde_acceleration_weather", checks.density("obs", "weather_name", "acceleration", 0, 8, 200,
-                                                  0.25, WEATHERS, 101))
+                                                  0.25, None, 101))
 def kde_acceleration_weather(spark, sf_dir):
     return raw(spark, sf_dir).transform(D.kernel_density, "weather_name", "acceleration", 0, 8, 200,
-                                        0.25, WEATHERS, 101)
+                                        0.25, None, 101)
 
 
 # --- shares, centres, boxes ------------------------------------------------------------
@@ -217,15 +211,15 @@ query("share_rainy", checks.shares("obs", "is_rainy").replace(
     .transform(D.label_shares, ["is_rainy"]))
 
 
-@query("high_share_town_weather", sql("obs", """SELECT town, weather_name, count(*) AS n_rows,
+@query("high_share_town_weather", sql("obs", """SELECT t.town, w.weather_name,
+      coalesce(n_rows, 0) AS n_rows, coalesce(pct_high, 0e0) AS pct_high
+    FROM (SELECT DISTINCT town FROM obs) AS t CROSS JOIN (SELECT DISTINCT weather_name FROM obs) AS w
+    LEFT JOIN c ON c.town = t.town AND c.weather_name = w.weather_name""",
+    c="""SELECT town, weather_name, count(*) AS n_rows,
     round(round(100e0 * count(*) FILTER (WHERE congestion_label = 'High') / count(*), 9), 6) AS pct_high
     FROM obs GROUP BY town, weather_name"""))
 def high_share_town_weather(spark, sf_dir):
-    high = F.coalesce(F.col("congestion_label") == "High", F.lit(False)).cast("double")
-    return (raw(spark, sf_dir).where("town IS NOT NULL AND weather_name IS NOT NULL")
-            .groupBy("town", "weather_name")
-            .agg(F.count(F.lit(1)).alias("n_rows"), C.steady(100.0 * F.avg(high), 6)
-                 .alias("pct_high")))
+    return raw(spark, sf_dir).transform(D.high_shares, "town", "weather_name")
 
 
 query("box_stats", checks.box("obs", "town", checks.clip("speed", 0, 100)).replace(
@@ -340,12 +334,9 @@ def top_vehicle_share(spark, sf_dir):
 # --- time series -----------------------------------------------------------------------
 
 @query("speed_per_tick", sql("obs", """SELECT session_id, tick, round(round(avg(speed), 9), 6) AS avg_speed
-    FROM obs WHERE session_id IN (SELECT DISTINCT session_id FROM obs ORDER BY 1 LIMIT 3)
-    GROUP BY session_id, tick"""))
+    FROM obs GROUP BY session_id, tick"""))
 def speed_per_tick(spark, sf_dir):
-    df = raw(spark, sf_dir)
-    chosen = series.restrict(df, series.first_values(df, "session_id", 3), "session_id")
-    return series.per_tick(chosen, avg_speed=C.steady(F.avg("speed"), 6))
+    return series.per_tick(raw(spark, sf_dir), avg_speed=C.steady(F.avg("speed"), 6))
 
 
 @query("top_session_series", sql("obs", """SELECT session_id, tick,
@@ -371,37 +362,29 @@ def _rolling(value: str) -> str:
 @query("label_share_rolling", sql(
     "obs", "SELECT session_id, tick, " + ", ".join(
         f"round(round(100e0 * {_rolling(l)}, 9), 6) AS pct_{l}" for l in ("low", "medium", "high"))
-    + " FROM t WHERE session_id = (SELECT min(session_id) FROM obs)",
+    + " FROM t",
     t="SELECT session_id, tick, " + ", ".join(
         f"avg(CAST(congestion_label = '{l}' AS DOUBLE)) AS {l.lower()}" for l in LABELS)
     + " FROM obs GROUP BY session_id, tick"))
 def label_share_rolling(spark, sf_dir):
-    df = raw(spark, sf_dir)
-    first = series.restrict(df, series.first_values(df, "session_id", 1), "session_id")
-    return first.transform(series.label_shares_per_tick)
+    return raw(spark, sf_dir).transform(series.label_shares_per_tick)
 
 
 @query("stationary_rolling", sql(
     "obs", f"""SELECT session_id, tick, round(round(p, 9), 6) AS pct_stationary,
-      round(round({_rolling('p')}, 9), 6) AS pct_rolling FROM t
-      WHERE session_id IN (SELECT DISTINCT session_id FROM obs ORDER BY 1 LIMIT 4)""",
+      round(round({_rolling('p')}, 9), 6) AS pct_rolling FROM t""",
     t="""SELECT session_id, tick, avg(CAST(coalesce(speed < 1, FALSE) AS DOUBLE)) * 100e0 AS p
       FROM obs GROUP BY session_id, tick"""))
 def stationary_rolling(spark, sf_dir):
-    df = raw(spark, sf_dir)
-    chosen = series.restrict(df, series.first_values(df, "session_id", 4), "session_id")
-    return chosen.transform(series.stationary_share)
+    return raw(spark, sf_dir).transform(series.stationary_share)
 
 
 @query("speed_volatility", sql(
     "obs", f"""SELECT session_id, tick, round(round(s, 9), 6) AS speed_std,
-      round(round({_rolling('s')}, 9), 6) AS speed_std_rolling FROM t
-      WHERE session_id = (SELECT min(session_id) FROM obs)""",
+      round(round({_rolling('s')}, 9), 6) AS speed_std_rolling FROM t""",
     t="SELECT session_id, tick, stddev_samp(speed) AS s FROM obs GROUP BY session_id, tick"))
 def speed_volatility(spark, sf_dir):
-    df = raw(spark, sf_dir)
-    first = series.restrict(df, series.first_values(df, "session_id", 1), "session_id")
-    return first.transform(series.speed_volatility)
+    return raw(spark, sf_dir).transform(series.speed_volatility)
 
 
 @query("tick_profile", sql(
@@ -459,16 +442,11 @@ def spatial_value_grid(spark, sf_dir):
     return spatial.grid_means(df, views)
 
 
-_FIRST_TOWNS = "town IN (SELECT DISTINCT town FROM obs ORDER BY 1 LIMIT 4)"
-
-
 def _town_grid(spark, sf_dir):
-    df = raw(spark, sf_dir)
-    four = series.restrict(df, series.first_values(df, "town", 4), "town")
-    return four.transform(spatial.grid, 60, ["town"], bounded=True)  # four towns
+    return raw(spark, sf_dir).transform(spatial.grid, 60, ["town"])
 
 
-query("spatial_grid_town", checks.grid("obs", "town", None, where=_FIRST_TOWNS))(_town_grid)
+query("spatial_grid_town", checks.grid("obs", "town", None))(_town_grid)
 
 _KERNEL = ", ".join(f"({k - 6}, {w!r})" for k, w in enumerate(spatial.smoothing_weights(1.5)))
 
@@ -476,7 +454,7 @@ _KERNEL = ", ".join(f"({k - 6}, {w!r})" for k, w in enumerate(spatial.smoothing_
 @query("spatial_smooth", sql(
     "obs",
     "SELECT town, ix, iy, round(round(v, 9), 6) AS smoothed FROM s2",
-    pts=f"SELECT * FROM obs WHERE {_FIRST_TOWNS}",
+    pts="SELECT * FROM obs",
     ext="""SELECT town, min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM pts
       GROUP BY town""",
     c="""SELECT town, CAST(least(floor((x - xl) / ((xh - xl) / 60)), 59) AS INT) AS ix,

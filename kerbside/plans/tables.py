@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kerbside.schema import RAINY_CODES
+
 SESSION_TEXT = """concat('20240101_00000', CAST(l_suppkey % 8 AS STRING),
     '_Town0', CAST(l_suppkey % 4 + 1 AS STRING), '_',
     CASE l_suppkey % 8 WHEN 0 THEN 'ClearNoon' WHEN 1 THEN 'HardRainNoon'
@@ -26,12 +28,14 @@ UNLABELLED_TEXT = f"""SELECT {SESSION_TEXT} AS session_id,
   ((l_orderkey * 37 + l_linenumber * 11) % 3600) / 10e0 - 180e0 AS yaw,
   CAST(CASE WHEN l_orderkey % 983 = 2 THEN -1
     ELSE (l_partkey * 31 + l_orderkey * 17) % 22 END AS INT) AS traffic_density,
-  CAST(CASE l_suppkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 5 WHEN 2 THEN 4 WHEN 3 THEN 3
-    WHEN 4 THEN 5 WHEN 5 THEN 0 WHEN 6 THEN 3 ELSE 0 END AS INT) AS weather,
-  CASE l_suppkey % 8 WHEN 0 THEN 'ClearNoon' WHEN 1 THEN 'HardRainNoon'
+  CAST(CASE WHEN l_orderkey % 43 = 5 THEN -1 ELSE CASE l_suppkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 5 WHEN 2 THEN 4 WHEN 3 THEN 3
+    WHEN 4 THEN 5 WHEN 5 THEN 0 WHEN 6 THEN 3 ELSE 0 END END AS INT) AS weather,
+  CASE WHEN l_orderkey % 43 = 5 THEN 'Duststorm' ELSE CASE l_suppkey % 8 WHEN 0 THEN 'ClearNoon' WHEN 1 THEN 'HardRainNoon'
     WHEN 2 THEN 'MidRainyNoon' WHEN 3 THEN 'WetCloudyNoon' WHEN 4 THEN 'HardRainNoon'
-    WHEN 5 THEN 'ClearNoon' WHEN 6 THEN 'WetCloudyNoon' ELSE 'ClearNoon' END AS weather_name,
-  concat('Town0', CAST(l_suppkey % 4 + 1 AS STRING)) AS town,
+    WHEN 5 THEN 'ClearNoon' WHEN 6 THEN 'WetCloudyNoon' ELSE 'ClearNoon' END END
+    AS weather_name,
+  CASE WHEN l_orderkey % 37 = 3 THEN 'Town05' WHEN l_orderkey % 41 = 4 THEN 'Town10HD'
+    ELSE concat('Town0', CAST(l_suppkey % 4 + 1 AS STRING)) END AS town,
   CAST((l_partkey + l_linenumber) % 24 AS INT) AS hour,
   l_orderkey AS row_a, l_linenumber AS row_b
 FROM {{lineitem}}"""
@@ -102,7 +106,7 @@ _CTES = {
     "clean": """SELECT * FROM deduped WHERE acceleration >= 0 AND acceleration <= 50
         AND speed >= 0 AND speed <= 200 AND traffic_density >= 0
         AND congestion_label IN ('Low', 'Medium', 'High')""",
-    "feat": """SELECT *,
+    "feat": f"""SELECT *,
         CAST(CASE WHEN speed < 5 THEN 0 WHEN speed < 20 THEN 1 WHEN speed < 50 THEN 2 ELSE 3 END
           AS INT) AS speed_bin,
         CAST(CASE WHEN traffic_density < 3 THEN 0 WHEN traffic_density < 8 THEN 1
@@ -110,7 +114,7 @@ _CTES = {
         CAST(speed < 1 AS INT) AS is_stationary,
         CAST(traffic_density >= 10 AS INT) AS is_high_density,
         CAST(hour BETWEEN 7 AND 9 OR hour BETWEEN 17 AND 19 AS INT) AS is_rush_hour,
-        CAST(weather IN (2, 3, 4, 5, 6, 9, 10, 11, 12, 13, 16, 17, 18, 19, 20) AS INT) AS is_rainy,
+        CAST(weather IN ({', '.join(map(str, sorted(RAINY_CODES)))}) AS INT) AS is_rainy,
         CAST(speed * traffic_density AS DOUBLE) AS speed_x_density,
         CAST(acceleration > 1 AND speed < 15 AS INT) AS is_braking,
         TRY_CAST(regexp_extract(town, '([0-9]+)$', 1) AS INT) AS town_code,
