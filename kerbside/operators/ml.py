@@ -23,9 +23,10 @@ def assembler(features: list[str] = MODEL_FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
 
-def usable(df: DataFrame, features: list[str] = MODEL_FEATURES) -> DataFrame:
-    """Rows whose features are all present (a town without a number has no code)."""
-    return df.dropna(subset=features)
+def usable(df: DataFrame, features: list[str] = MODEL_FEATURES, unknown_town: int = -1) -> DataFrame:
+    """Rows whose features are all present. A town without a number gets a code of its own, so
+    its rows are trained on and scored like any others."""
+    return df.fillna({"town_code": unknown_town}).dropna(subset=features)
 
 
 def fit_logistic(train: DataFrame, features: list[str] = MODEL_FEATURES, c: float = 1.0,

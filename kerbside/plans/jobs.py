@@ -24,16 +24,28 @@ from kerbside.streaming import streams
 # --- sources and sinks -----------------------------------------------------------------
 
 
+@query("read_observations", sql("obs", f"SELECT {OBS_LIST} FROM obs"))
+def read_observations(spark, sf_dir):
+    """Two Parquet logs of one directory, found by pattern."""
+    base = scratch_path(spark, "logs")
+    rows = observations(spark, sf_dir).select(*OBS_COLUMNS)
+    sinks.append_parquet(rows.where("hour < 12"), f"{base}/a.parquet", by_session=False)
+    sinks.append_parquet(rows.where("hour >= 12"), f"{base}/b.parquet", by_session=False)
+    return readers.read_observations(spark, base).select(*OBS_COLUMNS)
+
+
 @query("scan_mixed_dedup_stem", sql("obs", f"""SELECT {OBS_LIST},
-    CASE WHEN hour < 12 THEN 'a.parquet' ELSE 'b.csv' END AS source_file FROM obs"""))
+    CASE WHEN hour < 12 THEN 'a.parquet' WHEN hour < 18 THEN 'b.csv' ELSE 'c.csv' END AS source_file
+    FROM obs"""))
 def scan_mixed_dedup_stem(spark, sf_dir):
-    """``a`` exists in both formats, ``b`` only as CSV."""
+    """``a`` exists in both formats, ``b`` and ``c`` only as CSV, ``c`` in another column order."""
     base = scratch_path(spark, "mixed")
     rows = observations(spark, sf_dir).select(*OBS_COLUMNS)
     first = rows.where("hour < 12")
     sinks.append_parquet(first, f"{base}/a.parquet", by_session=False)
     sinks.append_csv(first, f"{base}/a.csv")
-    sinks.append_csv(rows.where("hour >= 12"), f"{base}/b.csv")
+    sinks.append_csv(rows.where("hour >= 12 AND hour < 18"), f"{base}/b.csv")
+    sinks.append_csv(rows.where("hour >= 18").select(*reversed(OBS_COLUMNS)), f"{base}/c.csv")
     return readers.read_mixed(spark, base)
 
 

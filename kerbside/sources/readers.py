@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from kerbside.operators.features import drop_leakage, project_features
 from kerbside.schema import COMPARISON_SCHEMA, LEAKAGE, OBS_SCHEMA
@@ -39,47 +41,73 @@ def read_observations(spark: SparkSession, directory: str) -> DataFrame:
     return _conform(spark.read.option("mergeSchema", "true").parquet(pattern), OBS_SCHEMA)
 
 
-def _entry(path: str, directory: str):
-    """Name of the file or folder directly below ``directory`` that a full path belongs to."""
+def _entry(path: str, directory: str) -> Column:
+    """Path below ``directory`` of the ``*.parquet`` or ``*.csv`` file or folder a file belongs to."""
     folder = directory.rstrip("/").rsplit("/", 1)[-1]
-    return F.regexp_extract(F.col(path), "/" + re.escape(folder) + "/([^/]+)", 1)
+    return F.regexp_extract(F.col(path), "/" + re.escape(folder) + r"/(.*?[.](?:parquet|csv))(?:/|$)", 1)
 
 
-def _listing(spark: SparkSession, pattern: str, directory: str) -> DataFrame:
-    """Entry and stem per file of a glob; only the listing is read, not the contents."""
-    return (spark.read.format("binaryFile").load(pattern).select("path")
-            .withColumn("entry", _entry("path", directory))
-            .withColumn("stem", F.regexp_replace("entry", r"\.[^.]*$", "")))
+def _columns(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names that an entry states itself; None if it can't be read."""
+    try:
+        if path.endswith(".parquet"):
+            return tuple(spark.read.parquet(path).columns)
+        return tuple(spark.read.option("header", "true").csv(path).columns) or None
+    except (PySparkException, Py4JJavaError):
+        return None
+
+
+def _scan(spark: SparkSession, directory: str, recursive: bool) -> list[tuple[str, str, tuple | None]]:
+    """(entry, status, columns) of the entries of a directory, in order of their names.
+
+    Only names are listed; of each entry one footer or header line is read. A CSV entry is a
+    "twin" if a Parquet entry of the same stem can be read.
+    """
+    base = directory.rstrip("/")
+    names = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+             .select(_entry("path", base).alias("entry")).where("entry <> ''").distinct())
+    entries = sorted(r.entry for r in names.collect() if recursive or "/" not in r.entry)
+    columns = {e: _columns(spark, f"{base}/{e}") for e in entries}
+    loaded = {e.removesuffix(".parquet") for e in entries if e.endswith(".parquet") and columns[e]}
+    return [(e, "unreadable" if columns[e] is None
+             else "twin" if e.endswith(".csv") and e.removesuffix(".csv") in loaded else "loaded",
+             columns[e]) for e in entries]
+
+
+def scan_report(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
+    """``source_file, status``: loaded, twin (a Parquet entry stands in) or unreadable."""
+    rows = [(entry, status) for entry, status, _ in _scan(spark, directory, recursive)]
+    return spark.createDataFrame(rows, "source_file string, status string")
 
 
-def read_mixed(spark: SparkSession, directory: str) -> DataFrame:
+def read_mixed(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """Parquet and CSV files together, with ``source_file``.
 
-    An entry is a file or a folder of part files named ``*.parquet`` or ``*.csv``. A CSV entry
-    is skipped when a Parquet entry has the same stem. The choice is made on the file listing,
-    so no row is shuffled for it. Unreadable files are skipped; no file at all is an error.
+    An entry is a file or a folder of part files named ``*.parquet`` or ``*.csv``; with
+    ``recursive`` also in folders below. A CSV entry is skipped when a Parquet entry with the
+    same stem can be read. Each entry is read by its own columns, those with the same ones
+    together; a part file whose header differs from its entry's is an error, not a swap.
+    Entries that can't be read are left out and listed by ``scan_report``; no readable entry at
+    all is an error.
     """
     base = directory.rstrip("/")
-    parquet, csv = f"{base}/*.parquet", f"{base}/*.csv"
     source = _entry("_metadata.file_path", base).alias("source_file")
-    has_parquet = path_exists(spark, parquet)
-    frames = []
-    if has_parquet:
-        rows = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
-                .parquet(parquet).select("*", source))
-        frames.append(_conform(rows, OBS_SCHEMA, ["source_file"]))
-    if path_exists(spark, csv):
-        wanted = _listing(spark, csv, base)
-        if has_parquet:
-            wanted = wanted.join(_listing(spark, parquet, base), "stem", "left_anti")
-        # File paths only; the driver lists them to plan the scan in any case.
-        paths = [r.path for r in wanted.select("path").collect()]
-        if paths:
-            rows = (spark.read.option("header", "true").option("ignoreCorruptFiles", "true")
-                    .csv(paths).select("*", source))
-            frames.append(_conform(rows, OBS_SCHEMA, ["source_file"]))
-    if not frames:
+    alike: dict[tuple, list[str]] = {}
+    for entry, status, columns in _scan(spark, directory, recursive):
+        if status == "loaded":
+            alike.setdefault((entry.endswith(".csv"), columns), []).append(f"{base}/{entry}")
+    if not alike:
         raise FileNotFoundError(f"no Parquet or CSV files in {directory}")
+    frames = []
+    for (is_csv, columns), paths in alike.items():
+        if is_csv:
+            text = StructType([StructField(c, StringType()) for c in columns])
+            rows = (spark.read.schema(text).option("header", "true").option("enforceSchema", "false")
+                    .csv(paths))
+            frames.append(_conform(rows.select("*", source), OBS_SCHEMA, ["source_file"]))
+        else:  # one read per entry: files of different widths have different schemas
+            frames += [_conform(spark.read.parquet(p).select("*", source), OBS_SCHEMA, ["source_file"])
+                       for p in paths]
     return reduce(DataFrame.unionByName, frames)
 
 

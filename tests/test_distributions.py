@@ -114,3 +114,20 @@ def test_severity_edges(spark):
     df = spark.createDataFrame([(v,) for v in (0, 24, 25, 60, 75, 100, 101)], "v int")
     got = D.edge_histogram(df, F.col("v"), [0, 25, 40, 60, 75, 100]).orderBy("bin").collect()
     assert [r.n_rows for r in got] == [2, 1, 0, 1, 2]
+
+
+def test_share_matrix_has_zero_cells(spark, make_obs):
+    rows = make_obs({"town": "Town05", "weather_name": "ClearNoon", "congestion_label": "High"},
+                    {"town": "Town10HD", "weather_name": "Duststorm"})
+    got = {(r.town, r.weather_name): (r.n_rows, r.pct_high)
+           for r in D.high_shares(rows, "town", "weather_name").collect()}
+    assert got == {("Town05", "ClearNoon"): (1, 100.0), ("Town05", "Duststorm"): (0, 0.0),
+                   ("Town10HD", "ClearNoon"): (0, 0.0), ("Town10HD", "Duststorm"): (1, 0.0)}
+
+
+def test_groups_outside_the_known_names_stay(spark, make_obs):
+    rows = make_obs(*[{"town": t, "weather_name": w, "z": float(i), "acceleration": float(i % 7)}
+                      for t, w in [("Town10HD", "Duststorm"), ("Town05", "ClearNoon")] for i in range(120)])
+    assert {r.town for r in D.histogram(rows, "z", 40, ["town"]).collect()} == {"Town10HD", "Town05"}
+    density = D.kernel_density(rows, "weather_name", "acceleration", 0, 8, 20, 0.25, None, 101)
+    assert {r.weather_name for r in density.collect()} == {"Duststorm", "ClearNoon"}

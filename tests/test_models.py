@@ -206,3 +206,9 @@ def test_stored_splits_round_trip(spark, table, tmp_path):
     assert test.count() == table.where("split = 'test'").count()
     assert set(dict(test.dtypes).values()) == {"double", "int"}
     assert readers.read_split(spark, base, "other", MODEL_FEATURES) is None
+
+
+def test_towns_without_a_number_are_trained_on_and_scored(spark, make_obs):
+    rows = make_obs({"town": "Town01"}, {"town": "Town10HD", "speed": 3.0}, {"town": "Town12", "speed": 80.0})
+    table = ml.usable(features.add_features(rows))
+    assert {(r.town, r.town_code) for r in table.collect()} == {("Town01", 1), ("Town10HD", -1), ("Town12", 12)}

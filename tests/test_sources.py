@@ -22,6 +22,35 @@ def test_csv_twin_is_skipped(spark, files, tmp_path):
     assert got.where("speed IS NULL").count() == 2
 
 
+def test_each_csv_is_read_by_its_own_header(spark, files, tmp_path):
+    one, two = files.assign(speed=1.0, acceleration=2.0), files.assign(speed=3.0, acceleration=4.0)
+    one.to_csv(tmp_path / "one.csv", index=False)
+    two[two.columns[::-1]].to_csv(tmp_path / "two.csv", index=False)
+    got = readers.read_mixed(spark, str(tmp_path)).select("speed", "acceleration").distinct().collect()
+    assert sorted(map(tuple, got)) == [(1.0, 2.0), (3.0, 4.0)]
+
+
+def test_csv_stays_when_its_parquet_twin_is_broken(spark, files, tmp_path):
+    (tmp_path / "a.parquet").write_bytes(b"broken")
+    files.to_csv(tmp_path / "a.csv", index=False)
+    files.to_parquet(tmp_path / "b.parquet")
+    files.to_csv(tmp_path / "b.csv", index=False)
+    got = readers.read_mixed(spark, str(tmp_path)).groupBy("source_file").count().collect()
+    assert {tuple(r) for r in got} == {("a.csv", 2), ("b.parquet", 2)}
+    report = {tuple(r) for r in readers.scan_report(spark, str(tmp_path)).collect()}
+    assert report == {("a.parquet", "unreadable"), ("a.csv", "loaded"), ("b.parquet", "loaded"), ("b.csv", "twin")}
+
+
+def test_recursive_scan(spark, files, tmp_path):
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    files.to_csv(tmp_path / "top.csv", index=False)
+    files.to_parquet(tmp_path / "deep" / "er" / "low.parquet")
+    flat = readers.read_mixed(spark, str(tmp_path))
+    assert {r.source_file for r in flat.collect()} == {"top.csv"}
+    deep = readers.read_mixed(spark, str(tmp_path), recursive=True)
+    assert {r.source_file for r in deep.collect()} == {"top.csv", "deep/er/low.parquet"}
+
+
 def test_nothing_to_load(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_mixed(spark, str(tmp_path))
