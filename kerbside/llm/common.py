@@ -104,8 +104,9 @@ def block_pairs(keys: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
     block or in two that meet, whatever the size of a key, and no list of node pairs is made.
     Side 0 and 1 tell the two blocks of a pair apart; a block compared with itself has side 0.
     """
-    shared = (keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .where("lo < hi").select("key"))
+    # Written, so that the join is planned on its own and a hot key's rows can be split.
+    shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+                     .where("lo < hi").select("key"), "shared")
     member = written(keys.join(shared, "key", "left_semi"), "members")
     homes = member.groupBy("node").agg(F.min("key").alias("home")).join(weights, "node")
     load = homes.groupBy("home").agg(F.sum("weight").alias("load"))

@@ -178,8 +178,9 @@ def _spans(docs: DataFrame, carried: Column, length: int, shard_words: int) -> D
             carried=held.schema["carried"].dataType.simpleString()))
         .withColumn("row", F.monotonically_increasing_id()), "anchors")
     every = found.select("row", "doc", F.explode("fragments").alias("f")).select("row", "doc", "f.*")
-    shared = (every.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-              .where("lo < hi").select("anchor"))
+    # Written, so that the join is planned on its own and a hot anchor's rows can be split.
+    shared = written(every.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                     .where("lo < hi").select("anchor"), "shared")
     placed = written(every.join(shared, "anchor", "left_semi"), "placed")
     # One fragment of each content, from its smallest document, whatever the number of copies.
     distinct = placed.groupBy("anchor", "digest").agg(
