@@ -141,7 +141,7 @@ def _compare(threshold: float):
     return compare
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = 10, width: int = 2,
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = 8, width: int = 4,
                     seed: int = 1) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``(vec_id, embedding, label)``.
 
