@@ -6,8 +6,9 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-from kerbside.schema import (LABEL_SEVERITY, LABELS, RAINY_CODES, REASONS,
-                             SECONDS_PER_LOGGED_TICK)
+from kerbside.schema import (DENSITY_EDGES, DENSITY_INTERVALS, HOUR_BUCKETS, HOUR_EDGES,
+                             LABEL_SEVERITY, LABELS, RAINY_CODES, REASONS,
+                             SECONDS_PER_LOGGED_TICK, SPEED_EDGES, SPEED_INTERVALS)
 
 
 def _col(c: str | Column) -> Column:
@@ -74,16 +75,15 @@ def interval_label(c: str | Column, edges: list[float], names: list[str],
 
 
 def speed_interval(c: str | Column = "speed") -> Column:
-    return interval_label(c, [0, 5, 20, 50, 200], ["<5", "5-20", "20-50", "50+"])
+    return interval_label(c, SPEED_EDGES, SPEED_INTERVALS)
 
 
 def density_interval(c: str | Column = "traffic_density") -> Column:
-    return interval_label(c, [0, 3, 8, 15, 200], ["<3", "3-8", "8-15", "15+"])
+    return interval_label(c, DENSITY_EDGES, DENSITY_INTERVALS)
 
 
 def hour_bucket(c: str | Column = "hour") -> Column:
-    return interval_label(c, [0, 6, 12, 18, 24],
-                          ["Night", "Morning", "Afternoon", "Evening"], include_lowest=True)
+    return interval_label(c, HOUR_EDGES, HOUR_BUCKETS, include_lowest=True)
 
 
 def grid_origin(c: str | Column, size: float) -> Column:
@@ -91,7 +91,7 @@ def grid_origin(c: str | Column, size: float) -> Column:
     return (F.floor(_col(c) / F.lit(float(size))) * F.lit(size)).cast("int")
 
 
-def value_band(c: str | Column, per_octave: int = 64) -> Column:
+def value_band(c: str | Column, per_octave: int | Column = 64) -> Column:
     """Coarse non-decreasing key of a number: sign times its scaled binary logarithm.
 
     Used to split a sorted group into many small runs. It depends on the value alone, so a
@@ -99,7 +99,8 @@ def value_band(c: str | Column, per_octave: int = 64) -> Column:
     one band as equal-width bins would.
     """
     value = _col(c).cast("double")
-    magnitude = F.floor((F.log2(F.abs(value)) + F.lit(1100.0)) * F.lit(float(per_octave)))
+    scale = per_octave if isinstance(per_octave, Column) else F.lit(float(per_octave))
+    magnitude = F.floor((F.log2(F.abs(value)) + F.lit(1100.0)) * scale)
     return F.when(value == 0, F.lit(0).cast("long")).otherwise(
         (F.signum(value) * magnitude).cast("long"))
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions import columns as C
-from kerbside.schema import MODEL_FEATURES
+from kerbside.schema import AWAY, MODEL_FEATURES, STRONG, TOWARD, WEAK
 from kerbside.sources.scratch import scratch_path, written
 
 # Leaves broadcast at once: with eleven features about 50 MB.
@@ -175,8 +175,8 @@ def top_attributions(df: DataFrame, key: list[str], features: list[str] = MODEL_
         F.element_at(values, i + 1).alias("value")) for i, f in enumerate(features)])
     best = F.slice(F.array_sort(items), 1, top)
     label = C.label_name("prediction")
-    strength = F.when(F.abs("item.value") > 0.1, "strongly").otherwise("slightly")
-    direction = F.when(F.col("item.value") > 0, "pushed toward").otherwise("pushed away from")
+    strength = F.when(F.abs("item.value") > 0.1, STRONG).otherwise(WEAK)
+    direction = F.when(F.col("item.value") > 0, TOWARD).otherwise(AWAY)
     text = F.format_string("%s = %.2f: %s %s %s (%+.4f)", "item.feature", "item.feature_value",
                            strength, direction, label, "item.value")
     return (df.select(*key, "prediction", F.posexplode(best).alias("pos", "item"))

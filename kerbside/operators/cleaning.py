@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kerbside.schema import ACCEL_MAX, CRITICAL, KEY, LABELS, SPEED_MAX
-
-DROP_REASONS = ["null_critical_cols", "duplicates", "bad_acceleration", "bad_speed",
-                "bad_density", "bad_label"]
-
+from kerbside.schema import ACCEL_MAX, CRITICAL, DROP_REASONS, KEY, LABELS, SPEED_MAX
 
 def _other_columns(df: DataFrame, keys: list[str]) -> list[str]:
     return [c for c in df.columns if c not in keys]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.functions import columns as C
-from kerbside.operators.prefix import running_totals
+from kerbside.operators.prefix import growing_band, running_totals
 from kerbside.schema import LABELS, METRICS
 
 CLASSES = range(len(LABELS))
@@ -85,9 +85,15 @@ def _score_counts(scored: DataFrame) -> DataFrame:
             .agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")))
 
 
+def _ranked(scored: DataFrame) -> DataFrame:
+    counts = _score_counts(scored)
+    return running_totals(counts, ["model", "class"], "score", ["pos", "neg"],
+                          growing_band(counts, "score"))
+
+
 def class_auc(scored: DataFrame) -> DataFrame:
     """One-vs-rest AUC per class as the tie-corrected rank statistic, with its support."""
-    ranked = running_totals(_score_counts(scored), ["model", "class"], "score", ["pos", "neg"])
+    ranked = _ranked(scored)
     wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + 0.5 * F.col("neg")))
     return ranked.groupBy("model", "class").agg(
         F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"),
@@ -104,7 +110,7 @@ def roc_auc(scored: DataFrame) -> DataFrame:
 
 def roc_curve(scored: DataFrame) -> DataFrame:
     """Points of each class curve from the highest score down, starting at (0, 0)."""
-    ranked = running_totals(_score_counts(scored), ["model", "class"], "score", ["pos", "neg"])
+    ranked = _ranked(scored)
     points = ranked.select(
         "model", "class", C.steady("score", 6).alias("threshold"),
         C.steady(F.try_divide((F.col("neg_total") - F.col("neg_before")).cast("double"),

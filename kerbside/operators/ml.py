@@ -45,30 +45,58 @@ def fit_logistic(train: DataFrame, features: list[str] = MODEL_FEATURES, c: floa
 
 
 def fit_forest(train: DataFrame, features: list[str] = MODEL_FEATURES, trees: int = 200,
-               depth: int = 20, min_leaf: int = 10, seed: int = 42) -> PipelineModel:
+               depth: int = 20, min_leaf: int = 10, bins: int = 64,
+               seed: int = 42) -> PipelineModel:
     """Random forest with balanced class weights and square-root feature sampling."""
     return Pipeline(stages=[
         assembler(features),
         RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-                               featureSubsetStrategy="sqrt", weightCol="weight", seed=seed),
+                               featureSubsetStrategy="sqrt", weightCol="weight", maxBins=bins,
+                               seed=seed),
     ]).fit(add_class_weight(train))
 
 
+def best_round(losses: list[float], patience: int) -> int:
+    """Number of rounds after which ``patience`` further ones bring no smaller loss."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_boosted(train_and_val: DataFrame, features: list[str] = MODEL_FEATURES, rounds: int = 500,
                 depth: int = 6, rate: float = 0.05, subsample: float = 0.8,
-                feature_share: float = 0.8, min_child: int = 5, tolerance: float = 0.01,
-                seed: int = 42) -> list[GBTClassificationModel]:
-    """One boosted binary model per class; each stops when validation stops improving."""
+                feature_share: float = 0.8, min_child: int = 5, patience: int = 20,
+                bins: int = 64, seed: int = 42) -> list[GBTClassificationModel]:
+    """One boosted binary model per class, each with the rounds that validation favours.
+
+    A model is fitted with twice as many rounds, up to ``rounds``, until its validation loss has
+    not fallen for ``patience`` of them, and then once more with the best number. The same seed
+    gives the same trees, so the shorter model is a prefix of the longer one.
+    """
     frame = assembler(features).transform(train_and_val)
     models = []
     for code in range(len(LABELS)):
-        booster = GBTClassifier(
-            labelCol="_target", maxIter=rounds, maxDepth=depth, stepSize=rate,
-            subsamplingRate=subsample, featureSubsetStrategy=str(feature_share),
-            minInstancesPerNode=min_child, validationIndicatorCol="is_val",
-            validationTol=tolerance, seed=seed)
-        target = (F.col("label") == code).cast("double")
-        models.append(booster.fit(frame.withColumn("_target", target)))
+        target = frame.withColumn("_target", (F.col("label") == code).cast("double"))
+        train, val = target.where("NOT is_val"), target.where("is_val")
+
+        def fit(n: int) -> GBTClassificationModel:
+            return GBTClassifier(
+                labelCol="_target", maxIter=n, maxDepth=depth, stepSize=rate, subsamplingRate=subsample,
+                featureSubsetStrategy=str(feature_share), minInstancesPerNode=min_child, maxBins=bins,
+                seed=seed).fit(train)
+
+        n, known = min(2 * patience, rounds), not val.isEmpty()
+        while True:
+            model = fit(n if known else rounds)
+            best = best_round(model.evaluateEachIteration(val), patience) if known else rounds
+            if not known or n >= rounds or best + patience <= n:
+                break
+            n = min(2 * n, rounds)
+        models.append(fit(best) if best < model.getNumTrees else model)
     return models
 
 

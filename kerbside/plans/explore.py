@@ -103,6 +103,31 @@ def sample_bounded(spark, sf_dir):
     return ordered.transform(D.sample_bounded, 8000, 42)
 
 
+_MATRIX = ["speed", "traffic_density", "acceleration"]
+_SAMPLED = """SELECT congestion_label, speed, traffic_density, acceleration FROM obs
+    ORDER BY md5(concat_ws('|', '5', session_id, CAST(tick AS STRING), CAST(vehicle_id AS STRING))),
+      session_id, tick, vehicle_id, row_a, row_b LIMIT 3000"""
+
+
+@query("scatter_matrix_hist", checks.histogram(
+    "obs", "panel", "value", 20, "TRUE", m=_SAMPLED, q=" UNION ALL ".join(
+        f"""SELECT '{c} ' || congestion_label AS panel, greatest(CAST({c} AS DOUBLE), 0e0) AS value
+        FROM m WHERE {LABEL_IN} AND {c} IS NOT NULL""" for c in _MATRIX)).replace(
+            "AS value FROM obs", "AS value FROM q"))
+def scatter_matrix_hist(spark, sf_dir):
+    """Histograms on the diagonal of the scatter matrix: three values of 3,000 sampled rows by
+    label, nothing below zero."""
+    ordered = observations(spark, sf_dir).select(
+        *KEY, *ORDER, *[c for c in OBS_COLUMNS if c not in KEY])
+    sample = D.only_groups(ordered.transform(D.sample_bounded, 3000, 5), "congestion_label", LABELS)
+    panels = F.array(*[F.struct(
+        F.concat_ws(" ", F.lit(c), "congestion_label").alias("panel"),
+        F.when(F.col(c).isNotNull(), F.greatest(F.col(c).cast("double"), F.lit(0.0))).alias("value"))
+        for c in _MATRIX])
+    long = sample.select(F.explode(panels).alias("p")).select("p.*")
+    return long.transform(D.histogram, "value", 20, ["panel"], bounded=True)  # nine panels
+
+
 # --- histograms and densities ----------------------------------------------------------
 
 @query("hist_1d", checks.histogram("obs", None, checks.clip("speed", 0, 100), 100,

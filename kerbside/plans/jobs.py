@@ -156,7 +156,7 @@ def ml_random_forest(spark, sf_dir, trees=20, depth=8):
 
 
 @query("ml_gbt_ovr")
-def ml_gbt_ovr(spark, sf_dir, rounds=10):
+def ml_gbt_ovr(spark, sf_dir, rounds=20):
     table = training_table(spark, sf_dir)
     known = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
     models = ml.fit_boosted(known, rounds=rounds)
@@ -198,6 +198,10 @@ def feature_importance(spark, sf_dir):
         "Gradient Boosting": models["Gradient Boosting"]})
 
 
+def _shares(weights):
+    return [w / sum(weights) for w in weights]
+
+
 def _attributed(spark, sf_dir, trees=10, depth=6):
     table = training_table(spark, sf_dir)
     model = ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
@@ -206,7 +210,7 @@ def _attributed(spark, sf_dir, trees=10, depth=6):
               .select(*KEY, "prediction", *MODEL_FEATURES))
     nodes = attribution.tree_nodes(spark, model.stages[-1])
     return attribution.attribute_ensemble(scored, nodes, [*KEY, "prediction", *MODEL_FEATURES],
-                                          [1.0 / trees] * trees, classify=True)
+                                          _shares(model.stages[-1].treeWeights), classify=True)
 
 
 @query("attribution")

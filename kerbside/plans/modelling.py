@@ -125,6 +125,13 @@ def stratified_split(spark, sf_dir):
     return split_features(spark, sf_dir).select("session_id", "tick", "vehicle_id", "label", "split")
 
 
+@query("split_shuffled", sql("feat", f"SELECT {KEYS}, label, split FROM s", s=_SPLIT))
+def split_shuffled(spark, sf_dir):
+    """The split rows in the order of their hash."""
+    return split.shuffled(split_features(spark, sf_dir)).select(
+        "session_id", "tick", "vehicle_id", "label", "split")
+
+
 @query("stratified_split_exact", sql(
     "feat",
     f"""SELECT {KEYS}, label, CASE WHEN rn < t THEN 'test' WHEN rn < t + v THEN 'val'

@@ -50,6 +50,14 @@ WEATHER_CODES = {
     "SoftRainNight": 18, "MidRainyNight": 19, "HardRainNight": 20,
 }
 DEFAULT_WEATHER = "ClearNoon"
+# Right-closed intervals and their names.
+SPEED_EDGES, SPEED_INTERVALS = [0, 5, 20, 50, 200], ["<5", "5-20", "20-50", "50+"]
+DENSITY_EDGES, DENSITY_INTERVALS = [0, 3, 8, 15, 200], ["<3", "3-8", "8-15", "15+"]
+HOUR_EDGES, HOUR_BUCKETS = [0, 6, 12, 18, 24], ["Night", "Morning", "Afternoon", "Evening"]
+DROP_REASONS = ["null_critical_cols", "duplicates", "bad_acceleration", "bad_speed",
+                "bad_density", "bad_label"]
+# Words of an attribution sentence.
+STRONG, WEAK, TOWARD, AWAY = "strongly", "slightly", "pushed toward", "pushed away from"
 RAINY_CODES = [2, 3, 4, 5, 6, 9, 10, 11, 12, 13, 16, 17, 18, 19, 20]
 
 TICKS_PER_SECOND = 20

@@ -212,3 +212,26 @@ def test_towns_without_a_number_are_trained_on_and_scored(spark, make_obs):
     rows = make_obs({"town": "Town01"}, {"town": "Town10HD", "speed": 3.0}, {"town": "Town12", "speed": 80.0})
     table = ml.usable(features.add_features(rows))
     assert {(r.town, r.town_code) for r in table.collect()} == {("Town01", 1), ("Town10HD", -1), ("Town12", 12)}
+
+
+def test_shuffled_is_a_fixed_order_unlike_the_key(spark, make_obs):
+    rows = make_obs(*[{"vehicle_id": i} for i in range(200)])
+    first = [r.vehicle_id for r in split.shuffled(rows).collect()]
+    assert first == [r.vehicle_id for r in split.shuffled(rows.repartition(7)).collect()]
+    assert sorted(first) == list(range(200)) and first != sorted(first)
+
+
+def test_best_round_waits_for_the_patience():
+    assert ml.best_round([3.0, 2.0, 1.0, 1.5, 1.4], 2) == 3
+    assert ml.best_round([3.0, 2.0, 2.5, 1.0], 2) == 4
+    assert ml.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == 2
+
+
+def test_bands_grow_with_the_scores(spark):
+    from kerbside.functions import columns as C
+    from kerbside.operators.prefix import growing_band
+    scores = spark.range(400_000).select((0.5 + F.col("id") / 800_000).alias("score"))
+    largest = (scores.groupBy(growing_band(scores, "score", 2_000).alias("b")).count()
+               .agg(F.max("count")).first()[0])
+    fixed = scores.groupBy(C.value_band("score").alias("b")).count().agg(F.max("count")).first()[0]
+    assert largest < 4_000 < fixed
