@@ -19,6 +19,7 @@ SYMBOL_CLASS = "[#*$%&|<>]"
 
 #: Rows that the order of the rules is judged on. The verdict doesn't depend on it.
 SAMPLE_ROWS = 400
+SAMPLE_CHARS = 20_000
 
 
 def words(text: Column) -> Column:
@@ -128,8 +129,14 @@ def _with_words(docs: DataFrame) -> DataFrame:
 
 
 def ordered(docs: DataFrame, chosen: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejected share per second on at most ``sample_rows`` rows, best first."""
-    sample = _with_words(docs.select("text").limit(sample_rows))
+    """Rules by rejected share per second on at most ``sample_rows`` rows, best first.
+
+    The first rows are fetched once (of each at most ``SAMPLE_CHARS`` characters, so the driver
+    holds a bounded amount); a limit inside the jobs would open every partition.
+    """
+    text = F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, SAMPLE_CHARS)
+    first = [(r.text,) for r in docs.select(text.alias("text")).head(sample_rows)]
+    sample = _with_words(docs.sparkSession.createDataFrame(first, "text string"))
     figures = []
     for rule in chosen:
         start = time.perf_counter()
@@ -146,16 +153,24 @@ def verdict(chosen: list[Rule]) -> Column:
     return result
 
 
-def accepted(docs: DataFrame, chosen: list[Rule] | None = None) -> DataFrame:
+def accepted(docs: DataFrame, **limits: int) -> DataFrame:
     """Rows of ``docs`` (with a ``text`` column, others kept) that pass every rule.
 
     A null text is empty. Each row is judged on its own: repeated rows share their fate.
     """
-    chosen = ordered(docs, chosen or rules(on_text))
+    chosen = [r.name for r in ordered(docs, rules(on_text, **limits))]
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"),
                        F.col("text").cast("string").alias("text"))
-    return (_with_words(held).where(verdict(chosen))
+    def chain(found: Column) -> Column:
+        def figure(name: str) -> Column:
+            return FIGURES[name](F.col("text"), found)
+
+        by_name = {r.name: r for r in rules(figure, **limits)}
+        return verdict([by_name[name] for name in chosen])
+
+    # The words are bound once; a rule behind the first failing one is not worked out.
+    return (held.where(bound(words(F.col("text")), chain))
             .select(*[F.col(f"_row.`{c}`").alias(c) for c in columns]))
 
 
