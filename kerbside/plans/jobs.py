@@ -189,6 +189,21 @@ def score_batch(spark, sf_dir):
         "severity_band")
 
 
+@query("score_coverage", sql("feat", """SELECT count(*) AS n_rows,
+    count(*) FILTER (WHERE town_code IS NULL) AS n_unnumbered_town, CAST(0 AS BIGINT) AS n_unscored,
+    CAST(0 AS BIGINT) AS n_off_one FROM feat"""))
+def score_coverage(spark, sf_dir):
+    """Every cleaned row has a score, towns without a number included; probabilities sum to 1."""
+    table = training_table(spark, sf_dir)
+    model = ml.fit_logistic(table.where("split = 'train'"))
+    scored = score.add_probability(table, model).transform(score.add_score)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("town_code") == -1).alias("n_unnumbered_town"),
+        F.count_if(F.col("predicted_label").isNull() | F.isnan("severity")).alias("n_unscored"),
+        F.count_if(F.abs(total - 1.0) > 1e-9).alias("n_off_one"))
+
+
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     table = training_table(spark, sf_dir)
