@@ -315,6 +315,20 @@ def stream_kpi(spark, sf_dir):
     return spark.read.parquet(path).drop("vehicles")
 
 
+@query("stream_kpi_sliding", sql(
+    "complete", f"""SELECT w AS window_start, w + INTERVAL '5 seconds' AS window_end, town, {_KPI}
+      FROM (SELECT *, time_bucket(INTERVAL '1 second', event_ts) - to_seconds(k) AS w FROM timed
+        CROSS JOIN (SELECT unnest(range(5)) AS k)) GROUP BY 1, 2, 3
+      HAVING window_end <= (SELECT max(event_ts) FROM timed) - INTERVAL '5 seconds'""",
+    valid=_VALID, timed=_TIMED))
+def stream_kpi_sliding(spark, sf_dir):
+    """As ``stream_kpi`` with windows that start every second."""
+    rows = _stream(spark, sf_dir).transform(streams.clean_rows).transform(streams.add_event_time)
+    path = streams.run_available(rows.transform(streams.windowed_kpi, "5 seconds", "1 second",
+                                                lateness="5 seconds"), "kpi-sliding")
+    return spark.read.parquet(path).drop("vehicles")
+
+
 _A = "least(speed, 100e0) / 100e0"
 
 
