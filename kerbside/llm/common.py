@@ -13,6 +13,9 @@ from kerbside.sources.scratch import written
 #: Stands for a null id where ids are compared: such a row comes after every other.
 LAST_ID = (1 << 63) - 1
 
+#: How often a home is passed on to nodes that share a key. Affects cost only.
+HOME_ROUNDS = 2
+
 Rows = Iterator[pa.RecordBatch]
 
 
@@ -99,8 +102,9 @@ def block_pairs(keys: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
     """Rows to compare: ``(pair, node, side)`` for nodes that share a key with another node.
 
     ``keys`` has ``(node, key)``, ``weights`` ``(node, weight)``. A node's home is its smallest
-    shared key; the nodes of a home are cut into blocks of about ``limit`` weight, and two
-    blocks meet (once) if some key has nodes in both. Any two nodes with a common key are in one
+    shared key, or a smaller home of a node it shares a key with (so that a dense group has one
+    home); the nodes of a home are cut into blocks of about ``limit`` weight, and two blocks
+    meet (once) if some key has nodes in both. Any two nodes with a common key are in one
     block or in two that meet, whatever the size of a key, and no list of node pairs is made.
     Side 0 and 1 tell the two blocks of a pair apart; a block compared with itself has side 0.
     """
@@ -108,8 +112,12 @@ def block_pairs(keys: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
     shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                      .where("lo < hi").select("key"), "shared")
     member = written(keys.join(shared, "key", "left_semi"), "members")
-    homes = member.groupBy("node").agg(F.min("key").alias("home")).join(weights, "node")
-    load = homes.groupBy("home").agg(F.sum("weight").alias("load"))
+    homes = member.groupBy("node").agg(F.min("key").alias("home"))
+    for _ in range(HOME_ROUNDS):
+        nearest = written(member.join(homes, "node").groupBy("key").agg(F.min("home").alias("home")), "nearest")
+        homes = member.join(nearest, "key").groupBy("node").agg(F.min("home").alias("home"))
+    homes = written(homes.join(weights, "node"), "homes")
+    load = written(homes.groupBy("home").agg(F.sum("weight").alias("load")), "load")
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("load") / F.lit(limit)).cast("long"))
     blocks = written(homes.join(load, "home").select(
         "node", F.xxhash64("home", salt).alias("block")), "blocks")

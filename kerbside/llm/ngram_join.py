@@ -19,7 +19,7 @@ from kerbside.llm.common import Rows, block_pairs, components, grouped, roots, s
 from kerbside.sources.scratch import written
 
 #: n-grams in a block of documents that are compared with each other in one task.
-BLOCK_NGRAMS = 1_000_000
+BLOCK_NGRAMS = 500_000
 
 _SIGNED = ("doc long, text_hash long, n_ngrams long, set_a long, set_b long, bands array<long>")
 
@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     parts = components(compared.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = (classes.join(links, "node", "left").join(parts, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
-    least = named.groupBy("root").agg(F.min("least_doc").alias("least"))
+    least = written(named.groupBy("root").agg(F.min("least_doc").alias("least")), "least")
     classed = named.join(least, "root").select("set_a", "set_b", "copies", "links", "least")
     own = F.col("doc")
     return (signed.join(classed, ["set_a", "set_b"], "left").select(

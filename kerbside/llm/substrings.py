@@ -26,9 +26,14 @@ from kerbside.sources.scratch import written
 ANCHOR_WORDS = 8
 #: Words after which a shard is closed (at the next anchor).
 SHARD_WORDS = 400_000
+#: Different fragments from which on the windows of an anchor are counted before indexing.
+CROWD = 2_000
 
 _ANCHORS = ("doc long, carried {carried}, n_words long, whole_sha256 string, packed binary, "
             "fragments array<struct<anchor:long,digest:long,start:int,words:int>>")
+_FRAGMENT = "anchor long, digest long, least long, words binary"
+_RUN = "anchor long, digest long, from_window int, to_window int, first_doc long"
+_WINDOW = "anchor long, digest long, least long, place int, window long, window_b long"
 
 
 def anchored(words: list[bytes], length: int) -> list[tuple[int, int, int, int]]:
@@ -80,12 +85,13 @@ def _find_anchors(length: int):
 
 
 def _cut_out(batches: Rows) -> Rows:
-    """Words of the wanted fragments of each text."""
+    """Words of the wanted fragments of each text, packed or plain."""
     grow = zstandard.ZstdDecompressor()
     for batch in slices(batches, 256):
         rows = []
-        for packed, wanted in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
-            words = grow.decompress(packed).split()
+        packed = batch.schema.names[0] == "packed"
+        for text, wanted in zip(batch.column(0).to_pylist(), batch.column("wanted").to_pylist()):
+            words = (grow.decompress(text) if packed else text).split()
             for w in wanted:
                 rows.append((w["anchor"], w["digest"], w["least"],
                              b" ".join(words[w["start"]:w["start"] + w["words"]])))
@@ -95,6 +101,26 @@ def _cut_out(batches: Rows) -> Rows:
             names=["anchor", "digest", "least", "words"])
 
 
+def _windows(length: int):
+    """All windows of fragments, by a 128-bit digest of their words."""
+    def windows(batches: Rows) -> Rows:
+        for batch in slices(batches, 512):
+            rows = []
+            for anchor, digest, least, text in zip(*(batch.column(c).to_pylist()
+                                                     for c in ("anchor", "digest", "least", "words"))):
+                words = text.split(b" ")
+                for place in range(len(words) - length + 1):
+                    mark = xxhash.xxh3_128_digest(b" ".join(words[place:place + length]))
+                    rows.append((anchor, digest, least, place, int.from_bytes(mark[:8], "little", signed=True),
+                                 int.from_bytes(mark[8:], "little", signed=True)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, (
+                    pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
+                names=["anchor", "digest", "least", "place", "window", "window_b"])
+
+    return windows
+
+
 def _search(length: int, shard_words: int):
     """Index shards of fragments sorted by anchor and stream the fragments through."""
     def shard(held: dict[str, list]) -> pa.RecordBatch:
@@ -169,7 +195,37 @@ def _remove(with_text: bool):
     return remove
 
 
-def _spans(docs: DataFrame, carried: Column, length: int, shard_words: int) -> DataFrame:
+def _indexed(fragments: DataFrame, length: int, shard_words: int) -> DataFrame:
+    return (fragments.select("anchor", "digest", "least", "words")
+            .repartition("anchor").sortWithinPartitions("anchor")
+            .mapInArrow(_search(length, shard_words), _RUN))
+
+
+def _crowded(fragments: DataFrame, length: int, shard_words: int) -> DataFrame:
+    """Runs for anchors with very many different fragments, such as the edges of a passage that
+    a third of all documents quote.
+
+    Their windows are counted by digest first, with map-side sums. A window of one fragment
+    starts first in that fragment's document; each other window goes to the index once, dealt by
+    its digest, so neither an anchor nor a passage has to fit into one task.
+    """
+    windows = written(fragments.mapInArrow(_windows(length), _WINDOW), "windows")
+    often = written(windows.groupBy("window", "window_b").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("least", "anchor", "digest", "place")).alias("at"))
+        .where("n > 1").select("window", "window_b", "at.*"), "often")
+    pieces = fragments.select("anchor", "digest", "words").join(
+        often.groupBy("anchor", "digest").agg(F.collect_list(F.struct(
+            F.col("window").alias("anchor"), F.col("window_b").alias("digest"), "least",
+            F.col("place").alias("start"), F.lit(length).alias("words"))).alias("wanted")),
+        ["anchor", "digest"]).select(F.col("words").alias("plain"), "wanted")
+    firsts = written(_indexed(pieces.mapInArrow(_cut_out, _FRAGMENT), length, shard_words).select(
+        F.col("anchor").alias("window"), F.col("digest").alias("window_b"), "first_doc"), "firsts")
+    return windows.join(firsts, ["window", "window_b"], "left").select(
+        "anchor", "digest", F.col("place").alias("from_window"), F.col("place").alias("to_window"),
+        F.coalesce("first_doc", "least").alias("first_doc"))
+
+
+def _spans(docs: DataFrame, carried: Column, length: int, shard_words: int, crowd: int) -> DataFrame:
     """``carried, n_words, whole_sha256, packed, spans``: words to remove from each row's text."""
     held = docs.select(id_or_last("doc_id").alias("doc"), carried.alias("carried"),
                        F.col("text").cast("string").cast("binary").alias("text"))
@@ -183,16 +239,17 @@ def _spans(docs: DataFrame, carried: Column, length: int, shard_words: int) -> D
                      .where("lo < hi").select("anchor"), "shared")
     placed = written(every.join(shared, "anchor", "left_semi"), "placed")
     # One fragment of each content, from its smallest document, whatever the number of copies.
-    distinct = placed.groupBy("anchor", "digest").agg(
-        F.min(F.struct("doc", "row", "start", "words")).alias("at"))
+    distinct = written(placed.groupBy("anchor", "digest").agg(
+        F.min(F.struct("doc", "row", "start", "words")).alias("at")), "distinct")
     wanted = distinct.groupBy("at.row").agg(F.collect_list(F.struct(
         "anchor", "digest", F.col("at.doc").alias("least"), "at.start", "at.words")).alias("wanted"))
+    cut = written(found.select("row", "packed").join(wanted, "row").select("packed", "wanted")
+                  .mapInArrow(_cut_out, _FRAGMENT), "fragments")
+    crowds = written(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") > crowd).select("anchor"), "crowds")
     runs = written(
-        found.select("row", "packed").join(wanted, "row").select("packed", "wanted")
-        .mapInArrow(_cut_out, "anchor long, digest long, least long, words binary")
-        .repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(_search(length, shard_words),
-                    "anchor long, digest long, from_window int, to_window int, first_doc long"), "runs")
+        _indexed(cut.join(crowds, "anchor", "left_anti"), length, shard_words)
+        .unionByName(_crowded(cut.join(crowds, "anchor", "left_semi"), length, shard_words)), "runs")
     spans = (placed.select("row", "doc", "anchor", "digest", "start").join(runs, ["anchor", "digest"])
              .where("first_doc < doc")
              .groupBy("row").agg(F.collect_list(F.struct(
@@ -202,7 +259,8 @@ def _spans(docs: DataFrame, carried: Column, length: int, shard_words: int) -> D
         spans, "row", "left").drop("row")
 
 
-def judged(docs: DataFrame, length: int = 50, shard_words: int = SHARD_WORDS) -> DataFrame:
+def judged(docs: DataFrame, length: int = 50, shard_words: int = SHARD_WORDS,
+           crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for each row of ``(doc_id, text)``.
 
     A word goes if a window of ``length`` words that covers it also starts in a document with a
@@ -210,18 +268,19 @@ def judged(docs: DataFrame, length: int = 50, shard_words: int = SHARD_WORDS) ->
     A null or blank text has no words. Repeats within a document, or between rows that share a
     doc_id, remove nothing; a null doc_id comes after all others.
     """
-    found = _spans(docs, F.col("doc_id").cast("long"), length, shard_words)
+    found = _spans(docs, F.col("doc_id").cast("long"), length, shard_words, crowd)
     return found.mapInArrow(
         _remove(False), "carried long, n_words long, n_removed long, kept_sha256 string"
     ).withColumnRenamed("carried", "doc_id")
 
 
-def shortened(docs: DataFrame, length: int = 50, shard_words: int = SHARD_WORDS) -> DataFrame:
+def shortened(docs: DataFrame, length: int = 50, shard_words: int = SHARD_WORDS,
+              crowd: int = CROWD) -> DataFrame:
     """All rows and columns of ``docs``; a text that loses words becomes the kept words, joined
     by one space, others stay as they are (see ``judged``)."""
     columns = docs.columns
     others = F.struct(*[F.col(f"`{c}`") for c in columns if c not in ("text",)])
-    found = _spans(docs, others, length, shard_words)
+    found = _spans(docs, others, length, shard_words, crowd)
     kind = found.schema["carried"].dataType.simpleString()
     cut = found.mapInArrow(_remove(True), f"carried {kind}, n_words long, n_removed long, text string")
     return cut.select(*[(F.col("text") if c == "text" else F.col(f"carried.`{c}`")).alias(c) for c in columns])

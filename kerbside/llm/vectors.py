@@ -170,7 +170,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = 8
     parts = components(compared.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = (classes.join(links, "node", "left").join(parts, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
-    least = named.groupBy("root").agg(F.min("least_id").alias("least"))
+    least = written(named.groupBy("root").agg(F.min("least_id").alias("least")), "least")
     classed = named.join(least, "root").select("label", "direction", "direction_b", "copies", "links", "least")
     linked = signed.where("unit IS NOT NULL").join(classed, ["label", "direction", "direction_b"]).select(
         "vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

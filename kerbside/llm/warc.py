@@ -78,8 +78,9 @@ def write_archive(pages: DataFrame, min_bytes: int = 0, captured: str = CAPTURED
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.length(payload).cast("long").alias("payload_bytes"), base32(F.sha1(payload)).alias("payload_digest"),
         F.unhex(F.sha2(payload, 256)).alias("digest")), "facts")
-    # One row per payload: who carries it. Copies are counted before the shuffle.
-    owners = facts.groupBy("digest").agg(F.max("page_id").alias("owner"))
+    # One row per payload: who carries it. Copies are counted before the shuffle; the table is
+    # written so that the join with it is planned on its own and can split a hot payload.
+    owners = written(facts.groupBy("digest").agg(F.max("page_id").alias("owner")), "owners")
     named = facts.join(owners, "digest").withColumn(
         "refers_to", F.when((F.col("payload_bytes") >= min_bytes)
                             & ~F.col("page_id").eqNullSafe(F.col("owner")), F.col("owner")))

@@ -90,10 +90,11 @@ def test_fm_index_finds_every_window():
             assert all(text[p:p + length] == queries[q][s:s + length] for p in index.order[number == k])
 
 
-@pytest.mark.parametrize("length, shard_words", [(50, 400_000), (50, 500), (8, 300), (3, 10_000)])
-def test_substring_dedup(spark, length, shard_words):
+@pytest.mark.parametrize("length, shard_words, crowd", [
+    (50, 400_000, 2_000), (50, 500, 1), (8, 300, 2_000), (8, 10_000, 1), (3, 10_000, 2)])
+def test_substring_dedup(spark, length, shard_words, crowd):
     rows = corpus(4, 50)
-    got = substrings.judged(frame(spark, rows), length, shard_words).collect()
+    got = substrings.judged(frame(spark, rows), length, shard_words, crowd).collect()
     same(got, [(i, *k) for (i, _), k in zip(rows, kept_words(rows, length))])
 
 
