@@ -151,28 +151,6 @@ def kernel_density(df: DataFrame, by: str, value: str | Column, lo: float, hi: f
                     C.steady(F.col("w") / (F.col("total") * F.col("h")), 6).alias("density")))
 
 
-# --- crossed names ---
-
-def crossed(df: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Every value of one column with every value of the other, nulls left out.
-
-    Meant for columns with few values (towns, weathers): the result is their product. Each side
-    is its distinct values; neither is gathered in one task.
-    """
-    left = df.where(F.col(rows).isNotNull()).select(rows).distinct()
-    right = df.where(F.col(columns).isNotNull()).select(columns).distinct()
-    return left.join(right)
-
-
-def high_shares(df: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Rows and % High per pair of values; pairs that don't occur have 0."""
-    high = F.coalesce(F.col("congestion_label") == "High", F.lit(False)).cast("double")
-    cells = df.groupBy(rows, columns).agg(
-        F.count(F.lit(1)).alias("n_rows"), C.steady(100.0 * F.avg(high), 6).alias("pct_high"))
-    return crossed(df, rows, columns).join(cells, [rows, columns], "left").fillna(
-        {"n_rows": 0, "pct_high": 0.0})
-
-
 # --- category shares -------------------------------------------------------------------
 
 def label_shares(df: DataFrame, by: list[str]) -> DataFrame:
@@ -212,6 +190,15 @@ def pivot_counts(df: DataFrame, row: str, column: str) -> DataFrame:
                     amount.alias("n_rows"), before.alias("stack_start")))
 
 
+def high_shares(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Rows and % High per pair of low-cardinality names; pairs that don't occur have 0."""
+    high = F.coalesce(F.col("congestion_label") == "High", F.lit(False)).cast("double")
+    cells = df.groupBy(rows, columns).agg(
+        F.count(F.lit(1)).alias("n_rows"), C.steady(100.0 * F.avg(high), 6).alias("pct_high"))
+    frame = pivot_counts(df, rows, columns).select(rows, columns)
+    return frame.join(cells, [rows, columns], "left").fillna({"n_rows": 0, "pct_high": 0.0})
+
+
 # --- centre and spread -----------------------------------------------------------------
 
 def box_stats(df: DataFrame, by: list[str], value: str | Column, min_rows: int = 1,
