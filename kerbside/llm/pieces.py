@@ -18,13 +18,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside.llm.common import row_results
+from kerbside.llm.encoding import Encoder
 
 SPACE = "▁"
-REMEMBERED = 500_000
-_LONG_WORD = 256
+REMEMBERED = 1_000_000
+#: Texts whose spaces need care: doubled, at an end, or the mark itself; empty ones too.
+_ODD_SPACE = f"  |^ | $|{SPACE}|^$"
 _NEVER = float("inf")
 
 
@@ -42,6 +45,7 @@ class Model:
         self.rank = {p: -score for p, (_, score) in pieces.items()}.get
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}
         # Paths always meet before a space if no piece has one behind another character.
         self.meets_at_space = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.floor = min((s for _, s in pieces.values()), default=0.0) - 10.0
@@ -195,8 +199,8 @@ def _word(model: Model, word: str) -> bytes:
 def encode(model: Model, text: str) -> np.ndarray:
     """Ids of a text; spaces are written as ``SPACE`` and one more stands in front.
 
-    Where paths always meet before a space, each word has a trellis of its own, and short words
-    are remembered in a store of bounded size; otherwise the text is one stream.
+    Where paths always meet before a space, each word has a trellis of its own; otherwise the
+    text is one stream.
     """
     if not text:
         return np.zeros(0, np.uint32)
@@ -212,17 +216,7 @@ def encode(model: Model, text: str) -> np.ndarray:
             run = ""
     if run:
         words.append(run)
-    known = model.words
-    out = []
-    for word in words:
-        ids = known.get(word)
-        if ids is None:
-            ids = _word(model, word)
-            if len(word) <= _LONG_WORD:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                known[word] = ids
-        out.append(ids)
+    out = [_word(model, word) for word in words]
     return np.frombuffer(b"".join(out), "<u4")
 
 
@@ -237,18 +231,61 @@ def decode(model: Model, ids: Iterable[int]) -> str:
     return b"".join(parts).decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
+def encode_many(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all texts one after another, where each text begins (and the end of the last),
+    code points of the decoded texts, and whether they equal the texts.
+
+    Distinct words go through the trellis, and their ids through the decoder, once; no piece
+    reaches across words, so the parts may be laid out side by side. Texts with odd spaces go
+    whole.
+    """
+    odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+    odd = odd if model.meets_at_space else np.ones(len(texts), bool)
+    parts = pc.split_pattern(pc.if_else(pa.array(odd, pa.bool_()), "", texts), " ")
+    coded = parts.flatten().dictionary_encode()
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    if len(model.words) > REMEMBERED:
+        model.words.clear()
+        model.changed.clear()
+    known = model.words
+    for word in words:
+        if word not in known:
+            known[word] = ids = _word(model, SPACE + word)
+            back = decode(model, np.frombuffer(ids, "<u4").tolist())
+            if back != word:
+                model.changed[word] = back
+    data = [known[w] for w in words]
+    sizes = np.fromiter(map(len, data), np.int64, len(data)) // 4
+    changed = np.array([w in model.changed for w in words], bool)
+    points = np.array([len(model.changed.get(w, w)) for w in words], np.int64)
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    edges = np.concatenate(([0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))))
+    ids, begins = Encoder._gather([(np.frombuffer(b"".join(data), "<u4"), sizes, at, edges.astype(np.int64))])
+
+    def per_text(values: np.ndarray) -> np.ndarray:
+        ends = np.concatenate(([0], np.cumsum(values[at])))
+        return ends[edges[1:]] - ends[edges[:-1]]
+
+    decoded = per_text(points) + np.diff(edges) - 1  # one space between words
+    same = per_text(changed.astype(np.int64)) == 0
+    if odd.any():
+        pieces = np.split(ids, begins[1:-1])
+        for i in np.flatnonzero(odd):
+            text = texts[int(i)].as_py()
+            pieces[i] = encode(model, text)
+            back = decode(model, pieces[i].tolist())
+            decoded[i], same[i] = len(back), back == text
+        begins = np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
+        ids = np.concatenate(pieces)
+    return ids, begins, decoded, same
+
+
 _MODELS: dict[str, Model] = {}
 
 
 def _model(path: str) -> Model:
     if path not in _MODELS:
         _MODELS[path] = Model.load(path)
-        model = _MODELS[path]
-        model.text_of = np.array([b""] * (max([*model.names, *model.bytes_of]) + 1), object)
-        for i, p in model.names.items():
-            model.text_of[i] = p.encode()
-        for i, b in model.bytes_of.items():
-            model.text_of[i] = bytes([b])
     return _MODELS[path]
 
 
@@ -261,19 +298,14 @@ def encode_decode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFra
     as they are. ``with_ids`` adds the ids as ``array<int>``.
     """
     def body(batch: pa.RecordBatch) -> list[pa.Array]:
-        model = _model(path)
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        got = [encode(model, t) for t in texts]
-        back = [b"".join(model.text_of[ids]).decode("utf-8", "replace").replace(SPACE, " ")[1:]
-                for ids in got]
-        return [batch.column("doc_id"), pa.array([len(x) for x in got], pa.int64()),
-                pa.array([zlib.crc32(x.tobytes()) for x in got], pa.int64()),
-                pa.array([len(b) for b in back], pa.int64()),
-                pa.array([a == b for a, b in zip(texts, back)], pa.bool_()),
-                *([pa.array([x.astype(np.int32) for x in got], pa.list_(pa.int32()))] * with_ids)]
+        ids, begins, decoded, same = encode_many(_model(path), batch.column("text").fill_null(""))
+        own = np.split(ids, begins[1:-1]) if batch.num_rows else []
+        return [batch.column("doc_id"), pa.array(np.diff(begins)),
+                pa.array([zlib.crc32(x.tobytes()) for x in own], pa.int64()), pa.array(decoded),
+                pa.array(same), *([pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32()))] * with_ids)]
 
     names = ["doc_id", "n_tokens", "ids_crc32", "n_decoded", "round_trip"] + ["ids"] * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        row_results(body, names),
+        row_results(body, names, 1024),
         "doc_id long, n_tokens long, ids_crc32 long, n_decoded long, round_trip boolean"
         + (", ids array<int>" if with_ids else ""))
