@@ -94,3 +94,14 @@ def test_comparison_round_trip(spark, tmp_path):
                                "model string, accuracy double, precision double, recall double, f1 double, roc_auc double")
     sinks.write_comparison(df, str(tmp_path / "c.csv"))
     assert readers.read_comparison(spark, str(tmp_path / "c.csv")).first().accuracy == 0.123457
+
+
+def test_scratch_follows_the_cluster_or_the_warehouse():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    named = Session(spark_checkpoint_dir="hdfs:///shared", spark_sql_warehouse_dir="file:/w/")
+    unnamed = Session(spark_sql_warehouse_dir="file:/w/")
+    assert scratch.scratch_root(named) == "hdfs:///shared"
+    assert scratch.scratch_root(unnamed) == "file:/w/_kerbside"
