@@ -1,8 +1,8 @@
 """Queries: sources and sinks, model training, attribution, streaming.
 
 Sinks write to the shared scratch folder and are read back, so their result is checked like any
-other. Model fits use fewer and shallower trees than the operator defaults; the sizes are
-keyword arguments here as well.
+other. Model fits have the sizes of the operator defaults; they are keyword arguments here as
+well.
 """
 
 from __future__ import annotations
@@ -132,7 +132,7 @@ def _evaluated(scored, name):
     return written(named, "scored").transform(evaluate.metrics)
 
 
-def fit_all(table, trees=20, depth=8, rounds=10):
+def fit_all(table, trees=200, depth=20, rounds=500):
     train = table.where("split = 'train'")
     boosted_input = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
     return {"Logistic Regression": ml.fit_logistic(train),
@@ -148,7 +148,7 @@ def ml_logreg(spark, sf_dir):
 
 
 @query("ml_random_forest")
-def ml_random_forest(spark, sf_dir, trees=20, depth=8):
+def ml_random_forest(spark, sf_dir, trees=200, depth=20):
     table = training_table(spark, sf_dir)
     model = ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
     saved = sinks.save_model(model, scratch_path(spark, "models"), "Random Forest")
@@ -156,7 +156,7 @@ def ml_random_forest(spark, sf_dir, trees=20, depth=8):
 
 
 @query("ml_gbt_ovr")
-def ml_gbt_ovr(spark, sf_dir, rounds=20):
+def ml_gbt_ovr(spark, sf_dir, rounds=500):
     table = training_table(spark, sf_dir)
     known = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
     models = ml.fit_boosted(known, rounds=rounds)
@@ -217,7 +217,7 @@ def _shares(weights):
     return [w / sum(weights) for w in weights]
 
 
-def _attributed(spark, sf_dir, trees=10, depth=6):
+def _attributed(spark, sf_dir, trees=200, depth=20):
     table = training_table(spark, sf_dir)
     model = ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
     scored = (score.add_probability(table.where("split = 'test'"), model)

@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from kerbside.operators import attribution, evaluate, features, ml, score, split
+from kerbside.plans import jobs
 from kerbside.schema import FEATURES, KEY, MODEL_FEATURES, SPLIT_COLUMNS
 from kerbside.sources import readers, sinks
 
@@ -235,3 +238,14 @@ def test_bands_grow_with_the_scores(spark):
                .agg(F.max("count")).first()[0])
     fixed = scores.groupBy(C.value_band("score").alias("b")).count().agg(F.max("count")).first()[0]
     assert largest < 4_000 < fixed
+
+
+@pytest.mark.parametrize("registered, fit, names", [
+    (jobs.fit_all, ml.fit_forest, ["trees", "depth"]), (jobs.fit_all, ml.fit_boosted, ["rounds"]),
+    (jobs.ml_random_forest, ml.fit_forest, ["trees", "depth"]), (jobs.ml_gbt_ovr, ml.fit_boosted, ["rounds"]),
+    (jobs._attributed, ml.fit_forest, ["trees", "depth"])])
+def test_registered_fits_have_the_default_sizes(registered, fit, names):
+    given, default = (inspect.signature(f).parameters for f in (registered, fit))
+    assert [given[n].default for n in names] == [default[n].default for n in names]
+    if fit is ml.fit_boosted:  # room for the stop to act
+        assert given["rounds"].default > 2 * default["patience"].default
