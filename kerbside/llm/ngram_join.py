@@ -20,6 +20,8 @@ from kerbside.sources.scratch import written
 
 #: n-grams in a block of documents that are compared with each other in one task.
 BLOCK_NGRAMS = 500_000
+#: Documents in such a block, about: a comparison holds matrices of documents by documents.
+BLOCK_DOCS = 1_000
 
 _SIGNED = ("doc long, text_hash long, n_ngrams long, set_a long, set_b long, bands array<long>")
 
@@ -164,8 +166,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
         F.min(F.coalesce("doc", F.lit((1 << 63) - 1))).alias("least_doc")), "classes")
     nodes = signed.join(classes.select(F.col("node").alias("row"), "copies"), "row")
     keys = nodes.select(F.col("row").alias("node"), F.explode("bands").alias("key"))
-    groups = written(block_pairs(keys, nodes.select(F.col("row").alias("node"), F.col("n_ngrams").alias("weight")),
-                                 BLOCK_NGRAMS), "groups")
+    floor = F.lit(max(1, BLOCK_NGRAMS // BLOCK_DOCS))
+    weights = nodes.select(F.col("row").alias("node"), F.greatest("n_ngrams", floor).alias("weight"))
+    groups = written(block_pairs(keys, weights, BLOCK_NGRAMS), "groups")
     wanted = groups.join(nodes.select(F.col("row").alias("node"), "doc", "text_hash", "copies"), "node")
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_key"), F.xxhash64(text).alias("hash_key"),

@@ -51,6 +51,23 @@ def test_ngram_join_of_a_hot_group_split_in_blocks(spark, monkeypatch):
     same(got.collect(), expected_classes(rows))
 
 
+
+def test_ngram_join_bounds_the_documents_of_a_comparison(spark, monkeypatch):
+    most = []
+
+    def block_pairs(*args):
+        pairs = common.block_pairs(*args)
+        most.append(pairs.groupBy("pair").count().agg({"count": "max"}).first()[0])
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "block_pairs", block_pairs)
+    shared = " ".join(f"w{i}" for i in range(53))
+    rows = [(i, f"{shared} x{i}") for i in range(3_000)]
+    got = ngram_join.near_duplicates(frame(spark, rows)).select("doc_id", "n_ngrams", "copies", "n_links", "class_id")
+    same(got.collect(), [(i, 50, 1, 2_999, 0) for i in range(3_000)])
+    assert most[0] < 2.3 * ngram_join.BLOCK_DOCS
+
+
 def test_representatives(spark):
     rows = corpus(3, 60)
     kept = ngram_join.representatives(frame(spark, rows))
