@@ -36,7 +36,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 tokens."""
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2)
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, marks=True)
 
 
 STAGES = [("quality rules", quality_rules), ("n-gram join", ngram_join_stage),

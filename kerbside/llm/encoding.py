@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +24,19 @@ class Encoder:
     through the library once. ``spaced`` vocabularies keep a single space with the word behind
     it: a text is cut before its spaces (a text with a space that no word follows goes through
     the library whole). Others drop white space: texts are cut at ASCII white space. Special
-    tokens in a text are ordinary text.
+    tokens in a text are ordinary text, or with ``marks`` what the library makes of them by
+    default: one id each. A text that may hold one then goes through the library whole.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, marks: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not marks
         self.spaced = spaced
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.marks = "|".join(map(re.escape, added)) if marks else ""
         self.known: dict[str, bytes] = {"": b""}
         self.openings: dict[str, bytes] = {"": b""}
         self.id_bytes = np.zeros(self.library.get_vocab_size(), np.int64)
@@ -44,9 +48,15 @@ class Encoder:
         """All ids of the texts, one text after another, and where each text begins (with the
         end of the last one as a further entry). Null is empty."""
         texts = texts.fill_null("")
+        marked = pc.match_substring_regex(texts, self.marks, ignore_case=True) if self.marks else None
         if not self.spaced:
-            return self._gather([self._cut(pc.ascii_split_whitespace(texts))])
+            if marked is None or not pc.any(marked).as_py():
+                return self._gather([self._cut(pc.ascii_split_whitespace(texts))])
+            heads = iter(self._plain(texts.filter(marked).to_pylist()))
+            heads = [next(heads) if m else b"" for m in marked.to_pylist()]
+            return self._gather([self._heads(heads), self._cut(pc.ascii_split_whitespace(pc.if_else(marked, "", texts)))])
         odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        odd = odd if marked is None else pc.or_(odd, marked)
         whole = self._plain(texts.filter(odd).to_pylist())
         parts = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         firsts = pc.list_element(parts, 0).to_pylist()
@@ -56,10 +66,7 @@ class Encoder:
         self.openings.update(zip(fresh, self._plain(fresh)))
         heads, whole = [self.openings[f] for f in firsts], iter(whole)
         heads = [next(whole) if o else h for o, h in zip(odd.to_pylist(), heads)]
-        sizes = np.fromiter(map(len, heads), np.int64, len(heads)) // 4
-        opening = (np.frombuffer(b"".join(heads), "<u4"), sizes, np.arange(len(heads)),
-                   np.arange(len(heads) + 1))
-        return self._gather([opening, self._cut(pc.list_slice(parts, 1))])
+        return self._gather([self._heads(heads), self._cut(pc.list_slice(parts, 1))])
 
     def split(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
         """The ids of each text, with ``end_id`` behind them."""
@@ -71,6 +78,12 @@ class Encoder:
         closed[keep] = ids
         return np.split(closed, (edges[1:] + np.arange(1, n + 1))[:-1]) if n else []
 
+    @staticmethod
+    def _heads(heads: list[bytes]):
+        """As ``_cut``, for one part of given ids in each text."""
+        sizes = np.fromiter(map(len, heads), np.int64, len(heads)) // 4
+        return np.frombuffer(b"".join(heads), "<u4"), sizes, np.arange(len(heads)), np.arange(len(heads) + 1)
+
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(got.ids, "<u4").tobytes()
                 for got in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -129,11 +142,12 @@ class Encoder:
                 first = end
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = Encoder(path, spaced)
-    return _ENCODERS[path, spaced]
+def encoder(path: str, spaced: bool, marks: bool = False) -> Encoder:
+    """One encoder per worker process, vocabulary and treatment of special tokens."""
+    key = (path, spaced, marks)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]

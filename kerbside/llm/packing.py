@@ -66,16 +66,17 @@ class Curve:
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 4096, spaced: bool = False,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, marks: bool = False) -> DataFrame:
     """One row per piece of a document of ``(doc_id, text)``.
 
     Every row is a document: a null text is empty and gives the end id alone, rows that share a
     doc_id or have none are packed one by one. Pieces cover each document without gap or
     overlap; all sequences but the last are full. ``with_ids`` adds the ids as ``array<int>``.
     Equal keys (copies) are ordered by a row number, so a hot key spreads over partitions.
+    ``marks``: special tokens in a text give their own ids, as the library does by default.
     """
     def tokenize(batches: Rows) -> Rows:
-        code, curve, shrink = encoder(vocabulary, spaced), Curve(), zstandard.ZstdCompressor(1)
+        code, curve, shrink = encoder(vocabulary, spaced, marks), Curve(), zstandard.ZstdCompressor(1)
         for batch in slices(batches, 1024):
             got = code.split(batch.column("text"), end_id)
             wide = [ids.astype("<u2") if len(ids) == 0 or ids.max() < 1 << 16 else ids for ids in got]

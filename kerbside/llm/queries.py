@@ -40,7 +40,7 @@ def op1(spark, sf_dir):
 
 @query("op2_packing")
 def op2(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2, marks=True)
 
 
 @query("op3_ngram_join", """
@@ -152,5 +152,6 @@ def op9(spark, sf_dir):
 
 @query("op10_token_records")
 def op10(spark, sf_dir):
-    manifest = records.write_sequences(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    manifest = records.write_sequences(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0,
+                                       marks=True)
     return records.read_sequences(manifest)

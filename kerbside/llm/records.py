@@ -152,14 +152,16 @@ def unpack_sequence(data: bytes) -> tuple[int, np.ndarray]:
 
 
 def write_sequences(docs: DataFrame, vocabulary: str, end_id: int, spaced: bool = True,
-                    width: int = 2, shard_bytes: int = 32 << 20, target: str | None = None) -> DataFrame:
+                    width: int = 2, shard_bytes: int = 32 << 20, target: str | None = None,
+                    marks: bool = False) -> DataFrame:
     """Write the ids of ``(doc_id, text)`` in ascending doc_id order; return the manifest.
 
     A null text is empty (only the end id is written); rows that share a doc_id are all written,
     ordered by a hash of the text; null doc_ids come last. Tasks write shards of about
     ``shard_bytes`` under names of their own and report them as rows, so the shards of an
     attempt that was lost are simply not in the manifest. ``width`` is 2 bytes for vocabularies
-    of up to 65,536 ids, else 4.
+    of up to 65,536 ids, else 4. ``marks``: special tokens in a text give their own ids, as the
+    library does by default.
     """
     out = target or scratch_path(docs.sparkSession, "sequences")
 
@@ -183,7 +185,7 @@ def write_sequences(docs: DataFrame, vocabulary: str, end_id: int, spaced: bool
             done.append(row)
             held, index, size, n_ids, shard = [], [], 0, 0, shard + 1
 
-        code = encoder(vocabulary, spaced)
+        code = encoder(vocabulary, spaced, marks)
         for batch in slices(batches, 1024):
             names = batch.column("_id").to_pylist()
             got = code.split(batch.column("text"), end_id)

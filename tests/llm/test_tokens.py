@@ -47,6 +47,47 @@ def test_remembered_words_give_the_same_ids(name, spaced):
     assert code.split(pa.array([], pa.string()), 7) == []
 
 
+
+MARKED = ["see <|endoftext|> here", "a\n <|endoftext|> b", "<|endoftext|>", " <|endoftext|>  <|startoftext|>x",
+          "it's<|endoftext|>'s", "A <|ENDOFTEXT|> b", "x <|endoftext| > y"]
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_marks_give_the_ids_of_the_unmodified_library(name, spaced):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    bits = ["<|endoftext|>", "<|startoftext|>", " ", "\n", "a", "word", "'s", "é", "\xa0", "<|"]
+    texts = MARKED + odd_texts() + ["".join(rng.choice(bits) for _ in range(rng.randint(1, 20))) for _ in range(300)]
+    plain = Tokenizer.from_file(vocabulary(name))
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    code = encoding.Encoder(vocabulary(name), spaced, marks=True)
+    for _ in range(2):
+        assert [x.tolist() for x in code.split(pa.array([*texts, None]), 7)] == [*(w + [7] for w in want), [7]]
+
+
+def test_queries_keep_marks(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from kerbside.llm.queries import QUERIES
+
+    rows = list(enumerate(MARKED))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+
+    def want(name, end):
+        plain = Tokenizer.from_file(vocabulary(name))
+        ids = [plain.encode(t, add_special_tokens=False).ids + [end] for t in MARKED]
+        return [(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)]
+
+    records_of = QUERIES["op10_token_records"](spark, str(tmp_path))
+    assert sorted(map(tuple, records_of.select("doc_id", "n_tokens", "ids_crc32").collect())) == want("byte_bpe_50k.json", 0)
+    for packed in (QUERIES["op2_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, None)):
+        got = packed.select("doc_id", "doc_tokens", "ids_crc32").collect()
+        assert sorted(map(tuple, got)) == want("word_bpe_49k.json", 2)
+
+
 def test_checksums():
     # Known value of the checksum of nine digits.
     assert records.masked_checksums([b"123456789"])[0] == ((0xE3069283 >> 15 | 0xE3069283 << 17)
