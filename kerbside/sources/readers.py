@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -57,6 +58,18 @@ def _columns(spark: SparkSession, path: str) -> tuple[str, ...] | None:
         return None
 
 
+def _part_files(spark: SparkSession, path: str) -> list[DataFrame]:
+    """All part files of a Parquet entry with the columns of each; a frame per file where
+    columns have types that don't merge."""
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(path)]
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    return [spark.read.option("basePath", path).parquet(unquote(p))
+            for p in sorted(spark.read.parquet(path).inputFiles())]
+
+
 def _scan(spark: SparkSession, directory: str, recursive: bool) -> list[tuple[str, str, tuple | None]]:
     """(entry, status, columns) of the entries of a directory, in order of their names.
 
@@ -106,8 +119,8 @@ def read_mixed(spark: SparkSession, directory: str, recursive: bool = False) ->
                     .csv(paths))
             frames.append(_conform(rows.select("*", source), OBS_SCHEMA, ["source_file"]))
         else:  # one read per entry: files of different widths have different schemas
-            frames += [_conform(spark.read.parquet(p).select("*", source), OBS_SCHEMA, ["source_file"])
-                       for p in paths]
+            frames += [_conform(df.select("*", source), OBS_SCHEMA, ["source_file"])
+                       for p in paths for df in _part_files(spark, p)]
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -41,6 +41,21 @@ def test_csv_stays_when_its_parquet_twin_is_broken(spark, files, tmp_path):
     assert report == {("a.parquet", "unreadable"), ("a.csv", "loaded"), ("b.parquet", "loaded"), ("b.csv", "twin")}
 
 
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_part_files_with_different_columns_are_read_whole(spark, files, tmp_path, wide):
+    folder = tmp_path / "log.parquet"
+    folder.mkdir()
+    tall = files.assign(tick=files.tick.astype("int64")) if wide else files  # types that don't merge
+    files.drop(columns=["yaw"]).assign(speed=1.0).to_parquet(folder / "part-0.parquet")
+    tall.drop(columns=["hour"]).assign(speed=2.0, yaw=5.0).to_parquet(folder / "part-1.parquet")
+    files.assign(speed=3.0, yaw=6.0).to_parquet(folder / "part-2.parquet")
+    got = readers.read_mixed(spark, str(tmp_path))
+    assert [tuple(r) for r in got.select("source_file", "speed", "yaw", "hour", "tick").distinct().orderBy("speed").collect()] == [
+        ("log.parquet", 1.0, None, 12, 1), ("log.parquet", 2.0, 5.0, None, 1), ("log.parquet", 3.0, 6.0, 12, 1)]
+    assert got.count() == 6
+
+
 def test_recursive_scan(spark, files, tmp_path):
     (tmp_path / "deep" / "er").mkdir(parents=True)
     files.to_csv(tmp_path / "top.csv", index=False)
