@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import (ngram_join, packing, pieces, quality, records, secrets, substrings,
-                          token_counts, vectors, warc)
+from kerbside.llm import (divergence, ngram_join, packing, pieces, quality, ranked_search, records, secrets,
+                          substrings, token_counts, top_vectors, vectors, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +155,63 @@ def op10(spark, sf_dir):
     manifest = records.write_sequences(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0,
                                        marks=True)
     return records.read_sequences(manifest)
+
+
+@query("op11_ranked_search", r"""
+    WITH a AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+    d AS (SELECT doc_id, t, CAST(len(t) AS BIGINT) AS n FROM a WHERE len(t) > 0),
+    s AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+    i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    o AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM d)
+        WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+    f AS (SELECT term, CAST(floor(1000e0 * ln(CAST(2 * any_value(nn) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT)
+        AS w FROM o CROSS JOIN s GROUP BY term),
+    c AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))))
+        AS BIGINT) AS score FROM o JOIN f USING (term) JOIN i USING (term) CROSS JOIN s GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+      doc_id, score FROM c WHERE score > 0 QUALIFY rank <= 50""")
+def op11(spark, sf_dir):
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_top_vectors", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256e0 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+        FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+      vec_id, score FROM s QUALIFY rank <= 5""")
+def op12(spark, sf_dir):
+    return top_vectors.top_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_source_divergence", r"""
+    WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+    o AS (SELECT doc, lang, source, unnest(t) AS term FROM d),
+    k AS (SELECT lang, term, count(*) AS ln FROM o GROUP BY ALL HAVING count(DISTINCT doc) >= 30),
+    v AS (SELECT lang, count(*) AS vv, sum(ln) AS lt FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+    t AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM c GROUP BY ALL),
+    p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+        1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5)) // (coalesce(total, 0) + 5 * vv) AS p,
+        1 + (CAST(1000000000 AS HUGEINT) * (ln + 5)) // (lt + 5 * vv) AS q
+        FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)
+        LEFT JOIN t USING (lang, source)),
+    w AS (SELECT lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p AS a JOIN p AS b USING (lang, term)
+        GROUP BY ALL),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS f
+        FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN w ON w.lang = a.lang AND w.source = a.source AND w.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(row_number() OVER (
+      PARTITION BY lang, source, part ORDER BY f DESC, encode(item)) AS INTEGER) AS rank
+    FROM r QUALIFY part = 'pair' OR rank <= 50""")
+def op13(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
