@@ -1,11 +1,15 @@
 """Per-row feature attribution of tree ensembles (path-dependent Shapley values).
 
 Each leaf is a box in feature space: an interval per feature on its path, and the share of
-training weight that follows the path when that feature is unknown. With ``o`` = 1 where the
-row lies in the interval and ``z`` that share, the Shapley value of feature i at a leaf of
-value v is  v * (o_i - z_i) * integral over t in [0, 1] of prod_{j != i} (z_j (1 - t) + o_j t).
+training weight that follows the path when that feature is unknown. A row either lies in a
+feature's interval (o = 1) or not (o = 0), so all a leaf needs to know of a row is the bit mask
+of the features it satisfies. For a leaf of value v and shares z, feature i gets
+v * (o_i - z_i) * integral over t in [0, 1] of prod_{j != i} (z_j (1 - t) + o_j t).
 The integrand is a polynomial whose degree is below the number of features, so a small
-Gauss-Legendre rule is exact.
+Gauss-Legendre rule is exact. It is worked out once per leaf and mask that occurs among the rows
+of a batch; every (row, leaf) is then one look-up in that table.
+
+Boxes are compiled where the node table lies, a tree per group; rows never move.
 """
 
 from __future__ import annotations
@@ -14,151 +18,244 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.functions import columns as C
-from kerbside.schema import AWAY, MODEL_FEATURES, STRONG, TOWARD, WEAK
+from kerbside.schema import AWAY, LABELS, MODEL_FEATURES, STRONG, TOWARD, WEAK
 from kerbside.sources.scratch import scratch_path, written
 
-# Leaves broadcast at once: with eleven features about 50 MB.
+# Leaves broadcast at once: with eleven features about 60 MB.
 MAX_LEAVES = 200_000
 
+# Leaves in one row of the box table, so that a tree of any size is cut.
+CHUNK_LEAVES = 2_048
+
+# Leaves times masks that are addressed directly.
+DIRECT_CODES = 1 << 24
+
+_NODES = "tree int, id int, left_id int, right_id int, feature int, threshold double, cover double, value array<double>"
+_BOXES = "tree int, chunk int, n int, lo binary, hi binary, share binary, value binary"
+
 
-def tree_nodes(spark: SparkSession, model) -> DataFrame:
-    """Node table of a fitted ensemble: the model's own saved form, read back as a table."""
+def forest_nodes(spark: SparkSession, model) -> DataFrame:
+    """Node table of a fitted Spark forest: the model's own saved form, read back as a table. A
+    node's value is its class distribution times the tree's share of all tree weights."""
     path = scratch_path(spark, "trees")
     model.write().save(path)
-    n = "nodeData"
+    n, total = "nodeData", float(sum(model.treeWeights))
+    weights = F.array(*[F.lit(w / total) for w in model.treeWeights])  # one per tree
+    cover = F.aggregate(f"{n}.impurityStats", F.lit(0.0), lambda a, v: a + v)
     return spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("id"),
-        F.col(f"{n}.prediction").alias("prediction"), F.col(f"{n}.impurityStats").alias("stats"),
-        F.col(f"{n}.leftChild").alias("left_id"), F.col(f"{n}.rightChild").alias("right_id"),
-        F.col(f"{n}.split.featureIndex").alias("feature"),
-        F.try_element_at(f"{n}.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
-
-
-def tree_parts(nodes: DataFrame, max_leaves: int = MAX_LEAVES) -> list[list[int]]:
-    """Trees grouped so that no group has more than ``max_leaves`` leaves (or is one tree)."""
-    sizes = nodes.where("left_id < 0").groupBy("tree").count().orderBy("tree").collect()
-    parts, used = [[]], 0
-    for row in sizes:  # one row per tree of the model
-        if parts[-1] and used + row["count"] > max_leaves:
-            parts.append([])
-            used = 0
-        parts[-1].append(row.tree)
-        used += row["count"]
-    return parts
-
-
-def leaf_boxes(nodes: DataFrame, n_features: int, tree_weights: list[float], classify: bool,
-               trees: list[int] | None = None) -> dict[str, np.ndarray]:
-    """Interval bounds, path shares and weighted values of the leaves of some trees.
-
-    The table describes the model, not the data; ``tree_parts`` bounds its size.
-    """
-    if trees is not None:
-        nodes = nodes.where(F.col("tree").isin(trees))
+        F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("id"), F.col(f"{n}.leftChild").alias("left_id"),
+        F.col(f"{n}.rightChild").alias("right_id"), F.col(f"{n}.split.featureIndex").alias("feature"),
+        F.try_element_at(f"{n}.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"), cover.alias("cover"),
+        F.transform(f"{n}.impurityStats", lambda v: v / cover * F.element_at(weights, F.col("treeID") + 1)).alias("value"))
+
+
+def boosted_nodes(spark: SparkSession, model) -> DataFrame:
+    """Node table of a ``boosting.BoostedModel``. Values are raw scores of the tree's class."""
+    leaf = F.col("feature") < 0
+    return model.node_table(spark).select(
+        (F.col("round") * len(LABELS) + F.col("class")).alias("tree"), F.col("node").alias("id"),
+        F.when(leaf, -1).otherwise(2 * F.col("node") + 1).alias("left_id"),
+        F.when(leaf, -1).otherwise(2 * F.col("node") + 2).alias("right_id"), "feature", "threshold", "cover",
+        F.array(*[F.when(F.col("class") == c, F.col("value")).otherwise(F.lit(0.0)) for c in range(len(LABELS))])
+        .alias("value"))
+
+
+def tree_boxes(nodes: dict[int, tuple], n_features: int) -> dict[str, np.ndarray]:
+    """Interval bounds, path shares and values of the leaves of one tree; ``nodes`` maps an id
+    to (left, right, feature, threshold, cover, value)."""
     lo, hi, share, value = [], [], [], []
-    for tree, part in nodes.toPandas().groupby("tree"):
-        by_id = {row.id: row for row in part.itertuples()}
-        stack = [(0, np.full(n_features, -np.inf), np.full(n_features, np.inf),
-                  np.ones(n_features))]
-        while stack:
-            node_id, low, high, shares = stack.pop()
-            node = by_id[node_id]
-            if node.left_id < 0:
-                stats = np.asarray(node.stats, dtype=float)
-                leaf = stats / stats.sum() if classify else np.array([node.prediction])
-                lo.append(low), hi.append(high), share.append(shares)
-                value.append(leaf * tree_weights[tree])
-                continue
-            f, cover = int(node.feature), _cover(node, classify)
-            for child, goes_left in ((node.left_id, True), (node.right_id, False)):
-                low2, high2, shares2 = low.copy(), high.copy(), shares.copy()
-                if goes_left:
-                    high2[f] = min(high2[f], node.threshold)
-                else:
-                    low2[f] = max(low2[f], node.threshold)
-                shares2[f] *= _cover(by_id[child], classify) / cover
-                stack.append((child, low2, high2, shares2))
-    return {"lo": np.array(lo), "hi": np.array(hi), "share": np.array(share),
-            "value": np.array(value)}
-
-
-def _cover(node, classify: bool) -> float:
-    stats = node.stats
-    return float(np.sum(stats)) if classify else float(stats[0])
-
-
-def expected_value(boxes: dict[str, np.ndarray]) -> np.ndarray:
+    stack = [(0, np.full(n_features, -np.inf), np.full(n_features, np.inf), np.ones(n_features))]
+    while stack:
+        node_id, low, high, shares = stack.pop()
+        left, right, f, threshold, cover, leaf = nodes[node_id]
+        if left < 0:
+            lo.append(low), hi.append(high), share.append(shares), value.append(leaf)
+            continue
+        for child, goes_left in ((left, True), (right, False)):
+            low2, high2, shares2 = low.copy(), high.copy(), shares.copy()
+            if goes_left:
+                high2[f] = min(high2[f], threshold)
+            else:
+                low2[f] = max(low2[f], threshold)
+            shares2[f] *= nodes[child][4] / cover
+            stack.append((child, low2, high2, shares2))
+    return {"lo": np.array(lo), "hi": np.array(hi), "share": np.array(share), "value": np.array(value, float)}
+
+
+def leaf_boxes(nodes: DataFrame, n_features: int, chunk: int = CHUNK_LEAVES) -> DataFrame:
+    """The boxes of all trees, some leaves of a tree per row. A tree is compiled by one task: its
+    nodes are bounded by the depth and the rows of the fit."""
+    def compile_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+        tree = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            boxes = tree_boxes(held, n_features)
+            for i, start in enumerate(range(0, len(boxes["lo"]), chunk)):
+                part = {k: np.ascontiguousarray(v[start:start + chunk]) for k, v in boxes.items()}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in [
+                        (tree, pa.int32()), (i, pa.int32()), (len(part["lo"]), pa.int32()),
+                        *[(part[k].tobytes(), pa.binary()) for k in ("lo", "hi", "share", "value")]]],
+                    names=[c.split()[0] for c in _BOXES.split(", ")])
+
+        for batch in batches:
+            columns = [batch.column(c.split()[0]).to_pylist() for c in _NODES.split(", ")]
+            for t, node_id, *rest in zip(*columns):
+                if t != tree:
+                    yield from flush()
+                    held.clear()
+                    tree = t
+                held[node_id] = tuple(rest)
+        yield from flush()
+
+    return (nodes.select(*[c.split()[0] for c in _NODES.split(", ")]).repartition("tree").sortWithinPartitions("tree")
+            .mapInArrow(compile_trees, _BOXES))
+
+
+def box_parts(boxes: DataFrame, max_leaves: int = MAX_LEAVES) -> Iterator[list[dict[str, np.ndarray]]]:
+    """Lists of boxes with at most ``max_leaves`` leaves in all (or a single row of the table)."""
+    held, size = [], 0
+    for row in boxes.orderBy("tree", "chunk").toLocalIterator():
+        if held and size + row.n > max_leaves:
+            yield held
+            held, size = [], 0
+        held.append({k: np.frombuffer(row[k]).reshape(row.n, -1) for k in ("lo", "hi", "share", "value")})
+        size += row.n
+    if held:
+        yield held
+
+
+def expected_value(part: list[dict[str, np.ndarray]]) -> np.ndarray:
     """Model output with every feature unknown."""
-    return (boxes["value"] * boxes["share"].prod(axis=1)[:, None]).sum(axis=0)
+    return sum((b["value"] * b["share"].prod(axis=1)[:, None]).sum(axis=0) for b in part)
 
 
-def shapley(x: np.ndarray, boxes: dict[str, np.ndarray], leaves_at_once: int = 256) -> np.ndarray:
-    """Attributions with shape (rows, features, outputs)."""
-    n_features = x.shape[1]
+def mask_weights(share: np.ndarray, satisfied: np.ndarray) -> np.ndarray:
+    """Weight of each feature, for a leaf of value 1, per pair of path shares and mask."""
+    n_features = share.shape[1]
     nodes, weights = np.polynomial.legendre.leggauss(n_features // 2 + 1)
-    nodes, weights = (nodes + 1) / 2, weights / 2
-    out = np.zeros((len(x), n_features, boxes["value"].shape[1]))
-    for start in range(0, len(boxes["lo"]), leaves_at_once):
-        part = slice(start, start + leaves_at_once)
-        z = boxes["share"][part]
-        o = ((x[:, None, :] > boxes["lo"][part]) & (x[:, None, :] <= boxes["hi"][part])).astype(float)
-        kept = np.zeros_like(o)
-        for t, w in zip(nodes, weights):
-            factors = z * (1 - t) + o * t
-            kept += w * factors.prod(axis=2, keepdims=True) / factors
-        out += np.einsum("rlf,lc->rfc", kept * (o - z), boxes["value"][part], optimize=True)
+    kept = np.zeros(share.shape)
+    for t, w in zip((nodes + 1) / 2, weights / 2):
+        factors = share * (1 - t) + satisfied * t
+        kept += w * factors.prod(axis=1, keepdims=True) / factors
+    return kept * (satisfied - share)
+
+
+class LeafTable:
+    """The leaves of one row of the box table, ready to give masks and look up weights."""
+
+    def __init__(self, boxes: dict[str, np.ndarray]):
+        self.share, self.value = boxes["share"], boxes["value"]
+        n, n_features = self.share.shape
+        lo, hi = boxes["lo"], boxes["hi"]
+        used = np.isfinite(lo) | np.isfinite(hi)
+        place = np.cumsum(used, axis=1) - 1
+        self.width = int(used.sum(axis=1).max(initial=0))
+        self.place = np.where(used, place, -1)
+        # Per feature its thresholds and, for each interval between them, the bit of every leaf.
+        self.features = []
+        for f in np.flatnonzero(used.any(axis=0)):
+            edges = np.unique(np.concatenate((lo[:, f], hi[:, f])))
+            edges = edges[np.isfinite(edges)]
+            above = np.arange(len(edges) + 1)[:, None]
+            inside = (above > np.searchsorted(edges, lo[:, f], side="right") - 1) & (above <= np.searchsorted(edges, hi[:, f]))
+            bit = np.where(used[:, f], 1 << np.maximum(place[:, f], 0), 0)
+            self.features.append((f, edges, np.where(inside, bit, 0).astype(np.int64)))
+
+    def masks(self, x: np.ndarray) -> np.ndarray:
+        """(rows, leaves): bit i tells whether the i-th feature on the leaf's path is satisfied."""
+        out = np.zeros((len(x), len(self.share)), np.int64)
+        for f, edges, bits in self.features:
+            out += bits[np.searchsorted(edges, x[:, f])]
+        return out
+
+    def add(self, x: np.ndarray, out: np.ndarray, rows_at_once: int = 64) -> None:
+        """Add the leaves' attributions to ``out``, shaped (rows, features, outputs)."""
+        n = len(self.share)
+        code = self.masks(x)
+        code += np.arange(n) << self.width
+        if n << self.width <= DIRECT_CODES:
+            occurs = np.zeros(n << self.width, bool)
+            occurs[code.ravel()] = True
+            codes = np.flatnonzero(occurs)
+            at = np.zeros(len(occurs), np.int32)
+            at[codes] = np.arange(len(codes))
+            at = at[code]
+        else:  # many features: the codes are sorted instead of addressed
+            codes, at = np.unique(code, return_inverse=True)
+            at = at.reshape(code.shape)
+        leaf, mask = codes >> self.width, codes & ((1 << self.width) - 1)
+        place = self.place[leaf]
+        # A feature that is not on the path has share 1 and counts as satisfied: weight 0.
+        satisfied = np.where(place >= 0, (mask[:, None] >> np.maximum(place, 0)) & 1, 1).astype(float)
+        weights = mask_weights(self.share[leaf], satisfied)
+        for start in range(0, len(x), rows_at_once):
+            found = weights[at[start:start + rows_at_once]]
+            out[start:start + rows_at_once] += np.matmul(found.transpose(0, 2, 1), self.value)
+
+
+def shapley(x: np.ndarray, part: list[dict[str, np.ndarray]]) -> np.ndarray:
+    """Attributions with shape (rows, features, outputs)."""
+    out = np.zeros((*x.shape, part[0]["value"].shape[1]))
+    for boxes in part:
+        LeafTable(boxes).add(x, out)
     return out
 
 
-def attribute(df: DataFrame, boxes: dict[str, np.ndarray], keep: list[str],
-              features: list[str] = MODEL_FEATURES, rows_at_once: int = 256) -> DataFrame:
+def attribute(df: DataFrame, part: list[dict[str, np.ndarray]], keep: list[str],
+              features: list[str] = MODEL_FEATURES, rows_at_once: int = 4_096) -> DataFrame:
     """Add ``attribution``: one array over features per output, in feature order.
 
-    Rows stay where they are (no shuffle); each task works through Arrow batches.
+    Rows stay where they are (no shuffle); each task works through Arrow batches. ``part`` has
+    bounded size (``box_parts``).
     """
-    shared = df.sparkSession.sparkContext.broadcast(boxes)
-    wanted = df.select(*keep, *[F.col(f).cast("double").alias(f"_f{i}")
-                                for i, f in enumerate(features)])
+    shared = df.sparkSession.sparkContext.broadcast(part)
+    wanted = df.select(*keep, *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(features)])
     names = [f"_f{i}" for i in range(len(features))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            values = [shapley(x[i:i + rows_at_once], shared.value)
-                      for i in range(0, len(x), rows_at_once)]
-            result = batch[keep].copy()
-            result["attribution"] = [v.T.tolist() for part in values for v in part]
-            yield result
-
-    kept = ", ".join(f"{n} {t}" for n, t in wanted.dtypes if n in keep)
+            for start in range(0, len(batch), rows_at_once):
+                piece = batch.iloc[start:start + rows_at_once]
+                values = shapley(piece[names].to_numpy(dtype=float), shared.value)
+                result = piece[keep].copy()
+                result["attribution"] = [v.T.tolist() for v in values]
+                yield result
+
+    kept = ", ".join(f"`{n}` {t}" for n, t in wanted.dtypes if n in keep)
     return wanted.mapInPandas(run, f"{kept}, attribution array<array<double>>")
 
 
-def attribute_ensemble(df: DataFrame, nodes: DataFrame, keep: list[str],
-                       tree_weights: list[float], classify: bool,
-                       features: list[str] = MODEL_FEATURES,
-                       max_leaves: int = MAX_LEAVES) -> DataFrame:
-    """Attributions of a whole ensemble of any size.
+def attribute_ensemble(df: DataFrame, nodes: DataFrame, keep: list[str], features: list[str] = MODEL_FEATURES,
+                       max_leaves: int = MAX_LEAVES) -> tuple[DataFrame, np.ndarray]:
+    """Attributions of a whole ensemble of any size, and the output with every feature unknown.
 
-    They add up over trees, so a large ensemble is worked through in parts of bounded size,
-    each adding to the table the previous part has written.
+    Attributions add up over leaves, so a large ensemble is worked through in parts of bounded
+    size, each adding to the table the previous part has written.
     """
-    out = None
+    boxes = written(leaf_boxes(nodes, len(features)), "boxes")
+    out, base = None, 0.0
     columns = list(dict.fromkeys([*keep, *features]))
-    for trees in tree_parts(nodes, max_leaves):
-        boxes = leaf_boxes(nodes, len(features), tree_weights, classify, trees)
+    for part in box_parts(boxes, max_leaves):
+        base = base + expected_value(part)
         if out is None:
-            out = attribute(df, boxes, columns, features)
+            out = attribute(df, part, columns, features)
             continue
         total = written(out, "attribution").withColumnRenamed("attribution", "_sum")
         added = F.zip_with("_sum", "attribution",
                            lambda a, b: F.zip_with(a, b, lambda p, q: p + q))
-        out = (attribute(total, boxes, [*columns, "_sum"], features)
+        out = (attribute(total, part, [*columns, "_sum"], features)
                .select(*columns, added.alias("attribution")))
-    return out.select(*keep, "attribution")
+    if out is None:
+        raise ValueError("the model has no trees")
+    return out.select(*keep, "attribution"), base
 
 
 def top_attributions(df: DataFrame, key: list[str], features: list[str] = MODEL_FEATURES,

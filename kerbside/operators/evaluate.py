@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.functions import columns as C
-from kerbside.operators.prefix import growing_band, running_totals
+from kerbside.operators.prefix import running_totals
 from kerbside.schema import LABELS, METRICS
 
 CLASSES = range(len(LABELS))
@@ -86,9 +86,7 @@ def _score_counts(scored: DataFrame) -> DataFrame:
 
 
 def _ranked(scored: DataFrame) -> DataFrame:
-    counts = _score_counts(scored)
-    return running_totals(counts, ["model", "class"], "score", ["pos", "neg"],
-                          growing_band(counts, "score"))
+    return running_totals(_score_counts(scored), ["model", "class"], "score", ["pos", "neg"])
 
 
 def class_auc(scored: DataFrame) -> DataFrame:

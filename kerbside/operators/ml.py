@@ -1,21 +1,21 @@
-"""Three classifiers on Spark ML.
+"""Classifiers on Spark ML; the boosted ensemble is in ``boosting``.
 
-The caller persists the training frame if it fits several models. ``fit_boosted`` needs a
-boolean ``is_val`` column marking the rows used for early stopping.
+The caller persists the training frame if it fits several models.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from kerbside.operators.boosting import FIT_ROWS, bounded_sample
 from kerbside.operators.split import add_class_weight
-from kerbside.schema import LABELS, MODEL_FEATURES
+from kerbside.schema import MODEL_FEATURES
 from kerbside.sources.readers import path_exists
+from kerbside.sources.scratch import written
 from kerbside.sources.sinks import model_slug
 
 
@@ -45,93 +45,50 @@ def fit_logistic(train: DataFrame, features: list[str] = MODEL_FEATURES, c: floa
 
 
 def fit_forest(train: DataFrame, features: list[str] = MODEL_FEATURES, trees: int = 200,
-               depth: int = 20, min_leaf: int = 10, bins: int = 64,
-               seed: int = 42) -> PipelineModel:
-    """Random forest with balanced class weights and square-root feature sampling."""
+               depth: int = 20, min_leaf: int = 10, bins: int = 64, seed: int = 42,
+               max_rows: int = FIT_ROWS, memory_mb: int = 1024) -> PipelineModel:
+    """Random forest with balanced class weights and square-root feature sampling.
+
+    ``max_rows`` bounds the labelled rows that are used (a sample by row hash beyond);
+    ``memory_mb`` bounds the node statistics that one pass over the rows gathers.
+    """
+    rows = bounded_sample(train, max_rows).repartition(train.sparkSession.sparkContext.defaultParallelism)
+    rows = written(rows, "fit-rows")
     return Pipeline(stages=[
         assembler(features),
         RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
                                featureSubsetStrategy="sqrt", weightCol="weight", maxBins=bins,
-                               seed=seed),
-    ]).fit(add_class_weight(train))
-
-
-def best_round(losses: list[float], patience: int) -> int:
-    """Number of rounds after which ``patience`` further ones bring no smaller loss."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_boosted(train_and_val: DataFrame, features: list[str] = MODEL_FEATURES, rounds: int = 500,
-                depth: int = 6, rate: float = 0.05, subsample: float = 0.8,
-                feature_share: float = 0.8, min_child: int = 5, patience: int = 20,
-                bins: int = 64, seed: int = 42) -> list[GBTClassificationModel]:
-    """One boosted binary model per class, each with the rounds that validation favours.
-
-    A model is fitted with twice as many rounds, up to ``rounds``, until its validation loss has
-    not fallen for ``patience`` of them, and then once more with the best number. The same seed
-    gives the same trees, so the shorter model is a prefix of the longer one.
-    """
-    frame = assembler(features).transform(train_and_val)
-    models = []
-    for code in range(len(LABELS)):
-        target = frame.withColumn("_target", (F.col("label") == code).cast("double"))
-        train, val = target.where("NOT is_val"), target.where("is_val")
-
-        def fit(n: int) -> GBTClassificationModel:
-            return GBTClassifier(
-                labelCol="_target", maxIter=n, maxDepth=depth, stepSize=rate, subsamplingRate=subsample,
-                featureSubsetStrategy=str(feature_share), minInstancesPerNode=min_child, maxBins=bins,
-                seed=seed).fit(train)
-
-        n, known = min(2 * patience, rounds), not val.isEmpty()
-        while True:
-            model = fit(n if known else rounds)
-            best = best_round(model.evaluateEachIteration(val), patience) if known else rounds
-            if not known or n >= rounds or best + patience <= n:
-                break
-            n = min(2 * n, rounds)
-        models.append(fit(best) if best < model.getNumTrees else model)
-    return models
-
-
-def boosted_probability(df: DataFrame, models: list[GBTClassificationModel],
-                        features: list[str] = MODEL_FEATURES) -> DataFrame:
-    """One-vs-rest probabilities normalised over the classes."""
-    out = assembler(features).transform(df)
-    for code, model in enumerate(models):
-        scorer = model.copy()
-        scorer.setPredictionCol(f"_pred{code}")
-        scorer.setRawPredictionCol(f"_raw{code}")
-        scorer.setProbabilityCol(f"_prob{code}")
-        out = scorer.transform(out)
-    ones = F.array(*[F.element_at(vector_to_array(f"_prob{c}"), 2) for c in range(len(models))])
-    drop = [f"_{kind}{c}" for kind in ("pred", "raw", "prob") for c in range(len(models))]
-    return (out.withColumn("_ones", ones)
-            .withColumn("probability", F.transform("_ones", lambda p: p / F.aggregate(
-                F.col("_ones"), F.lit(0.0), lambda a, b: a + b)))
-            .drop("_ones", "features", *drop))
-
-
-def feature_importance(spark, models: dict[str, list], features: list[str] = MODEL_FEATURES) -> DataFrame:
-    """Importance per model and feature, averaged over the models of an ensemble, sorted.
+                               seed=seed, cacheNodeIds=True, maxMemoryInMB=memory_mb),
+    ]).fit(add_class_weight(rows))
+
+
+def feature_importance(spark, models: dict[str, list[float]], features: list[str] = MODEL_FEATURES) -> DataFrame:
+    """Importance per model and feature, sorted, from a list of shares per model.
 
     The table has one row per model and feature, whatever the data size.
     """
-    rows = []
-    for name, parts in models.items():
-        weights = [part.featureImportances.toArray() for part in parts]
-        rows += [(name, f, float(sum(w[i] for w in weights) / len(weights)))
-                 for i, f in enumerate(features)]
+    rows = [(name, f, float(share)) for name, shares in models.items() for f, share in zip(features, shares)]
     return (spark.createDataFrame(rows, "model string, feature string, importance double")
             .orderBy("model", F.desc("importance"), "feature"))
 
 
+def logistic_slope(train: DataFrame, model: PipelineModel, c: float = 1.0) -> float:
+    """Largest component of the gradient of the penalised loss at a fitted logistic model: 0 at
+    the optimum. One pass over the rows."""
+    fitted = model.stages[-1]
+    scaled = model.transform(train).select("label", vector_to_array("features").alias("z"),
+                                           vector_to_array("probability").alias("p"))
+    sizes = range(fitted.numFeatures)
+    sums = []
+    for k in range(fitted.numClasses):
+        miss = F.element_at("p", k + 1) - (F.col("label") == k).cast("double")
+        sums += [F.avg(miss).alias(f"b{k}"), *[F.avg(miss * F.element_at("z", j + 1)).alias(f"w{k}_{j}") for j in sizes]]
+    slope = scaled.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    weights = fitted.coefficientMatrix.toArray()
+    return max(max(abs(slope[f"b{k}"]), *[abs(slope[f"w{k}_{j}"] + weights[k, j] / (c * slope.n)) for j in sizes])
+               for k in range(fitted.numClasses))
+
+
 def load_model(spark, directory: str, name: str) -> PipelineModel | None:
     path = f"{directory.rstrip('/')}/{model_slug(name)}"
     return PipelineModel.load(path) if path_exists(spark, path) else None

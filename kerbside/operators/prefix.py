@@ -3,6 +3,8 @@
 A plain ``sum() over (partition by g order by v)`` sorts all of ``g`` in one task. Here the
 group is cut into many small ordered *bands*. The totals of the bands are tiny and are
 accumulated first; each band is then accumulated on its own and shifted by what precedes it.
+The bands are range partitions: Spark samples the rows for splitters that give parts of equal
+size, wherever the values lie.
 """
 
 from __future__ import annotations
@@ -10,16 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.functions import columns as C
+from kerbside.sources.scratch import written
 
 
 def running_totals(df: DataFrame, by: list[str], order: str, measures: list[str],
                    band: Column | None = None) -> DataFrame:
     """Add ``<m>_before`` and ``<m>_total`` to rows that are unique per ``(by, order)``.
 
-    ``band`` must be a non-decreasing function of ``order`` alone (default: its scaled
-    logarithm). Keys in ``by`` must not be null.
+    ``band`` may name a non-decreasing function of ``order`` alone that is known to cut evenly,
+    such as leading hash digits; otherwise the rows are range-partitioned by sampled splitters
+    and written, so that each keeps its part. Keys in ``by`` must not be null.
     """
-    banded = df.withColumn("_band", C.value_band(order) if band is None else band)
+    banded = ranged(df, by, order) if band is None else df.withColumn("_band", band)
     whole = Window.partitionBy(*by)
     earlier = whole.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     sums = banded.groupBy(*by, "_band").agg(*[F.sum(m).alias(m) for m in measures])
@@ -41,11 +45,9 @@ def running_totals(df: DataFrame, by: list[str], order: str, measures: list[str]
     )
 
 
-def growing_band(rows: DataFrame, order: str, per_band: int = 20_000) -> Column:
-    """``value_band`` with as many bands as the rows ask for, should all of them lie in one
-    octave: scores between a half and one, say. The rows are counted for it."""
-    n = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return C.value_band(order, F.greatest(F.lit(64), F.ceil(n / F.lit(per_band))))
+def ranged(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Rows with ``_band``: their part of the range partitioning by ``by`` and ``order``."""
+    return written(df.repartitionByRange(*by, order).withColumn("_band", F.spark_partition_id()), "ranged")
 
 
 def value_counts(df: DataFrame, by: list[str], value: str | Column,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions import columns as C
+from kerbside.sources.scratch import written
 from kerbside.schema import (ACCEL_MAX, DENSITY_MAX, KEY, LABELS, MIN_SESSION_ROWS,
                              MIN_TOTAL_ROWS, OBS_COLUMNS, SPEED_MAX)
 
@@ -172,27 +173,34 @@ def verdict(df: DataFrame, min_total: int = MIN_TOTAL_ROWS, speed_max: float = S
             min_rows: int = MIN_SESSION_ROWS) -> DataFrame:
     """Failed rules with their measured value, or one PASS line.
 
-    One grouping by session and label feeds every count; correlation needs its own pass.
+    The rows are read once: a grouping by session and label carries every count and the sums
+    behind the correlation, and is written before the rules look at it.
     """
     nulls = F.lit(0)
     for c in df.columns:
         nulls = nulls + _is_missing(df, c).cast("int")
-    cell = (df.groupBy("session_id", "congestion_label")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(nulls).alias("n_null"),
-                 F.count_if(F.col("speed") > speed_max).alias("n_fast")))
-    overall = cell.agg(F.sum("n").alias("n"), F.sum("n_null").alias("n_null"),
-                       F.sum("n_fast").alias("n_fast"))
+    both = C.present("speed") & C.present("traffic_density")
+    x, y = (F.when(both, F.col(c).cast("double")) for c in ("speed", "traffic_density"))
+    products = {"x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
+    cell = written(
+        df.groupBy("session_id", "congestion_label")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(nulls).alias("n_null"),
+             F.count_if(F.col("speed") > speed_max).alias("n_fast"), F.count(x).alias("n_both"),
+             *[F.sum(v).alias(k) for k, v in products.items()]), "verdict-cells")
+    overall = cell.agg(*[F.sum(c).alias(c) for c in ("n", "n_null", "n_fast", "n_both", *products)])
+    m = F.col("n_both")
+    spread = {v: F.greatest(F.lit(0.0), F.col(2 * v) - F.col(v) * F.col(v) / m) for v in "xy"}
+    r = F.try_divide(F.col("xy") - F.col("x") * F.col("y") / m, F.sqrt(spread["x"]) * F.sqrt(spread["y"]))
     smallest = (cell.where(F.col("congestion_label").isNotNull())
                 .groupBy("congestion_label").agg(F.sum("n").alias("n"))
                 .agg(F.try_divide(100.0 * F.min("n"), F.sum("n")).alias("v")))
     short = (cell.where(F.col("session_id").isNotNull())
              .groupBy("session_id").agg(F.sum("n").alias("n"))
              .agg(F.count_if(F.col("n") < min_rows).alias("v")))
-    corr = df.agg(pearson("speed", "traffic_density").alias("v"))
     facts = overall.select(
         F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_null", F.lit(0)).alias("n_null"),
         F.coalesce("n_fast", F.lit(0)).alias("n_fast"), smallest.scalar().alias("share"),
-        corr.scalar().alias("corr"), short.scalar().alias("n_short"))
+        r.alias("corr"), short.scalar().alias("n_short"))
     rules = [
         ("too_few_rows", F.col("n") < min_total, F.col("n")),
         ("null_values", F.col("n_null") > 0,

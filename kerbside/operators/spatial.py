@@ -7,8 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions import columns as C
+from kerbside.operators import crowds
 from kerbside.operators.distributions import attach, bin_index
 from kerbside.schema import PROXIMITY_RADIUS_M
+from kerbside.sources.scratch import written
+
+#: Positions of a cell beyond which it is taken apart instead of paired.
+CROWD = 128
 
 
 def _bounds(df: DataFrame, by: list[str]) -> DataFrame:
@@ -136,7 +141,8 @@ def hotspots(df: DataFrame, cell: int = 20, top: int = 10, by: list[str] | None
 
 
 def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
-                      frame: list[str] | None = None, vehicle: str = "vehicle_id") -> DataFrame:
+                      frame: list[str] | None = None, vehicle: str = "vehicle_id",
+                      crowd: int = CROWD) -> DataFrame:
     """Other vehicles within ``radius`` metres (inclusive, in the plane) in the same frame.
 
     ``df`` has one row per frame and vehicle. Vehicles at one spot (parked, or logged at a
@@ -145,31 +151,42 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
     an adjacent cell. Each unordered pair of positions is met once: a position looks in its own
     cell (one direction only) and in four of the eight neighbours, and a match counts for both
     sides. The merge hint keeps the planner from broadcasting a side that grows with the
-    data; adaptive execution splits skewed cells.
+    data. Cells with more than ``crowd`` positions, and their neighbours towards them, go through
+    a hierarchy of smaller cells instead (``crowds``), which pairs few of their positions.
     """
     frame = frame or ["session_id", "tick"]
     spots = (df.where(C.present("x") & C.present("y")).groupBy("x", "y", *reversed(frame))
              .agg(F.count(F.lit(1)).alias("n"), F.min(vehicle).alias("_id"))
              .withColumns({"_cx": F.floor(F.col("x") / radius), "_cy": F.floor(F.col("y") / radius)}))
+    spots = written(spots, "spots")
+    cell = ["_cx", "_cy", *reversed(frame)]
+    dense = written(spots.groupBy(*cell).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > crowd).select(*cell),
+                    "crowded-cells")
+    sparse, crowded = spots, None
+    if not dense.isEmpty():
+        sparse = spots.join(dense, cell, "left_anti")
+        crowded = crowds.crowded_counts(spots, dense, radius, frame)
     looks = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                       for dx, dy in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
-    seekers = (spots.withColumn("_o", F.explode(looks))
+    seekers = (sparse.withColumn("_o", F.explode(looks))
                .select(*frame, F.col("_id").alias("_a"), F.col("x").alias("_ax"),
                        F.col("y").alias("_ay"), F.col("n").alias("_an"),
                        (F.col("_cx") + F.col("_o.dx")).alias("_cx"),
                        (F.col("_cy") + F.col("_o.dy")).alias("_cy"),
                        ((F.col("_o.dx") == 0) & (F.col("_o.dy") == 0)).alias("_own")))
     dx, dy = F.col("_ax") - F.col("x"), F.col("_ay") - F.col("y")
-    near = (F.sqrt(dx * dx + dy * dy) <= radius) & (~F.col("_own") | (F.col("_a") < F.col("_id")))
+    near = (crowds.distance(dx, dy) <= radius) & (~F.col("_own") | (F.col("_a") < F.col("_id")))
     # Join columns are sorted by in this order: cells tell rows apart sooner than sessions.
-    pairs = seekers.join(spots.hint("merge"), ["_cx", "_cy", *reversed(frame)]).where(near)
+    pairs = seekers.join(sparse.hint("merge"), ["_cx", "_cy", *reversed(frame)]).where(near)
     # Both ends of a pair, each with the number of vehicles at the other end.
     ends = F.array(
         F.struct(F.col("_a").alias("_id"), F.col("_ax").alias("x"), F.col("_ay").alias("y"), "n"),
         F.struct("_id", "x", "y", F.col("_an").alias("n")))
-    around = (pairs.select(*frame, F.explode(ends).alias("_e")).select(*frame, "_e.*")
-              .groupBy("_id", *reversed(frame))
-              .agg(F.sum("n").alias("_near"), F.min("x").alias("x"), F.min("y").alias("y")))
+    lines = pairs.select(*frame, F.explode(ends).alias("_e")).select(*frame, "_e.*").withColumnRenamed("n", "_near")
+    if crowded is not None:
+        lines = lines.unionByName(crowded)
+    around = (lines.groupBy("_id", *reversed(frame))
+              .agg(F.sum("_near").alias("_near"), F.min("x").alias("x"), F.min("y").alias("y")))
     counted = (spots.select(*frame, "_id", "x", "y", (F.col("n") - 1).alias("_near"))
                .unionByName(around).groupBy("x", "y", *reversed(frame))
                .agg(F.sum("_near").alias("_near")))

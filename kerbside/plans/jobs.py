@@ -11,15 +11,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from kerbside.functions import columns as C
-from kerbside.operators import attribution, evaluate, features, ml, score
-from kerbside.plans.cleaning import KEYS, OBS_LIST, cleaned
+from kerbside.operators import attribution, boosting, evaluate, ml, score
+from kerbside.plans.cleaning import KEYS, OBS_LIST
 from kerbside.plans.modelling import _FULL, _scored_test, split_features
-from kerbside.plans.registry import query
+from kerbside.plans.registry import ORACLES, query
 from kerbside.plans.tables import observations, observations_over, plain, read_table, sql
 from kerbside.schema import FEATURES, KEY, METRICS, MODEL_FEATURES, OBS_COLUMNS, SPLIT_COLUMNS
 from kerbside.sources import readers, sinks
 from kerbside.sources.scratch import scratch_path, written
-from kerbside.streaming import streams
+from kerbside.streaming import batches, streams
 
 # --- sources and sinks -----------------------------------------------------------------
 
@@ -118,85 +118,152 @@ def comparison_csv(spark, sf_dir):
 
 # --- models ----------------------------------------------------------------------------
 
+FOREST, BOOSTED, LOGISTIC = "Random Forest", "Gradient Boosting", "Logistic Regression"
+
+# What one Spark application has fitted, by application, tables and name: queries that look at
+# the same model share one fit.
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(spark, sf_dir, name, make):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
 def training_table(spark, sf_dir):
-    """Split features without incomplete rows, written once: every fit reads it many times."""
-    table = split_features(spark, sf_dir).transform(ml.usable)
-    return written(table.select(*SPLIT_COLUMNS, "split"), "training")
+    """Split features without incomplete rows, written once: every fit reads it many times.
+
+    The rows are dealt evenly, so that a small table keeps all cores busy as well.
+    """
+    def make():
+        table = split_features(spark, sf_dir).transform(ml.usable).select(*SPLIT_COLUMNS, "split")
+        parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return written(table.repartition(parts), "training")
 
+    return _once(spark, sf_dir, "training", make)
 
-def _evaluated(scored, name):
-    """Validation and test metrics of one model."""
-    named = scored.where("split <> 'train'").select(
-        F.concat_ws(" / ", F.lit(name), "split").alias("model"), "label", "probability",
-        C.best_class("probability").alias("prediction"))
-    return written(named, "scored").transform(evaluate.metrics)
 
+def fitted(spark, sf_dir, name, trees=200, depth=20, rounds=500):
+    """One of the three models, fitted on the training split."""
+    def make():
+        table = training_table(spark, sf_dir)
+        if name == LOGISTIC:
+            return ml.fit_logistic(table.where("split = 'train'"))
+        if name == FOREST:
+            return ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
+        known = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+        return boosting.fit_softmax(known.select(*MODEL_FEATURES, "label", "is_val"), rounds=rounds)
+
+    return _once(spark, sf_dir, (name, trees, depth, rounds), make)
+
+
+def scored_by(df, model):
+    if isinstance(model, boosting.BoostedModel):
+        return boosting.add_boosted_probability(df, model)
+    return score.add_probability(df, model)
+
+
+def _held_out(spark, sf_dir, names):
+    """Validation and test rows with the probabilities of some models, written once."""
+    table = training_table(spark, sf_dir).where("split <> 'train'")
+    scored = None
+    for name in names:
+        one = scored_by(table, fitted(spark, sf_dir, name)).select(
+            F.lit(name).alias("model"), "split", "label", "probability")
+        scored = one if scored is None else scored.unionByName(one)
+    return written(scored.withColumn("prediction", C.best_class("probability")), "scored")
 
-def fit_all(table, trees=200, depth=20, rounds=500):
-    train = table.where("split = 'train'")
-    boosted_input = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    return {"Logistic Regression": ml.fit_logistic(train),
-            "Random Forest": ml.fit_forest(train, trees=trees, depth=depth),
-            "Gradient Boosting": ml.fit_boosted(boosted_input, rounds=rounds)}
+
+def _evaluated(scored):
+    """Metrics per model and split."""
+    named = scored.withColumn("model", F.concat_ws(" / ", "model", "split")).transform(evaluate.metrics)
+    cut = F.split("model", " / ")
+    return named.select(cut[0].alias("model"), cut[1].alias("split"), *METRICS)
 
 
 @query("ml_logreg")
 def ml_logreg(spark, sf_dir):
-    table = training_table(spark, sf_dir)
-    model = ml.fit_logistic(table.where("split = 'train'"))
-    return _evaluated(score.add_probability(table, model), "Logistic Regression")
+    return _evaluated(_held_out(spark, sf_dir, [LOGISTIC]))
 
 
 @query("ml_random_forest")
-def ml_random_forest(spark, sf_dir, trees=200, depth=20):
-    table = training_table(spark, sf_dir)
-    model = ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
-    saved = sinks.save_model(model, scratch_path(spark, "models"), "Random Forest")
-    return _evaluated(score.add_probability(table, PipelineModel.load(saved)), "Random Forest")
+def ml_random_forest(spark, sf_dir):
+    """Evaluated after it was saved and loaded."""
+    saved = sinks.save_model(fitted(spark, sf_dir, FOREST), scratch_path(spark, "models"), FOREST)
+    table = training_table(spark, sf_dir).where("split <> 'train'")
+    scored = score.add_probability(table, PipelineModel.load(saved)).select(
+        F.lit(FOREST).alias("model"), "split", "label", "probability", C.best_class("probability").alias("prediction"))
+    return _evaluated(written(scored, "scored"))
 
 
 @query("ml_gbt_ovr")
-def ml_gbt_ovr(spark, sf_dir, rounds=500):
-    table = training_table(spark, sf_dir)
-    known = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    models = ml.fit_boosted(known, rounds=rounds)
-    return _evaluated(ml.boosted_probability(table, models), "Gradient Boosting")
+def ml_gbt_ovr(spark, sf_dir):
+    """One softmax ensemble (the name is that of the survey), saved and loaded."""
+    saved = boosting.save_boosted(fitted(spark, sf_dir, BOOSTED), spark, scratch_path(spark, "models"))
+    table = training_table(spark, sf_dir).where("split <> 'train'")
+    scored = boosting.add_boosted_probability(table, boosting.load_boosted(spark, saved)).select(
+        F.lit(BOOSTED).alias("model"), "split", "label", "probability", C.best_class("probability").alias("prediction"))
+    return _evaluated(written(scored, "scored"))
 
 
 @query("model_comparison_fitted")
 def model_comparison_fitted(spark, sf_dir):
-    """All three models on the test split, best per metric marked."""
-    table = training_table(spark, sf_dir)
-    models = fit_all(table)
-    test = table.where("split = 'test'")
-    scored = None
-    for name, model in models.items():
-        one = (ml.boosted_probability(test, model) if isinstance(model, list)
-               else score.add_probability(test, model))
-        one = one.select(F.lit(name).alias("model"), "label", "probability")
-        scored = one if scored is None else scored.unionByName(one)
-    return (written(scored.withColumn("prediction", C.best_class("probability")), "scored")
-            .transform(evaluate.metrics).transform(evaluate.comparison))
+    """All three models on the validation and on the test split, best per split and metric marked."""
+    per_model = written(_evaluated(_held_out(spark, sf_dir, [LOGISTIC, FOREST, BOOSTED])), "metrics")
+    parts = [evaluate.comparison(per_model.where(F.col("split") == s)).withColumn("split", F.lit(s))
+             for s in ("val", "test")]
+    return parts[0].unionByName(parts[1])
+
+
+_SPLIT_ROWS = "SELECT count(*) FROM s WHERE split = "
+
+
+@query("metrics_check", sql("feat", f"""SELECT model, split, n_rows, CAST(0 AS BIGINT) AS n_off
+    FROM (VALUES ('{LOGISTIC}'), ('{FOREST}'), ('{BOOSTED}')) AS m(model),
+      (SELECT split, count(*) AS n_rows FROM s WHERE split <> 'train' GROUP BY split)""", s=_FULL["s"]))
+def metrics_check(spark, sf_dir):
+    """Accuracy, precision, recall and F1 of the fitted models equal a plain count over the
+    stored scores."""
+    stored = _held_out(spark, sf_dir, [LOGISTIC, FOREST, BOOSTED])
+    per = None
+    for c in range(3):
+        hit = F.count_if((F.col("label") == c) & (F.col("prediction") == c))
+        one = stored.groupBy("model", "split").agg(
+            F.count_if(F.col("label") == c).alias("support"),
+            F.coalesce(F.try_divide(hit, F.count_if(F.col("prediction") == c)), F.lit(0.0)).alias("p"),
+            F.coalesce(F.try_divide(hit, F.count_if(F.col("label") == c)), F.lit(0.0)).alias("r"), hit.alias("hit"))
+        per = one if per is None else per.unionByName(one)
+    f1 = F.coalesce(F.try_divide(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")), F.lit(0.0))
+    plain = per.groupBy("model", "split").agg(
+        F.sum("support").alias("n_rows"), (F.sum("hit") / F.sum("support")).alias("accuracy_2"),
+        *[(F.sum(v * F.col("support")) / F.sum("support")).alias(f"{n}_2")
+          for n, v in (("precision", F.col("p")), ("recall", F.col("r")), ("f1", f1))])
+    off = sum((F.abs(F.col(m) - F.col(f"{m}_2")) > 2e-6).cast("long") for m in ("accuracy", "precision", "recall", "f1"))
+    return plain.join(_evaluated(stored), ["model", "split"]).select("model", "split", "n_rows", off.alias("n_off"))
+
+
+@query("logistic_slope", sql("feat", f"""SELECT ({_SPLIT_ROWS}'train') AS n_rows, true AS is_flat""", s=_FULL["s"]))
+def logistic_slope(spark, sf_dir):
+    """The gradient of the penalised loss is zero at the fitted coefficients."""
+    train = training_table(spark, sf_dir).where("split = 'train'")
+    slope = ml.logistic_slope(train, fitted(spark, sf_dir, LOGISTIC))
+    return train.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(slope < 1e-4).alias("is_flat"))
 
 
 @query("score_batch")
 def score_batch(spark, sf_dir):
     """Every cleaned row scored by a fitted model."""
     table = training_table(spark, sf_dir)
-    model = ml.fit_logistic(table.where("split = 'train'"))
-    return score.add_probability(table, model).transform(score.add_score).select(
+    return scored_by(table, fitted(spark, sf_dir, LOGISTIC)).transform(score.add_score).select(
         *KEY, "label", "prediction", "predicted_label", "confidence_pct", "severity",
         "severity_band")
 
 
-@query("score_coverage", sql("feat", """SELECT count(*) AS n_rows,
-    count(*) FILTER (WHERE town_code IS NULL) AS n_unnumbered_town, CAST(0 AS BIGINT) AS n_unscored,
-    CAST(0 AS BIGINT) AS n_off_one FROM feat"""))
-def score_coverage(spark, sf_dir):
+def _coverage(spark, sf_dir, name):
     """Every cleaned row has a score, towns without a number included; probabilities sum to 1."""
-    table = training_table(spark, sf_dir)
-    model = ml.fit_logistic(table.where("split = 'train'"))
-    scored = score.add_probability(table, model).transform(score.add_score)
+    scored = scored_by(training_table(spark, sf_dir), fitted(spark, sf_dir, name)).transform(score.add_score)
     total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("town_code") == -1).alias("n_unnumbered_town"),
@@ -204,42 +271,98 @@ def score_coverage(spark, sf_dir):
         F.count_if(F.abs(total - 1.0) > 1e-9).alias("n_off_one"))
 
 
+_COVERED = sql("feat", """SELECT count(*) AS n_rows,
+    count(*) FILTER (WHERE town_code IS NULL) AS n_unnumbered_town, CAST(0 AS BIGINT) AS n_unscored,
+    CAST(0 AS BIGINT) AS n_off_one FROM feat""")
+
+
+@query("score_coverage", _COVERED)
+def score_coverage(spark, sf_dir):
+    return _coverage(spark, sf_dir, LOGISTIC)
+
+
+@query("forest_coverage", _COVERED)
+def forest_coverage(spark, sf_dir):
+    return _coverage(spark, sf_dir, FOREST)
+
+
+@query("boosted_coverage", _COVERED)
+def boosted_coverage(spark, sf_dir):
+    return _coverage(spark, sf_dir, BOOSTED)
+
+
+def _importance(spark, sf_dir):
+    return ml.feature_importance(spark, {
+        FOREST: fitted(spark, sf_dir, FOREST).stages[-1].featureImportances.toArray(),
+        BOOSTED: boosting.gain_importance(fitted(spark, sf_dir, BOOSTED))})
+
+
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    table = training_table(spark, sf_dir)
-    models = fit_all(table)
-    return ml.feature_importance(spark, {
-        "Random Forest": [models["Random Forest"].stages[-1]],
-        "Gradient Boosting": models["Gradient Boosting"]})
+    return _importance(spark, sf_dir)
 
 
-def _shares(weights):
-    return [w / sum(weights) for w in weights]
+@query("importance_check", sql("feat", f"""SELECT model, CAST({len(MODEL_FEATURES)} AS BIGINT) AS n_features,
+    1e0 AS total, CAST(0 AS BIGINT) AS n_negative FROM (VALUES ('{FOREST}'), ('{BOOSTED}')) AS m(model)
+    WHERE (SELECT count(*) FROM feat) > 0"""))
+def importance_check(spark, sf_dir):
+    """Importances are shares of one."""
+    return _importance(spark, sf_dir).groupBy("model").agg(
+        F.count_distinct("feature").alias("n_features"), C.steady(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"))
 
 
-def _attributed(spark, sf_dir, trees=200, depth=20):
-    table = training_table(spark, sf_dir)
-    model = ml.fit_forest(table.where("split = 'train'"), trees=trees, depth=depth)
-    scored = (score.add_probability(table.where("split = 'test'"), model)
+def _attributed(spark, sf_dir, name):
+    """Test rows with the attributions of a model, and its output with every feature unknown."""
+    model = fitted(spark, sf_dir, name)
+    scored = (scored_by(training_table(spark, sf_dir).where("split = 'test'"), model)
               .withColumn("prediction", C.best_class("probability"))
-              .select(*KEY, "prediction", *MODEL_FEATURES))
-    nodes = attribution.tree_nodes(spark, model.stages[-1])
-    return attribution.attribute_ensemble(scored, nodes, [*KEY, "prediction", *MODEL_FEATURES],
-                                          _shares(model.stages[-1].treeWeights), classify=True)
+              .select(*KEY, "prediction", "probability", *MODEL_FEATURES))
+    nodes = (attribution.boosted_nodes(spark, model) if name == BOOSTED
+             else attribution.forest_nodes(spark, model.stages[-1]))
+    return attribution.attribute_ensemble(scored, nodes, scored.columns)
 
 
 @query("attribution")
 def attribution_values(spark, sf_dir):
     """One line per test row, class and feature."""
-    lines = _attributed(spark, sf_dir).select(*KEY, F.posexplode("attribution").alias("class", "v"))
+    rows, _ = _attributed(spark, sf_dir, FOREST)
+    lines = rows.select(*KEY, F.posexplode("attribution").alias("class", "v"))
     return (lines.select(*KEY, "class", F.posexplode("v").alias("i", "value"))
             .select(*KEY, "class", F.element_at(F.array(*[F.lit(f) for f in MODEL_FEATURES]),
                                                 F.col("i") + 1).alias("feature"), "value"))
 
 
+def _attribution_check(spark, sf_dir, name):
+    rows, base = _attributed(spark, sf_dir, name)
+    told = F.transform("attribution", lambda v, c: F.aggregate(v, F.lit(0.0), lambda a, x: a + x) + F.element_at(
+        F.array(*[F.lit(float(b)) for b in base]), c + 1))
+    if name == BOOSTED:  # raw scores: shares of their exponentials are the probabilities
+        e = F.transform(told, lambda v: F.exp(v))
+        told = F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, x: a + x))
+    lines = rows.select(F.explode(F.zip_with(told, "probability", lambda a, b: F.abs(a - b))).alias("gap"))
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"),
+                     F.count_if(F.isnan("gap") | (F.col("gap") > 1e-9)).alias("n_off"))
+
+
+_ADDS_UP = sql("feat", f"SELECT 3 * ({_SPLIT_ROWS}'test') AS n_lines, CAST(0 AS BIGINT) AS n_off", s=_FULL["s"])
+
+
+@query("attribution_check", _ADDS_UP)
+def attribution_check(spark, sf_dir):
+    """For every test row and class: base and attributions add up to the forest's probability."""
+    return _attribution_check(spark, sf_dir, FOREST)
+
+
+@query("attribution_check_boosted", _ADDS_UP)
+def attribution_check_boosted(spark, sf_dir):
+    """The same for the boosted model, whose attributions are of raw scores."""
+    return _attribution_check(spark, sf_dir, BOOSTED)
+
+
 @query("attribution_top")
 def attribution_top(spark, sf_dir):
-    return _attributed(spark, sf_dir).transform(attribution.top_attributions, KEY)
+    return _attributed(spark, sf_dir, FOREST)[0].transform(attribution.top_attributions, KEY)
 
 
 # --- streaming -------------------------------------------------------------------------
@@ -329,6 +452,41 @@ def stream_kpi_sliding(spark, sf_dir):
     return spark.read.parquet(path).drop("vehicles")
 
 
+@query("stream_kpi_all", ORACLES["windowed_kpi"])
+def stream_kpi_all(spark, sf_dir):
+    """Every window of the stream, the last ones included, with exact vehicles."""
+    rows = _stream(spark, sf_dir).transform(streams.clean_rows).transform(streams.add_event_time)
+    return batches.complete_kpi(spark, batches.run_windows(rows, "kpi-all"))
+
+
+@query("stream_kpi_sliding_all", ORACLES["windowed_kpi_sliding"])
+def stream_kpi_sliding_all(spark, sf_dir):
+    rows = _stream(spark, sf_dir).transform(streams.clean_rows).transform(streams.add_event_time)
+    return batches.complete_kpi(spark, batches.run_windows(rows, "kpi-sliding-all", slide="1 second"))
+
+
+@query("stream_score_fitted", sql("complete", """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off,
+    CAST(0 AS BIGINT) AS n_without_reason FROM valid""", valid=_VALID))
+def stream_score_fitted(spark, sf_dir):
+    """The stream scored by the fitted forest, with reasons, holds the rows of the batch twin."""
+    model = fitted(spark, sf_dir, FOREST)
+
+    def probability(df):
+        return scored_by(df.transform(ml.usable), model)
+
+    kept = [*KEY, "speed", "prediction", "predicted_label", C.steady("severity", 6).alias("severity"),
+            F.concat_ws(" | ", "reasons").alias("reasons")]
+    target = batches.run_batches(
+        streams.score_rows(_stream(spark, sf_dir).transform(streams.clean_rows), probability).select(*kept), "scored-stream")
+    twin = streams.score_rows(plain(observations(spark, sf_dir)).transform(streams.clean_rows), probability).select(*kept)
+    schema = ", ".join(f"{n} {t}" for n, t in twin.dtypes)
+    stored = batches.read_batches(spark, target, schema).drop("batch")
+    both = stored.withColumn("side", F.lit(1)).unionByName(twin.withColumn("side", F.lit(-1)))
+    per = both.groupBy(*stored.columns).agg(F.count_if(F.col("side") == 1).alias("n"), F.sum("side").alias("more"))
+    return per.agg(F.sum("n").alias("n_rows"), F.sum(F.abs("more")).alias("n_off"),
+                   F.sum(F.when(F.col("reasons") == "", F.col("n")).otherwise(0)).alias("n_without_reason"))
+
+
 _A = "least(speed, 100e0) / 100e0"
 
 

@@ -76,6 +76,18 @@ def test_density_matches_direct_sum(spark):
     assert [r.density for r in got] == pytest.approx(list(want), abs=1e-6)
 
 
+@pytest.mark.parametrize("factor", [0.02, 0.3, 2.0])
+def test_density_of_very_many_values_matches_direct_sum(spark, factor):
+    rng = np.random.default_rng(12)
+    values = np.concatenate([rng.gamma(2.0, 3.0, 20_000), rng.normal(25, 0.3, 5_000), [0.0, 40.0]]).clip(0, 40)
+    df = spark.createDataFrame(pd.DataFrame({"g": "a", "v": values}))
+    got = D.kernel_density(df, "g", "v", 0, 40, 200, factor, ["a"]).orderBy("point").collect()
+    h = factor * values.std(ddof=1)
+    grid = np.linspace(0, 40, 200)
+    want = [np.exp(-0.5 * ((t - values) / h) ** 2).sum() / (len(values) * h * np.sqrt(2 * np.pi)) for t in grid]
+    assert [r.density for r in got] == pytest.approx(want, abs=1.5e-6)
+
+
 def test_correlations_use_pairwise_present_rows(spark):
     rng = np.random.default_rng(1)
     frame = pd.DataFrame(rng.normal(1000, 1, (200, 3)), columns=["a", "b", "c"])

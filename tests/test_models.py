@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from kerbside.operators import attribution, evaluate, features, ml, score, split
+from kerbside.operators import attribution, boosting, evaluate, features, ml, score, split
 from kerbside.plans import jobs
 from kerbside.schema import FEATURES, KEY, MODEL_FEATURES, SPLIT_COLUMNS
 from kerbside.sources import readers, sinks
@@ -123,33 +123,127 @@ def test_models_fit_save_and_score(spark, table, tmp_path):
     assert accuracy > 0.5
 
 
-def test_boosted_probabilities_sum_to_one(table):
-    known = table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    models = ml.fit_boosted(known, rounds=3, depth=3)
-    out = ml.boosted_probability(table.where("split = 'test'"), models).toPandas()
-    assert np.allclose([sum(p) for p in out.probability], 1.0)
+@pytest.fixture(scope="module")
+def known(table):
+    return (table.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+            .select(*MODEL_FEATURES, "label", "is_val"))
+
+
+@pytest.fixture(scope="module")
+def boosted(known):
+    return boosting.fit_softmax(known, rounds=6, depth=3)
+
+
+def test_boosted_model_is_saved_and_scores_every_row(spark, table, known, boosted, tmp_path):
+    assert boosted.rounds == 6 and boosted.losses == sorted(boosted.losses, reverse=True)
+    assert boosted.losses[0] == pytest.approx(np.log(3), abs=1e-6)
+    loaded = boosting.load_boosted(spark, boosting.save_boosted(boosted, spark, str(tmp_path / "m")))
+    test = table.where("split = 'test'")
+    a, b = (boosting.add_boosted_probability(test, m).orderBy(*KEY).toPandas() for m in (boosted, loaded))
+    assert len(a) == test.count() and np.allclose([sum(p) for p in a.probability], 1.0)
+    assert [list(p) for p in a.probability] == [list(p) for p in b.probability]
+    # The loss that training reports is that of the scores.
+    val = boosting.add_boosted_probability(known.where("is_val"), boosted).toPandas()
+    loss = -np.mean([np.log(p[c]) for p, c in zip(val.probability, val.label)])
+    assert loss == pytest.approx(boosted.losses[6], abs=1e-6)
+
+
+def test_boosting_does_not_depend_on_the_layout_of_the_rows(known, boosted):
+    again = boosting.fit_softmax(known.repartition(3), rounds=6, depth=3)
+    assert again.node_rows() == boosted.node_rows()
+
+
+def test_boosting_stops_when_validation_no_longer_gains(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(rng.normal()), float(rng.normal()), int(rng.integers(0, 3)), bool(i % 4 == 0)) for i in range(600)]
+    noise = spark.createDataFrame(rows, "a double, b double, label int, is_val boolean")
+    model = boosting.fit_softmax(noise, ["a", "b"], rounds=60, depth=2, rate=0.5, patience=3, min_child=1)
+    best = int(np.argmin(model.losses))
+    assert model.rounds == best < 57 and len(model.losses) == best + 4
+
+
+def brute_tree(x, g, h, depth, min_child, penalty, rate):
+    """(indices, value) of the leaves of one tree, grown over all thresholds."""
+    def grow(rows, level):
+        best = (1e-9, None)
+        for f in range(x.shape[1]):
+            for t in np.unique(x[rows, f])[:-1]:
+                left = rows[x[rows, f] <= t]
+                right = rows[x[rows, f] > t]
+                if h[left].sum() < min_child or h[right].sum() < min_child:
+                    continue
+                gain = (g[left].sum() ** 2 / (h[left].sum() + penalty) + g[right].sum() ** 2 / (h[right].sum() + penalty)
+                        - g[rows].sum() ** 2 / (h[rows].sum() + penalty))
+                if gain > best[0] + 1e-9:
+                    best = (gain, (left, right))
+        if level == depth or best[1] is None:
+            return [(rows, -rate * g[rows].sum() / (h[rows].sum() + penalty))]
+        return grow(best[1][0], level + 1) + grow(best[1][1], level + 1)
+    return grow(np.arange(len(x)), 0)
+
+
+def test_boosting_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    x = np.stack([rng.integers(0, 9, 200), rng.integers(0, 2, 200), rng.integers(0, 30, 200)], axis=1).astype(float)
+    label = (x[:, 0] > 4).astype(int) + ((x[:, 2] > 20) & (rng.random(200) < 0.8))
+    df = spark.createDataFrame([(*r, int(c), False) for r, c in zip(x.tolist(), label)],
+                               "a double, b double, c double, label int, is_val boolean")
+    model = boosting.fit_softmax(df, ["a", "b", "c"], rounds=3, depth=3, rate=0.3, subsample=1.0, feature_share=1.0,
+                                 min_child=2.0)
+    raw = np.zeros((200, 3))
+    for _ in range(3):
+        p = boosting.softmax(raw)
+        step = np.zeros_like(raw)
+        for c in range(3):
+            g, h = p[:, c] - (label == c), 2 * p[:, c] * (1 - p[:, c])
+            for rows, value in brute_tree(x, g, h, 3, 2.0, 1.0, 0.3):
+                step[rows, c] = value
+        raw += step
+    assert np.allclose(model.trees.raw(x), raw, atol=1e-6)
+    assert model.rounds == 3 and model.losses == []
+
+
+def test_fits_use_a_bounded_sample(spark):
+    df = spark.range(20_000).withColumn("v", F.col("id") * 2)
+    assert boosting.bounded_sample(df, 20_000).count() == 20_000
+    some = boosting.bounded_sample(df, 2_000)
+    assert 1_700 < some.count() < 2_300
+    assert sorted(some.collect()) == sorted(boosting.bounded_sample(df.repartition(5), 2_000).collect())
+
+
+def test_gain_importance_is_a_share(boosted):
+    shares = boosting.gain_importance(boosted)
+    assert sum(shares) == pytest.approx(1.0) and min(shares) >= 0 and len(shares) == len(MODEL_FEATURES)
 
 
 def test_attributions_sum_to_prediction_minus_base(spark, table):
     forest = ml.fit_forest(table.where("split = 'train'"), trees=4, depth=5)
-    boxes = attribution.leaf_boxes(attribution.tree_nodes(spark, forest.stages[-1]),
-                                   len(MODEL_FEATURES), [0.25] * 4, classify=True)
-    scored = score.add_probability(table.where("split = 'test'"), forest)
-    rows = (attribution.attribute(
-        scored.select(*KEY, "probability", *MODEL_FEATURES), boxes, [*KEY, "probability"])
-        .limit(60).toPandas())
-    base = attribution.expected_value(boxes)
+    scored = score.add_probability(table.where("split = 'test'"), forest).select(*KEY, "probability", *MODEL_FEATURES)
+    out, base = attribution.attribute_ensemble(scored, attribution.forest_nodes(spark, forest.stages[-1]),
+                                               [*KEY, "probability"])
     assert base.sum() == pytest.approx(1.0)
+    rows = out.toPandas()
+    assert len(rows) == scored.count()
     for r in rows.itertuples():
         assert np.allclose(base + [sum(a) for a in r.attribution], r.probability)
 
 
+def test_attributions_of_the_boosted_model_sum_to_raw_scores(spark, table, boosted):
+    test = table.where("split = 'test'").select(*KEY, *MODEL_FEATURES)
+    out, base = attribution.attribute_ensemble(test, attribution.boosted_nodes(spark, boosted), [*KEY, *MODEL_FEATURES])
+    rows = out.toPandas()
+    raw = boosted.trees.raw(rows[MODEL_FEATURES].to_numpy(float))
+    assert np.allclose(base + np.array([[sum(a) for a in v] for v in rows.attribution]), raw)
+
+
 def test_attribution_in_parts_equals_one_pass(spark, table):
     forest = ml.fit_forest(table.where("split = 'train'"), trees=4, depth=3)
-    nodes = attribution.tree_nodes(spark, forest.stages[-1])
-    assert len(attribution.tree_parts(nodes, 10)) > 1
+    nodes = attribution.forest_nodes(spark, forest.stages[-1])
+    boxes = attribution.leaf_boxes(nodes, len(MODEL_FEATURES), chunk=3)
+    assert boxes.agg(F.max("n")).first()[0] == 3
+    assert len(list(attribution.box_parts(boxes, 10))) > 1
     rows = table.where("split = 'test'").orderBy(*KEY).limit(20)
-    whole, parts = (attribution.attribute_ensemble(rows, nodes, KEY, [0.25] * 4, True, max_leaves=m)
+    whole, parts = (attribution.attribute_ensemble(rows, nodes, KEY, max_leaves=m)[0]
                     .orderBy(*KEY).toPandas() for m in (1000, 10))
     for a, b in zip(whole.attribution, parts.attribution):
         assert np.allclose([list(v) for v in a], [list(v) for v in b])
@@ -176,7 +270,9 @@ def brute_shapley(x, boxes):
     return out
 
 
-def test_attributions_equal_the_definition():
+@pytest.mark.parametrize("direct", [1 << 24, 4])
+def test_attributions_equal_the_definition(direct, monkeypatch):
+    monkeypatch.setattr(attribution, "DIRECT_CODES", direct)
     rng = np.random.default_rng(7)
     lo, hi, share, value = [], [], [], []
     for _ in range(12):  # random boxes over five features, some unused
@@ -185,12 +281,24 @@ def test_attributions_equal_the_definition():
         lo.append(a), hi.append(np.where(used, a + 2, np.inf))
         share.append(np.where(used, rng.uniform(0.05, 0.9, 5), 1.0)), value.append(rng.random(2))
     boxes = {k: np.array(v) for k, v in zip(("lo", "hi", "share", "value"), (lo, hi, share, value))}
-    x = rng.normal(0, 1, (6, 5))
-    got = attribution.shapley(x, boxes, leaves_at_once=5)
+    x = rng.normal(0, 1, (30, 5))
+    x[0], x[1] = np.where(np.isfinite(boxes["lo"][0]), boxes["lo"][0], 0), boxes["hi"][0].clip(-9, 9)  # on the edges
+    got = attribution.shapley(x, [{k: v[i:i + 5] for k, v in boxes.items()} for i in (0, 5, 10)])
     for row, values in zip(x, got):
         assert np.allclose(values, brute_shapley(row, boxes))
 
 
+def test_weights_are_worked_out_once_per_leaf_and_mask(monkeypatch):
+    rng = np.random.default_rng(2)
+    asked = []
+    real = attribution.mask_weights
+    monkeypatch.setattr(attribution, "mask_weights", lambda z, o: (asked.append(len(z)), real(z, o))[1])
+    boxes = {"lo": np.array([[0.0, -np.inf], [-np.inf, 0.5]]), "hi": np.array([[1.0, np.inf], [2.0, 0.9]]),
+             "share": np.array([[0.5, 1.0], [0.4, 0.3]]), "value": np.ones((2, 1))}
+    attribution.shapley(rng.random((3000, 2)) * 4 - 1, [boxes])
+    assert asked == [2 + 4]
+
+
 def test_top_attributions(spark):
     df = spark.createDataFrame([(1, 2, [[0.0, 0.0]] * 2 + [[0.05, -0.3]], 7.0, 8.0)],
                                "id int, prediction int, attribution array<array<double>>, a double, b double")
@@ -224,28 +332,26 @@ def test_shuffled_is_a_fixed_order_unlike_the_key(spark, make_obs):
     assert sorted(first) == list(range(200)) and first != sorted(first)
 
 
-def test_best_round_waits_for_the_patience():
-    assert ml.best_round([3.0, 2.0, 1.0, 1.5, 1.4], 2) == 3
-    assert ml.best_round([3.0, 2.0, 2.5, 1.0], 2) == 4
-    assert ml.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == 2
+def test_bands_are_even_wherever_the_values_lie(spark):
+    """A million distinct values in one octave, most of them in a tiny part of it."""
+    from kerbside.operators.prefix import ranged, running_totals
+    near = F.when(F.col("id") % 10 == 0, F.lit(0.5) + F.col("id") / 2.1e6).otherwise(F.lit(0.75) + F.col("id") / 1e12)
+    values = spark.range(1_000_000).select(F.lit("g").alias("g"), near.alias("value"), F.lit(1).alias("n"))
+    sizes = [r["count"] for r in ranged(values, ["g"], "value").groupBy("_band").count().collect()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(sizes) == 1_000_000 and max(sizes) < 1.5 * 1_000_000 / min(parts, len(sizes))
+    got = running_totals(values.limit(2_000), ["g"], "value", ["n"]).orderBy("value").collect()
+    assert [r.n_before for r in got] == list(range(len(got))) and {r.n_total for r in got} == {len(got)}
 
 
-def test_bands_grow_with_the_scores(spark):
-    from kerbside.functions import columns as C
-    from kerbside.operators.prefix import growing_band
-    scores = spark.range(400_000).select((0.5 + F.col("id") / 800_000).alias("score"))
-    largest = (scores.groupBy(growing_band(scores, "score", 2_000).alias("b")).count()
-               .agg(F.max("count")).first()[0])
-    fixed = scores.groupBy(C.value_band("score").alias("b")).count().agg(F.max("count")).first()[0]
-    assert largest < 4_000 < fixed
+def test_registered_fits_have_the_default_sizes():
+    given = inspect.signature(jobs.fitted).parameters
+    for fit, names in ((ml.fit_forest, ["trees", "depth"]), (boosting.fit_softmax, ["rounds"])):
+        default = inspect.signature(fit).parameters
+        assert [given[n].default for n in names] == [default[n].default for n in names]
 
 
-@pytest.mark.parametrize("registered, fit, names", [
-    (jobs.fit_all, ml.fit_forest, ["trees", "depth"]), (jobs.fit_all, ml.fit_boosted, ["rounds"]),
-    (jobs.ml_random_forest, ml.fit_forest, ["trees", "depth"]), (jobs.ml_gbt_ovr, ml.fit_boosted, ["rounds"]),
-    (jobs._attributed, ml.fit_forest, ["trees", "depth"])])
-def test_registered_fits_have_the_default_sizes(registered, fit, names):
-    given, default = (inspect.signature(f).parameters for f in (registered, fit))
-    assert [given[n].default for n in names] == [default[n].default for n in names]
-    if fit is ml.fit_boosted:  # room for the stop to act
-        assert given["rounds"].default > 2 * default["patience"].default
+def test_the_slope_of_a_fitted_logistic_model_is_zero(table):
+    train = table.where("split = 'train'")
+    assert ml.logistic_slope(train, ml.fit_logistic(train)) < 1e-4
+    assert ml.logistic_slope(train, ml.fit_logistic(train, max_iter=1)) > 1e-3

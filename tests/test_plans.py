@@ -6,8 +6,9 @@ import __spark_entry__ as contract
 from kerbside.plans import explore
 from kerbside.plans.tables import observations, plain
 
-PYTHON_ALLOWED = {"attribution", "attribution_top"}
-WRITES = ("sink_", "stream_", "ml_", "scan_mixed", "split_reader", "feature_list", "comparison_csv",
+# Queries that write and read back, that score by a fitted model in Arrow batches, or that take a
+# stated query set against all rows in blocks.
+WRITES = ("boosted_coverage", "op12_", "sink_", "stream_", "ml_", "scan_mixed", "split_reader", "feature_list", "comparison_csv",
           "model_comparison", "score_batch", "feature_importance", "attribution", "eval_")
 
 

@@ -4,7 +4,9 @@ import random
 import numpy as np
 import pytest
 
-from kerbside.operators import snapshot, spatial
+from pyspark.sql import functions as F
+
+from kerbside.operators import crowds, snapshot, spatial
 from kerbside.schema import ACTOR_SCHEMA
 
 
@@ -46,6 +48,44 @@ def test_one_spot_with_very_many_vehicles_makes_no_pairs(spark):
     assert got == {29999: 30000}
 
 
+@pytest.mark.parametrize("limit, levels", [(crowds.PAIR_LIMIT, crowds.LEVELS), (4, 2)])
+def test_crowded_cells_equal_brute_force(spark, monkeypatch, limit, levels):
+    """Crowds beside sparse cells, copies of a spot, positions on cell edges and at the radius."""
+    monkeypatch.setattr(crowds.crowded_counts, "__defaults__", (levels, limit))
+    rng = random.Random(5)
+    points = [("s", t, v, rng.uniform(-160, 160), rng.uniform(-160, 160)) for t in (0, 1) for v in range(60)]
+    points += [("s", 0, 100 + v, rng.uniform(-20, 70), rng.uniform(-20, 20)) for v in range(700)]
+    points += [("s", 0, 1000 + v, rng.choice([0.0, 25.0, 50.0, -50.0, 12.5]), rng.choice([0.0, 30.0, 40.0, -50.0]))
+               for v in range(150)]
+    df = spark.createDataFrame(points, "session_id string, tick int, vehicle_id int, x double, y double")
+    got = {(r.session_id, r.tick, r.vehicle_id): r.traffic_density
+           for r in spatial.proximity_density(df, crowd=40).collect()}
+    assert got == near_count(points)
+
+
+def test_a_crowd_of_twenty_thousand_positions_makes_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x, y = rng.uniform(0, 50, 20_000), rng.uniform(0, 50, 20_000)
+    paired = []
+    real = crowds.meetings
+
+    def meetings(*args):
+        found = real(*args)
+        paired.append(found.where("_state = 'pair'").agg(F.sum(F.col("_am") * F.col("_bm"))).first()[0])
+        return found
+
+    monkeypatch.setattr(crowds, "meetings", meetings)
+    df = spark.createDataFrame([("s", 1, i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))],
+                               "session_id string, tick int, vehicle_id int, x double, y double")
+    got = {r.vehicle_id: r.traffic_density for r in spatial.proximity_density(df).collect()}
+    for start in range(0, 20_000, 2_000):
+        part = slice(start, start + 2_000)
+        dx, dy = x[part, None] - x, y[part, None] - y
+        want = (np.sqrt(dx * dx + dy * dy) <= 50).sum(axis=1) - 1
+        assert [got[i] for i in range(start, start + 2_000)] == want.tolist()
+    assert paired[0] < 20_000 * 19_999 / 2 / 10
+
+
 def test_vehicles_without_a_position_have_no_neighbours(spark):
     assert density(spark, [("s", 1, 1, None, 0.0), ("s", 1, 2, 0.0, 0.0)]) == {
         ("s", 1, 1): 0, ("s", 1, 2): 0}
