@@ -19,7 +19,7 @@ from kerbside.sources.scratch import written
 SLICE_BYTES = 4 << 20
 
 #: Cells (sources x terms) that are compared at a time.
-BLOCK_CELLS = 1 << 18
+BLOCK_CELLS = 1 << 14
 
 # Term bytes: letters and all bytes of characters beyond ASCII.
 _IN_TERM = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
