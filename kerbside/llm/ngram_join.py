@@ -169,12 +169,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     floor = F.lit(max(1, BLOCK_NGRAMS // BLOCK_DOCS))
     weights = nodes.select(F.col("row").alias("node"), F.greatest("n_ngrams", floor).alias("weight"))
     groups = written(block_pairs(keys, weights, BLOCK_NGRAMS), "groups")
-    wanted = groups.join(nodes.select(F.col("row").alias("node"), "doc", "text_hash", "copies"), "node")
+    met = (groups.select("node").distinct()
+           .join(nodes.select(F.col("row").alias("node"), "doc", "text_hash", "copies"), "node"))
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_key"), F.xxhash64(text).alias("hash_key"),
                         text.cast("binary").alias("text"))
+    # One text per node, however many rows share its id and text.
+    told = (met.join(texts, met["doc"].eqNullSafe(texts["doc_key"]) & (met["text_hash"] == texts["hash_key"]))
+            .select("node", "copies", "text").dropDuplicates(["node"]))
     compared = written(
-        wanted.join(texts, wanted["doc"].eqNullSafe(texts["doc_key"]) & (wanted["text_hash"] == texts["hash_key"]))
+        groups.join(told, "node")
         .select("pair", "node", "side", "copies", "text").repartition("pair").sortWithinPartitions("pair")
         .mapInArrow(_compare(n, threshold), "node long, links long, root long"), "links")
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))

@@ -1,12 +1,13 @@
 """Quality rules as a short-circuit cascade, in DataFrame expressions only.
 
 Rules are conjunctions, so their order changes the cost but never the verdict. A bounded sample
-gives each rule's time and the share it rejects; rules then run by rejection per second, and a
-row leaves the chain at the first rule it fails.
+gives each rule's cost and the rows it rejects; rules then run by rejections per cost, and a row
+leaves the chain at the first rule it fails.
 """
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -101,6 +102,10 @@ FIGURES: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
+#: Figures that the result lists.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def rules(figure: Callable[[str], Column], min_words: int = 50, max_repeat_pct: int = 50,
           min_mean_chars: int = 2, max_mean_chars: int = 20, max_symbols_pct: int = 30,
           min_dup_lines: int = 3, max_dup_lines_pct: int = 30, max_capitals_pct: int = 50) -> list[Rule]:
@@ -128,21 +133,57 @@ def _with_words(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"text": text, "found": words(text)})
 
 
-def ordered(docs: DataFrame, chosen: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejected share per second on at most ``sample_rows`` rows, best first.
+def sampled(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``sample_rows`` texts chosen over all rows by a hash of the row, fetched once (of
+    each at most ``SAMPLE_CHARS`` characters, so the driver holds a bounded amount)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    every = max(1, docs.count() // sample_rows)
+    others = [F.col(f"`{c}`") for c, kind in docs.dtypes if c != "text" and "map<" not in kind]
+    chosen = docs.where(F.pmod(F.xxhash64(F.length(text), *others), F.lit(every)) == 0) if every > 1 else docs
+    rows = [(r.text,) for r in chosen.select(F.substring(text, 1, SAMPLE_CHARS).alias("text")).head(2 * sample_rows)]
+    return docs.sparkSession.createDataFrame(rows, "text string")
+
+
+def costs(sample: DataFrame, chosen: list[Rule], repeats: int = 20) -> dict[str, float]:
+    """Relative cost of each rule: its time over the sample, many times in one job, less that of
+    a job without a rule. Powers of two, so that noise in the clock doesn't change an order."""
+    often = _with_words(sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_turn")))
+
+    def seconds(passes: Column) -> float:
+        taken = []
+        for _ in range(2):  # the first run compiles
+            start = time.perf_counter()
+            often.agg(F.count_if(passes)).collect()
+            taken.append(time.perf_counter() - start)
+        return taken[-1]
+
+    idle = seconds(F.size("found") >= 0)
+    spent = {rule.name: max(seconds(rule.passes) - idle, 1e-3) for rule in chosen}
+    return {name: 2.0 ** round(math.log2(t / 1e-3)) for name, t in spent.items()}
+
+
+def greedy(passed: list[tuple[bool, ...]], chosen: list[Rule], cost: dict[str, float]) -> list[Rule]:
+    """Rules by rejections per cost, each judged on the rows that the earlier ones let pass; of
+    equals, the cheaper first, then by name."""
+    left, rest, order = passed, list(enumerate(chosen)), []
+    while rest:
+        def worth(entry: tuple[int, Rule]) -> tuple:
+            i, rule = entry
+            return -sum(not row[i] for row in left) / cost[rule.name], cost[rule.name], rule.name
+
+        best = min(rest, key=worth)
+        rest.remove(best)
+        order.append(best[1])
+        left = [row for row in left if row[best[0]]]
+    return order
 
-    The first rows are fetched once (of each at most ``SAMPLE_CHARS`` characters, so the driver
-    holds a bounded amount); a limit inside the jobs would open every partition.
-    """
-    text = F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, SAMPLE_CHARS)
-    first = [(r.text,) for r in docs.select(text.alias("text")).head(sample_rows)]
-    sample = _with_words(docs.sparkSession.createDataFrame(first, "text string"))
-    figures = []
-    for rule in chosen:
-        start = time.perf_counter()
-        n, rejected = sample.agg(F.count(F.lit(1)), F.count_if(~rule.passes)).first()
-        figures.append((-(rejected / max(n, 1)) / (time.perf_counter() - start), rule))
-    return [rule for _, rule in sorted(figures, key=lambda x: (x[0], x[1].name))]
+
+def ordered(docs: DataFrame, chosen: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """The rules in the order of the cascade, as a sample of the rows suggests it. The
+    order changes the cost, never a verdict."""
+    sample = sampled(docs, sample_rows)
+    rows = _with_words(sample).select(*[F.coalesce(r.passes, F.lit(False)).alias(r.name) for r in chosen]).collect()
+    return greedy([tuple(r) for r in rows], chosen, costs(sample, chosen))
 
 
 def verdict(chosen: list[Rule]) -> Column:
@@ -179,15 +220,16 @@ def judged(docs: DataFrame, **limits: int) -> DataFrame:
 
     ``base_failed`` is set by the two base rules; ``kept`` needs every rule. A null or blank
     text has no words and fails the base. Rows are judged one by one, so repeated and null
-    doc_ids stay as they are. All figures are wanted here, so the cascade takes them from the
-    columns instead of working them out again.
+    doc_ids stay as they are. The figures of the result are worked out once, and the cascade
+    takes them from their columns; those that only a rule needs are worked out in its turn, for
+    rows that passed the rules before it.
     """
     order = [r.name for r in ordered(docs, rules(on_text, **limits))]
-    by_name = {r.name: r for r in rules(F.col, **limits)}
+    by_name = {r.name: r for r in rules(lambda n: F.col(n) if n in REPORTED else on_text(n), **limits)}
     held = _with_words(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                    F.col("text").cast("string").alias("text")))
-    figures = held.select("doc_id", *[on_text(name).alias(name) for name in FIGURES])
+    figures = held.select("doc_id", "text", "found", *[on_text(name).alias(name) for name in REPORTED])
     return figures.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", *REPORTED,
         (~(by_name["min_words"].passes & by_name["repeats"].passes)).alias("base_failed"),
         verdict([by_name[name] for name in order]).alias("kept"))

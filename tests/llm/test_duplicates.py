@@ -68,6 +68,28 @@ def test_ngram_join_bounds_the_documents_of_a_comparison(spark, monkeypatch):
     assert most[0] < 2.3 * ngram_join.BLOCK_DOCS
 
 
+def test_ngram_join_fetches_one_text_of_a_repeated_row(spark, monkeypatch):
+    """Rows that share id and text are one node; a comparison gets its text once."""
+    got_rows = []
+    real = ngram_join._compare
+
+    def _compare(*args):
+        def body(batches):
+            batches = list(batches)
+            seen = sum(b.num_rows for b in batches)
+            assert seen < 100, seen
+            return real(*args)(iter(batches))
+        got_rows.append(1)
+        return body
+
+    monkeypatch.setattr(ngram_join, "_compare", _compare)
+    words = [f"w{i}" for i in range(80)]
+    rows = [(7, " ".join(words))] * 10_000 + [(None, " ".join(words))] * 50 + [(3, " ".join([*words[:79], "other"]))]
+    got = ngram_join.near_duplicates(frame(spark, rows)).groupBy("doc_id", "copies", "n_links", "class_id").count()
+    same(got.collect(), [(7, 10_050, 10_050, 3, 10_000), (None, 10_050, 10_050, 3, 50), (3, 1, 10_050, 3, 1)])
+    assert got_rows
+
+
 def test_representatives(spark):
     rows = corpus(3, 60)
     kept = ngram_join.representatives(frame(spark, rows))

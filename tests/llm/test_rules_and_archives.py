@@ -63,6 +63,47 @@ def test_cascade_puts_cheap_rejections_first(spark):
     assert order[0] == "min_words" and len(order) == 6
 
 
+def test_a_row_leaves_the_cascade_at_the_first_failing_rule(spark):
+    """A rule behind a failing one is not evaluated: evaluating it here would raise."""
+    docs = quality._with_words(frame(spark, [(i, "a b") for i in range(50)] + [(99, "a b c")]))
+    trap = quality.Rule("trap", F.when(F.size("found") == 2, F.raise_error(F.lit("evaluated")).cast("boolean"))
+                        .otherwise(F.lit(True)))
+    first = quality.Rule("first", F.size("found") > 2)
+    got = docs.select("doc_id", quality.verdict([first, trap]).alias("kept")).collect()
+    assert [r.doc_id for r in got if r.kept] == [99]
+    with pytest.raises(Exception, match="evaluated"):
+        docs.select(quality.verdict([trap, first]).alias("kept")).collect()
+
+
+def test_figures_of_rules_alone_are_worked_out_in_their_turn(spark, monkeypatch):
+    """Lines and capitals are not in the result: rows that fail the base never come to them."""
+    trap = lambda text, found: F.when(F.size(found) < 50, F.raise_error(F.lit("evaluated")).cast("long")).otherwise(
+        F.lit(0).cast("long"))
+    monkeypatch.setattr(quality, "ordered", lambda docs, chosen: chosen)
+    for name in ("n_lines", "n_capitals"):
+        monkeypatch.setitem(quality.FIGURES, name, trap)
+    rows = [(1, "Few WORDS\nhere"), (2, " ".join(f"word{i}" for i in range(80)))]
+    assert {r.doc_id: r.kept for r in quality.judged(frame(spark, rows)).collect()} == {1: False, 2: True}
+
+
+def test_the_order_is_greedy_and_conditional():
+    rules = [quality.Rule(n, None) for n in ("a", "b", "c")]
+    # b rejects most; a rejects the same rows and nothing else; c rejects few, but others.
+    rows = [(False, False, True)] * 6 + [(True, False, True)] * 2 + [(True, True, False)] + [(True, True, True)] * 5
+    names = [r.name for r in quality.greedy(rows, rules, {"a": 1.0, "b": 1.0, "c": 2.0})]
+    assert names == ["b", "c", "a"]
+    names = [r.name for r in quality.greedy(rows, rules, {"a": 1.0, "b": 8.0, "c": 2.0})]
+    assert names == ["a", "c", "b"]
+
+
+def test_the_sample_is_spread_and_bounded(spark):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    got = [int(r.text[1:]) for r in quality.sampled(docs, 400).collect()]
+    assert 300 < len(got) < 500 and max(got) > 36_000 and min(got) < 4_000
+    assert sorted(got) == sorted(int(r.text[1:]) for r in quality.sampled(docs.repartition(3), 400).collect())
+    assert quality.sampled(docs.withColumn("doc_id", F.lit(1)).withColumn("text", F.lit("x")), 400).count() <= 800
+
+
 @pytest.mark.parametrize("run", [quality.judged, quality.accepted, secrets.scanned, secrets.redacted])
 def test_no_python_in_the_plan(spark, run):
     plan = run(frame(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
