@@ -49,6 +49,36 @@ def scan_mixed_dedup_stem(spark, sf_dir):
     return readers.read_mixed(spark, base)
 
 
+@query("scan_recursive_twins", sql("obs", f"""SELECT {OBS_LIST}, source_file FROM (
+    SELECT *, 'north/a.parquet' AS source_file FROM obs WHERE hour < 12
+    UNION ALL SELECT *, 'north/a.csv' FROM obs WHERE hour < 12
+    UNION ALL SELECT *, 'south/b.csv' FROM obs WHERE hour >= 12)"""))
+def scan_recursive_twins(spark, sf_dir):
+    """Both formats in folders below; a log that is there in both counts twice."""
+    base = scratch_path(spark, "tree")
+    rows = observations(spark, sf_dir).select(*OBS_COLUMNS)
+    sinks.append_parquet(rows.where("hour < 12"), f"{base}/north/a.parquet", by_session=False)
+    sinks.append_csv(rows.where("hour < 12"), f"{base}/north/a.csv")
+    sinks.append_csv(rows.where("hour >= 12"), f"{base}/south/b.csv")
+    return readers.read_mixed(spark, base, recursive=True, keep_twins=True)
+
+
+@query("bad_record_ledger", sql("obs", """SELECT 'log.csv' AS source_file, reason, column_name, count(*) AS n_records
+    FROM (SELECT 'malformed' AS reason, NULL AS column_name FROM obs WHERE row_a % 10 = 0
+      UNION ALL SELECT 'not_cast', 'speed' FROM obs WHERE row_a % 10 <> 0 AND row_a % 7 = 0
+      UNION ALL SELECT 'not_cast', 'tick' FROM obs WHERE row_a % 10 <> 0 AND row_a % 11 = 0) GROUP BY ALL"""))
+def bad_record_ledger(spark, sf_dir):
+    """A CSV log with cut lines, words for speeds and ticks beyond the integers."""
+    base = scratch_path(spark, "ledger")
+    odd = {"speed": F.when(F.col("row_a") % 7 == 0, "fast"), "tick": F.when(F.col("row_a") % 11 == 0, "99999999999")}
+    values = [F.coalesce(odd.get(c, F.lit(None).cast("string")), F.col(c).cast("string"), F.lit("")) for c in OBS_COLUMNS]
+    line = F.when(F.col("row_a") % 10 == 0, F.concat_ws(",", "session_id", F.lit("1"))).otherwise(F.concat_ws(",", *values))
+    # One text column named like a header line, written without a separator that occurs in it.
+    (observations(spark, sf_dir).select(line.alias(",".join(OBS_COLUMNS))).write.option("header", "true")
+     .option("sep", "\u0001").csv(f"{base}/log.csv"))
+    return readers.bad_records(spark, base).drop("example")
+
+
 @query("sink_csv", sql("obs", f"SELECT {OBS_LIST} FROM obs"))
 def sink_csv(spark, sf_dir):
     """Two appends to one CSV target."""
@@ -314,6 +344,14 @@ def importance_check(spark, sf_dir):
 
 def _attributed(spark, sf_dir, name):
     """Test rows with the attributions of a model, and its output with every feature unknown."""
+    def make():
+        rows, base = _attribute_test(spark, sf_dir, name)
+        return written(rows, "attributed"), base
+
+    return _once(spark, sf_dir, ("attributed", name), make)
+
+
+def _attribute_test(spark, sf_dir, name):
     model = fitted(spark, sf_dir, name)
     scored = (scored_by(training_table(spark, sf_dir).where("split = 'test'"), model)
               .withColumn("prediction", C.best_class("probability"))

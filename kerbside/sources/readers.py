@@ -93,35 +93,69 @@ def scan_report(spark: SparkSession, directory: str, recursive: bool = False) ->
     return spark.createDataFrame(rows, "source_file string, status string")
 
 
-def read_mixed(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """Parquet and CSV files together, with ``source_file``.
-
-    An entry is a file or a folder of part files named ``*.parquet`` or ``*.csv``; with
-    ``recursive`` also in folders below. A CSV entry is skipped when a Parquet entry with the
-    same stem can be read. Each entry is read by its own columns, those with the same ones
-    together; a part file whose header differs from its entry's is an error, not a swap.
-    Entries that can't be read are left out and listed by ``scan_report``; no readable entry at
-    all is an error.
-    """
+def _frames(spark: SparkSession, directory: str, recursive: bool, keep_twins: bool) -> list[DataFrame]:
+    """Rows as the entries have them, with ``source_file``: text of CSV entries, those with the
+    same columns together and lines that don't fit in ``_corrupt``; Parquet entries one by one."""
     base = directory.rstrip("/")
     source = _entry("_metadata.file_path", base).alias("source_file")
+    taken = {"loaded", "twin"} if keep_twins else {"loaded"}
     alike: dict[tuple, list[str]] = {}
     for entry, status, columns in _scan(spark, directory, recursive):
-        if status == "loaded":
+        if status in taken:
             alike.setdefault((entry.endswith(".csv"), columns), []).append(f"{base}/{entry}")
     if not alike:
         raise FileNotFoundError(f"no Parquet or CSV files in {directory}")
     frames = []
     for (is_csv, columns), paths in alike.items():
         if is_csv:
-            text = StructType([StructField(c, StringType()) for c in columns])
-            rows = (spark.read.schema(text).option("header", "true").option("enforceSchema", "false")
-                    .csv(paths))
-            frames.append(_conform(rows.select("*", source), OBS_SCHEMA, ["source_file"]))
+            text = StructType([StructField(c, StringType()) for c in (*columns, "_corrupt")])
+            frames.append(spark.read.schema(text).option("header", "true").option("enforceSchema", "false")
+                          .option("columnNameOfCorruptRecord", "_corrupt").csv(paths).select("*", source))
         else:  # one read per entry: files of different widths have different schemas
-            frames += [_conform(df.select("*", source), OBS_SCHEMA, ["source_file"])
-                       for p in paths for df in _part_files(spark, p)]
-    return reduce(DataFrame.unionByName, frames)
+            frames += [df.select("*", source) for p in paths for df in _part_files(spark, p)]
+    return frames
+
+
+def read_mixed(spark: SparkSession, directory: str, recursive: bool = False,
+               keep_twins: bool = False) -> DataFrame:
+    """Parquet and CSV files together, with ``source_file``.
+
+    An entry is a file or a folder of part files named ``*.parquet`` or ``*.csv``; with
+    ``recursive`` also in folders below. A CSV entry is skipped when a Parquet entry with the
+    same stem can be read, unless ``keep_twins``. Each entry is read by its own columns, those
+    with the same ones together; a part file whose header differs from its entry's is an error,
+    not a swap. Lines with too few or too many values keep what fits, values that are no number
+    become null: ``bad_records`` counts both. Entries that can't be read are left out and listed
+    by ``scan_report``; no readable entry at all is an error.
+    """
+    frames = _frames(spark, directory, recursive, keep_twins)
+    return reduce(DataFrame.unionByName, [_conform(df, OBS_SCHEMA, ["source_file"]) for df in frames])
+
+
+def bad_records(spark: SparkSession, directory: str, recursive: bool = False,
+                keep_twins: bool = False) -> DataFrame:
+    """``source_file, reason, column_name, n_records, example`` of what ``read_mixed`` could not
+    take as it is: ``malformed`` lines (too few or too many values), ``not_cast`` values that don't
+    fit their column's type, and entries that are ``unreadable`` (without a count)."""
+    def problems(df: DataFrame) -> DataFrame:
+        def one(wrong: Column, reason: str, column: Column, value: Column) -> Column:
+            return F.when(wrong, F.struct(F.lit(reason).alias("reason"), column.alias("column_name"),
+                                          value.cast("string").alias("value")))
+
+        found = [one(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), "not_cast",
+                     F.lit(f.name), F.col(f.name)) for f in OBS_SCHEMA if f.name in df.columns]
+        if "_corrupt" in df.columns:
+            found.append(one(F.col("_corrupt").isNotNull(), "malformed", F.lit(None).cast("string"), F.col("_corrupt")))
+        return (df.select("source_file", F.explode(F.filter(F.array(*found), lambda p: p.isNotNull())).alias("p"))
+                .select("source_file", "p.*"))
+
+    lines = reduce(DataFrame.unionByName, map(problems, _frames(spark, directory, recursive, keep_twins)))
+    counted = lines.groupBy("source_file", "reason", "column_name").agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("value").alias("example"))
+    missing = scan_report(spark, directory, recursive).where("status = 'unreadable'").select(
+        "source_file", F.lit("unreadable").alias("reason"), F.lit(None).cast("string").alias("column_name"),
+        F.lit(None).cast("long").alias("n_records"), F.lit(None).cast("string").alias("example"))
+    return counted.unionByName(missing)
 
 
 def read_feature_list(spark: SparkSession, path: str) -> list[str]:

@@ -32,15 +32,15 @@ def write_feature_list(spark: SparkSession, path: str, features: list[str] = FEA
 def write_splits(df: DataFrame, directory: str, files: int | None = None) -> None:
     """Write train, val and test folders and the feature list next to them.
 
-    One pass: the split column becomes the folder, ``split=train`` and so on. ``files`` bounds
-    the number of tasks for small outputs; by default every task of the incoming plan, which
-    adaptive execution has sized, writes its own three files and nothing is shuffled again.
+    Rows are range-partitioned by split and session, so the number of files follows the bytes
+    (adaptive execution joins small ranges) and a session lies in few files, in order: a reader's
+    filter on it skips the others by their statistics. ``files`` fixes the number of ranges.
     """
     base = directory.rstrip("/")
     out = df.select(*SPLIT_COLUMNS, "split")
-    if files is not None:
-        out = out.coalesce(files)
-    out.write.mode("overwrite").partitionBy("split").parquet(base)
+    by = ["split", "session_id"]
+    out = out.repartitionByRange(*by) if files is None else out.repartitionByRange(files, *by)
+    out.sortWithinPartitions(*by).write.mode("overwrite").partitionBy("split").parquet(base)
     write_feature_list(df.sparkSession, f"{base}/{FEATURE_LIST}")
 
 

@@ -1,5 +1,6 @@
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.schema import OBS_COLUMNS, OBS_SCHEMA
 from kerbside.sources import readers, scratch, sinks
@@ -120,3 +121,51 @@ def test_scratch_follows_the_cluster_or_the_warehouse():
     unnamed = Session(spark_sql_warehouse_dir="file:/w/")
     assert scratch.scratch_root(named) == "hdfs:///shared"
     assert scratch.scratch_root(unnamed) == "file:/w/_kerbside"
+
+
+def test_split_files_follow_the_bytes_and_cluster_sessions(spark, sf_dir, tmp_path):
+    """A few files whatever the tasks; each holds a range of sessions of its own."""
+    from kerbside.plans.jobs import training_table
+    from kerbside.schema import SPLIT_COLUMNS
+    table = training_table(spark, sf_dir).select(*SPLIT_COLUMNS, "split").repartition(16)
+    few, ranges = str(tmp_path / "few"), str(tmp_path / "ranges")
+    sinks.write_splits(table, few)
+    stored = spark.read.parquet(few)
+    assert stored.count() == table.count()
+    assert stored.select(F.input_file_name()).distinct().count() <= 4
+    sinks.write_splits(table, ranges, files=6)
+    per_file = (spark.read.parquet(ranges).groupBy("split", F.input_file_name().alias("f"))
+                .agg(F.min("session_id").alias("lo"), F.max("session_id").alias("hi")).orderBy("split", "lo").collect())
+    assert len(per_file) > 3
+    assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]) if a.split == b.split)
+    plan = spark.read.parquet(ranges).where("session_id = 'x'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(session_id,x)" in plan
+
+
+def test_twins_can_be_kept_and_folders_below_read(spark, files, tmp_path):
+    (tmp_path / "deep").mkdir()
+    files.to_parquet(tmp_path / "deep" / "one.parquet")
+    files.to_csv(tmp_path / "deep" / "one.csv", index=False)
+    def counts(**options):
+        return {r.source_file: r["count"] for r in
+                readers.read_mixed(spark, str(tmp_path), **options).groupBy("source_file").count().collect()}
+    assert counts(recursive=True) == {"deep/one.parquet": 2}
+    assert counts(recursive=True, keep_twins=True) == {"deep/one.parquet": 2, "deep/one.csv": 2}
+
+
+def test_bad_records_are_listed_per_file(spark, files, tmp_path):
+    header = ",".join(OBS_COLUMNS)
+    good = files.iloc[0].map(str).reindex(OBS_COLUMNS)
+    odd = good.copy()
+    odd["speed"], odd["tick"] = "fast", str(1 << 40)
+    (tmp_path / "log.csv").write_text("\n".join([header, ",".join(good), "cut,1", ",".join(odd), ",".join(good) + ",more"]))
+    wide = files.assign(tick=[1 << 40, 7])
+    wide.to_parquet(tmp_path / "wide.parquet")
+    (tmp_path / "broken.parquet").write_bytes(b"not a parquet file")
+    got = {(r.source_file, r.reason, r.column_name): (r.n_records, r.example)
+           for r in readers.bad_records(spark, str(tmp_path)).collect()}
+    assert got.pop(("log.csv", "malformed", None))[0] == 2
+    assert got == {("log.csv", "not_cast", "speed"): (1, "fast"), ("log.csv", "not_cast", "tick"): (1, str(1 << 40)),
+                   ("wide.parquet", "not_cast", "tick"): (1, str(1 << 40)),
+                   ("broken.parquet", "unreadable", None): (None, None)}
+    assert readers.read_mixed(spark, str(tmp_path)).count() == 6
