@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kerbside.llm import ngram_join, packing, quality, secrets, substrings
 from kerbside.llm.queries import table, vocabulary
-from kerbside.sources.scratch import written
+from kerbside.sources.scratch import cleared, scratch_path
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -47,7 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; what a stage wrote on its way goes when it ends."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with cleared(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

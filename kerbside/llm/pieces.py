@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from ctypes import c_float
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,48 @@ _ODD_SPACE = f"  |^ | $|{SPACE}|^$"
 _NEVER = float("inf")
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of the fields of a serialized protocol message."""
+    def number(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            byte = data[at]
+            value |= (byte & 127) << shift
+            at, shift = at + 1, shift + 7
+            if byte < 128:
+                return value, at
+
+    at = 0
+    while at < len(data):
+        tag, at = number(at)
+        if tag & 7 == 0:
+            value, at = number(at)
+        else:
+            size, at = number(at) if tag & 7 == 2 else ({1: 8, 5: 4}[tag & 7], at)
+            value, at = data[at:at + size], at + size
+        yield tag >> 3, value
+
+
+def _merges(model: bytes) -> bool:
+    """Whether a serialized model is a merging (BPE) one; False for unigram models."""
+    # Fixed values of the format: field 2 holds the trainer's settings, whose field 3 is the kind
+    # (1 unigram, the default; 2 merging), field 3 the normaliser's: 2 rewriting rules, 3 a space in
+    # front, 4 white space removed, 5 spaces escaped (all three on by default).
+    kind, rules, flags = 1, b"", {3: 1, 4: 1, 5: 1}
+    for part, value in _fields(model):
+        if part == 2:
+            kind = next((v for f, v in _fields(value) if f == 3), kind)
+        elif part == 3:
+            settings = dict(_fields(value))
+            rules = settings.get(2, rules)
+            flags |= {f: settings[f] for f in flags if f in settings}
+    if kind not in (1, 2):
+        raise ValueError("only unigram and merging models are supported")
+    if rules or flags != {3: 1, 4: 0, 5: 1}:
+        raise ValueError("the model rewrites its text before it is cut; that is not supported")
+    return kind == 2
+
+
 class Model:
     """Pieces and settings of a model; ``scores`` decide between segmentations."""
 
@@ -52,8 +95,12 @@ class Model:
 
     @classmethod
     def load(cls, path: str) -> Model:
+        """The model of a file, unigram or merging as the file says. Other kinds, and models that
+        rewrite their text first (or treat spaces otherwise than is done here), are refused."""
         import sentencepiece
 
+        with open(path, "rb") as f:
+            merging = _merges(f.read())
         library = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces, byte_ids = {}, []
         for i in range(library.get_piece_size()):
@@ -61,7 +108,7 @@ class Model:
                 byte_ids.append(i)
             elif not (library.is_control(i) or library.is_unknown(i) or library.is_unused(i)):
                 pieces[library.id_to_piece(i)] = (i, library.get_score(i))
-        return cls(pieces, merging=True, byte_ids=byte_ids or None, unknown=library.unk_id())
+        return cls(pieces, merging=merging, byte_ids=byte_ids or None, unknown=library.unk_id())
 
     def merged(self, text: str) -> list[str]:
         """Merge a short string: the best-scored neighbouring pair first, leftmost among equals."""
@@ -118,34 +165,44 @@ class Trellis:
         return out
 
     def _extend(self, text: str) -> None:
-        model, back, score = self.model, self.back, self.score
-        pieces, pairs, lengths = model.pieces, model.pairs, model.lengths
-        end = len(self.held)
+        model, back = self.model, self.back
+        begin = len(self.held)
         self.held = held = self.held + text
-        for end in range(end + 1, len(held) + 1):
+        pieces, lengths = model.pieces, model.lengths
+        if model.merging:
+            pairs, last = model.pairs, self.last
+            for end in range(begin + 1, len(held) + 1):
+                for n in lengths:
+                    start = end - n
+                    if start < 0:
+                        back.append(0)
+                        break
+                    piece = held[start:end]
+                    if n > 1 and piece not in pieces or start and not back[start]:
+                        continue
+                    pair = (held[start - back[start]:start] if start else last, piece)
+                    if pairs[pair] if pair in pairs else model.may_follow(*pair):
+                        back.append(n)
+                        break
+                else:
+                    back.append(0)
+            return
+        score = self.score
+        for end in range(begin + 1, len(held) + 1):
             best, best_score = 0, float("-inf")
-            for n in lengths:
+            for n in reversed(lengths):  # of equal sums, the longer last piece stays
                 start = end - n
-                if start < 0:
-                    break
-                if start and not back[start]:
+                if start < 0 or start and not back[start]:
                     continue
-                piece = held[start:end]
-                if n > 1 and piece not in pieces:
+                found = pieces.get(held[start:end])
+                if found is None and n > 1:
                     continue
-                if model.merging:
-                    pair = (held[start - back[start]:start] if start else self.last, piece)
-                    if pairs[pair] if pair in pairs else model.may_follow(*pair):
-                        best = n
-                        break
-                else:
-                    found = pieces.get(piece)
-                    total = score[start] + (found[1] if found else model.floor)
-                    if total > best_score:
-                        best, best_score = n, total
+                # In single precision, as these models are made and used.
+                total = c_float(score[start] + (found[1] if found else model.floor)).value
+                if total > best_score:
+                    best, best_score = n, total
             back.append(best)
-            if not model.merging:
-                score.append(best_score)
+            score.append(best_score)
 
     def _path(self, end: int) -> list[int]:
         """Boundaries of the path that ends here, from the start on."""
@@ -172,12 +229,14 @@ class Trellis:
             self.held = self.held[boundary:]
             self.back = [0, *self.back[boundary + 1:]]
             if not self.model.merging:
-                base = self.score[boundary]
-                self.score = [s - base for s in self.score[boundary:]]
+                self.score = self.score[boundary:]
         return out
 
     def finish(self) -> list[str]:
-        return self._cut(len(self.held))
+        held = self.held
+        marks = [0, *self._path(len(held))]
+        self.held, self.back, self.score, self.last = "", [0], [0.0], ""
+        return [held[a:b] for a, b in zip(marks, marks[1:])]
 
 
 def segments(model: Model, chunks: Iterable[str]) -> Iterator[str]:
@@ -188,34 +247,14 @@ def segments(model: Model, chunks: Iterable[str]) -> Iterator[str]:
     yield from trellis.finish()
 
 
-def _within_window(model: Model, word: str) -> list[str]:
-    """Pieces of a word that fits into one window of a merging model: nothing is committed
-    before its end, so the trellis is just the piece that ends at each position."""
-    pieces, pairs, lengths = model.pieces, model.pairs, model.lengths
-    ending = [""]
-    for end in range(1, len(word) + 1):
-        for n in lengths:
-            piece = word[end - n:end]
-            if n > 1 and piece not in pieces:
-                continue
-            pair = (ending[end - n], piece)
-            fits = pairs.get(pair)
-            if model.may_follow(*pair) if fits is None else fits:
-                break
-        ending.append(piece)
-    found, end = [], len(word)
-    while end:
-        found.append(ending[end])
-        end -= len(ending[end])
-    return found[::-1]
-
-
 def _word(model: Model, word: str) -> bytes:
-    ids = []
-    short = model.merging and len(word) < 2 * model.longest
-    for piece in _within_window(model, word) if short else segments(model, [word]):
-        found = model.pieces.get(piece)
-        ids += [found[0]] if found else model.ids_of(piece)
+    ids, pieces = [], model.pieces
+    trellis = Trellis(model)
+    for piece in trellis.push(word) + trellis.finish():
+        if piece in pieces:
+            ids.append(pieces[piece][0])
+        else:
+            ids += model.ids_of(piece)
     return array("I", ids).tobytes()
 
 

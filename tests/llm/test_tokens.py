@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -213,6 +214,53 @@ def test_trellis_of_a_scored_model_and_its_window():
     assert committed > 9_000 and len(trellis.held) < 1_000
 
 
+def model_file(path, kind, pieces_, rules=b"", trim=0):
+    """A serialized model with the given kind and (piece, score, type) list."""
+    def field(number, value):
+        if isinstance(value, int):
+            return bytes([number << 3, value])
+        if isinstance(value, float):
+            return bytes([number << 3 | 5]) + struct.pack("<f", value)
+        return bytes([number << 3 | 2]) + varint(len(value)) + value
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    body = b"".join(field(1, field(1, p.encode()) + field(2, float(s)) + field(3, t)) for p, s, t in pieces_)
+    normaliser = field(1, b"identity") + field(2, rules) + field(3, 1) + field(4, trim)
+    path.write_bytes(body + field(2, field(3, kind)) + field(3, normaliser))
+    return str(path)
+
+
+def test_a_unigram_file_is_cut_by_its_scores(spark, tmp_path):
+    """The kind is read from the file, and ids are the library's."""
+    import sentencepiece
+
+    rng = random.Random(9)
+    names = sorted({"".join(rng.choice("ab▁") for _ in range(rng.randint(1, 6))) for _ in range(150)} | set("ab▁"))
+    listed = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [
+        (p, -rng.uniform(1, 3) * (1 + 0.3 * len(p)), 1) for p in names]
+    path = model_file(tmp_path / "unigram.model", 1, listed)
+    library, own = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Model.load(path)
+    assert not own.merging and pieces.Model.load(vocabulary("piece_bpe_32k.model")).merging
+    texts = ["".join(rng.choice("aabb  ") for _ in range(rng.randint(1, 300))) for _ in range(60)]
+    for text in texts:
+        assert pieces.encode(own, text).tolist() == library.encode(text)
+    got = pieces.encode_decode(frame(spark, list(enumerate(texts))), path).collect()
+    assert {(r.doc_id, r.n_tokens) for r in got} == {(i, len(library.encode(t))) for i, t in enumerate(texts)}
+    assert all(r.round_trip for r in got)
+
+
+@pytest.mark.parametrize("kind, rules, trim", [(3, b"", 0), (4, b"", 0), (1, b"rewriting", 0), (2, b"", 1)])
+def test_models_that_would_be_cut_otherwise_are_refused(tmp_path, kind, rules, trim):
+    path = model_file(tmp_path / "m.model", kind, [("<unk>", 0.0, 2), ("a", -1.0, 1)], rules, trim)
+    with pytest.raises(ValueError):
+        pieces.Model.load(path)
+
+
 def test_encode_decode(spark, rows):
     import sentencepiece
 
