@@ -462,6 +462,35 @@ def windowed_kpi_sliding(spark, sf_dir):
         streams.windowed_kpi, "5 seconds", "1 second", distinct=F.count_distinct("vehicle_id"))
 
 
+_LONG = """SELECT time_bucket(INTERVAL '{n} seconds', event_ts) AS window_start,
+      time_bucket(INTERVAL '{n} seconds', event_ts) + INTERVAL '{n} seconds' AS window_end, town,
+      {kpi}, true AS vehicles_near FROM timed GROUP BY 1, 2, 3"""
+
+
+def _near_exact(spark, sf_dir, length, slide=None):
+    """Windows rolled up from one table of sketches, their vehicles compared with exact counts."""
+    rows = plain(observations(spark, sf_dir)).transform(streams.clean_rows).transform(streams.add_event_time)
+    sketches = written(streams.vehicle_sketches(rows), "sketches")
+    exact = streams.windowed_kpi(rows, length, slide, distinct=F.count_distinct("vehicle_id")).select(
+        "window_start", "town", F.col("vehicles").alias("exact"))
+    near = F.abs(F.col("vehicles") - F.col("exact")) <= streams.sketch_slack("exact")
+    return streams.rolled_up(sketches, length, slide).join(exact, ["window_start", "town"]).select(
+        "window_start", "window_end", "town", "n_rows", "avg_speed", "pct_high", near.alias("vehicles_near"))
+
+
+@query("sketch_kpi_long", sql("complete", _LONG.format(n=30, kpi=_KPI), valid=_VALID, timed=_TIMED))
+def sketch_kpi_long(spark, sf_dir):
+    return _near_exact(spark, sf_dir, "30 seconds")
+
+
+@query("sketch_kpi_sliding", sql(
+    "complete", f"""SELECT w AS window_start, w + INTERVAL '5 seconds' AS window_end, town, {_KPI}, true AS vehicles_near
+      FROM (SELECT *, time_bucket(INTERVAL '1 second', event_ts) - to_seconds(k) AS w FROM timed
+        CROSS JOIN (SELECT unnest(range(5)) AS k)) GROUP BY 1, 2, 3""", valid=_VALID, timed=_TIMED))
+def sketch_kpi_sliding(spark, sf_dir):
+    return _near_exact(spark, sf_dir, "5 seconds", "1 second")
+
+
 @query("stream_kpi", sql(
     "complete", f"""SELECT time_bucket(INTERVAL '5 seconds', event_ts) AS window_start,
       time_bucket(INTERVAL '5 seconds', event_ts) + INTERVAL '5 seconds' AS window_end, town,

@@ -70,6 +70,16 @@ def _part_files(spark: SparkSession, path: str) -> list[DataFrame]:
             for p in sorted(spark.read.parquet(path).inputFiles())]
 
 
+def _parquet_entries(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Entries with the same column names in one read; one by one where their types differ."""
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(*paths)]
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    return [df for p in paths for df in _part_files(spark, p)]
+
+
 def _scan(spark: SparkSession, directory: str, recursive: bool) -> list[tuple[str, str, tuple | None]]:
     """(entry, status, columns) of the entries of a directory, in order of their names.
 
@@ -95,7 +105,7 @@ def scan_report(spark: SparkSession, directory: str, recursive: bool = False) ->
 
 def _frames(spark: SparkSession, directory: str, recursive: bool, keep_twins: bool) -> list[DataFrame]:
     """Rows as the entries have them, with ``source_file``: text of CSV entries, those with the
-    same columns together and lines that don't fit in ``_corrupt``; Parquet entries one by one."""
+    same columns together and lines that don't fit in ``_corrupt``; Parquet entries likewise."""
     base = directory.rstrip("/")
     source = _entry("_metadata.file_path", base).alias("source_file")
     taken = {"loaded", "twin"} if keep_twins else {"loaded"}
@@ -111,8 +121,8 @@ def _frames(spark: SparkSession, directory: str, recursive: bool, keep_twins: bo
             text = StructType([StructField(c, StringType()) for c in (*columns, "_corrupt")])
             frames.append(spark.read.schema(text).option("header", "true").option("enforceSchema", "false")
                           .option("columnNameOfCorruptRecord", "_corrupt").csv(paths).select("*", source))
-        else:  # one read per entry: files of different widths have different schemas
-            frames += [df.select("*", source) for p in paths for df in _part_files(spark, p)]
+        else:
+            frames += [df.select("*", source) for df in _parquet_entries(spark, paths)]
     return frames
 
 

@@ -63,3 +63,16 @@ def test_filters(make_obs):
     assert dashboard.filtered(df, "Town01", "ClearNoon").count() == 1
     choices = [(r.dimension, r.choice) for r in dashboard.filter_choices(df).collect()]
     assert choices[0] == ("town", "All") and ("weather", "WetNoon") in choices
+
+
+def test_verdict_reads_its_rows_once(spark, make_obs):
+    read = spark.sparkContext.accumulator(0)
+    rows = make_obs(*[{"tick": i} for i in range(30)])
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    quality.verdict(rows.mapInPandas(counted, rows.schema)).collect()
+    assert read.value == 30

@@ -169,3 +169,24 @@ def test_bad_records_are_listed_per_file(spark, files, tmp_path):
                    ("wide.parquet", "not_cast", "tick"): (1, str(1 << 40)),
                    ("broken.parquet", "unreadable", None): (None, None)}
     assert readers.read_mixed(spark, str(tmp_path)).count() == 6
+
+
+def test_tables_of_a_cleared_block_are_deleted(spark, make_obs):
+    kept = scratch.scratch_path(spark, "kept")
+    with scratch.cleared(spark):
+        inner = scratch.written(make_obs({}), "inner")
+        folder = inner.inputFiles()[0].rsplit("/", 1)[0]
+        inner.write.parquet(kept)
+    assert not readers.path_exists(spark, folder) and spark.read.parquet(kept).count() == 1
+    assert scratch.written(make_obs({}), "after").count() == 1
+
+
+def test_parquet_logs_with_the_same_columns_are_one_scan(spark, make_obs, tmp_path):
+    for i in range(30):
+        make_obs({"tick": i}).coalesce(1).write.parquet(str(tmp_path / f"log{i}.parquet"))
+    make_obs({"tick": 99}).drop("z").coalesce(1).write.parquet(str(tmp_path / "narrow.parquet"))
+    got = readers.read_mixed(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    rows = {r.source_file: (r.tick, r.z) for r in got.collect()}
+    assert len(rows) == 31 and rows["log7.parquet"] == (7, 0.0) and rows["narrow.parquet"] == (99, None)
