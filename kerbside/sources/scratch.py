@@ -17,7 +17,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     local_folder = warehouse.startswith(("file:", "/"))
-    if local_folder and not spark.sparkContext.master.startswith("local"):
+    if local_folder and not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{warehouse}/_kerbside"
 

@@ -121,6 +121,9 @@ def test_scratch_follows_the_cluster_or_the_warehouse():
     unnamed = Session(spark_sql_warehouse_dir="file:/w/")
     assert scratch.scratch_root(named) == "hdfs:///shared"
     assert scratch.scratch_root(unnamed) == "file:/w/_kerbside"
+    cluster = Session(spark_master="spark://host:7077", spark_sql_warehouse_dir="file:/w/")
+    with pytest.raises(ValueError):
+        scratch.scratch_root(cluster)
 
 
 def test_split_files_follow_the_bytes_and_cluster_sessions(spark, sf_dir, tmp_path):
