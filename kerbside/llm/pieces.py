@@ -247,14 +247,34 @@ def segments(model: Model, chunks: Iterable[str]) -> Iterator[str]:
     yield from trellis.finish()
 
 
+def _within_window(model: Model, word: str) -> list[str]:
+    """Pieces of a word that fits into one window of a merging model: nothing is committed
+    before its end, so the trellis is just the piece that ends at each position."""
+    pieces, pairs, lengths = model.pieces, model.pairs, model.lengths
+    ending = [""]
+    for end in range(1, len(word) + 1):
+        for n in lengths:
+            piece = word[end - n:end]
+            if n > 1 and piece not in pieces:
+                continue
+            pair = (ending[end - n], piece)
+            fits = pairs.get(pair)
+            if model.may_follow(*pair) if fits is None else fits:
+                break
+        ending.append(piece)
+    found, end = [], len(word)
+    while end:
+        found.append(ending[end])
+        end -= len(ending[end])
+    return found[::-1]
+
+
 def _word(model: Model, word: str) -> bytes:
-    ids, pieces = [], model.pieces
-    trellis = Trellis(model)
-    for piece in trellis.push(word) + trellis.finish():
-        if piece in pieces:
-            ids.append(pieces[piece][0])
-        else:
-            ids += model.ids_of(piece)
+    ids = []
+    short = model.merging and len(word) < 2 * model.longest
+    for piece in _within_window(model, word) if short else segments(model, [word]):
+        found = model.pieces.get(piece)
+        ids += [found[0]] if found else model.ids_of(piece)
     return array("I", ids).tobytes()
 
 
