@@ -1,7 +1,10 @@
 """A compressed full-text index over integer sequences: BWT in a wavelet matrix with packed bits.
 
 Suffixes are sorted by their first ``depth`` symbols only, which is all that patterns up to
-that length need. All queries work on arrays, many patterns side by side.
+that length need. The order and the ranks it comes from are dropped when the index is built:
+what stays is the wavelet matrix, two packed bit vectors that mark where suffixes stop agreeing
+in their first ``length`` and ``length - 1`` symbols, and the smallest owner of each run of
+suffixes that agree. All queries work on arrays, many patterns side by side.
 """
 
 from __future__ import annotations
@@ -33,33 +36,54 @@ class Bits:
         padded[:n] = bits
         self.words = np.packbits(padded, bitorder="little").view(np.uint64)
         ones = np.bitwise_count(self.words)
-        self.before = np.concatenate(([0], np.cumsum(ones)[:-1])).astype(np.int64)
+        self.before = np.concatenate(([0], np.cumsum(ones)[:-1])).astype(np.int32)
         self.ones = int(ones.sum())
 
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Ones before each place."""
         word = at >> 6
         mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & mask)
+        return self.before[word] + np.bitwise_count(self.words[word] & mask).astype(np.int64)
+
+
+class Classes:
+    """Runs of places in suffix order whose suffixes agree in their first symbols."""
+
+    def __init__(self, change: np.ndarray):
+        self.bits = Bits(change)
+        self.starts = np.append(np.flatnonzero(change), len(change)).astype(np.int32)
+
+    def of(self, place: np.ndarray) -> np.ndarray:
+        """Number of the run that holds each place."""
+        return self.bits.rank(place + 1) - 1
+
+    def interval(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.starts[number].astype(np.int64), self.starts[number + 1].astype(np.int64)
 
 
 class FMIndex:
-    """Index of ``text``, whose symbols are 0 (separator) to ``symbols`` - 1."""
+    """Index of ``text`` for windows of ``length`` symbols.
+
+    Symbols are 0 (separator) to ``symbols`` - 1; ``owner`` names the owner of each place of the
+    text, and ``least`` is the smallest owner per class of equal windows.
+    """
 
-    def __init__(self, text: np.ndarray, symbols: int, depth: int):
-        self.n = len(text)
-        self.order, self.ranks = sorted_suffixes(text, depth)
-        before = text[self.order - 1]
+    def __init__(self, text: np.ndarray, symbols: int, length: int, owner: np.ndarray):
+        self.n, self.length = len(text), length
+        order, ranks = sorted_suffixes(text, 1 << max(length - 1, 0).bit_length())
+        row = text[order - 1]
         self.levels = max(1, (symbols - 1).bit_length())
         self.bits: list[Bits] = []
-        row = before
         for level in range(self.levels - 1, -1, -1):
             bit = ((row >> level) & 1).astype(np.uint8)
             self.bits.append(Bits(bit))
             row = np.concatenate((row[bit == 0], row[bit == 1]))
         counts = np.bincount(text, minlength=symbols)
         self.first = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        self.counts = counts
+        self.symbols = symbols
+        self.full = Classes(_changes(order, ranks, length))
+        self.shorter = Classes(_changes(order, ranks, length - 1))
+        self.least = np.minimum.reduceat(owner[order], self.full.starts[:-1])
 
     def occurrences(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol stands before its place in the BWT."""
@@ -79,40 +103,36 @@ class FMIndex:
         base = self.first[symbol]
         return base + both[:len(lo)], base + both[len(lo):]
 
-    def classes(self, length: int) -> np.ndarray:
-        """For each place in suffix order the number of its class: suffixes that agree in their
-        first ``length`` symbols."""
-        a = b = None
-        offset = 0
-        for width in sorted(self.ranks, reverse=True):
-            while length - offset >= width:
-                part = np.full(self.n, -1, np.int64)
-                part[:max(self.n - offset, 0)] = self.ranks[width][offset:]
-                b = part[self.order]
-                change = np.concatenate(([True], b[1:] != b[:-1])) if self.n else np.zeros(0, bool)
-                a = change if a is None else a | change
-                offset += width
-        return np.cumsum(a) - 1
-
-
-def matches(index: FMIndex, queries: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of ``length`` symbols of the queries that occur in the index.
-
-    Returns query number, start in the query and class of the window (see ``classes``). This is
-    matching statistics cut off at ``length``: each query is read backwards, all queries side by
-    side, with one backward step a symbol; a match that has grown beyond ``length`` is widened
+
+def _changes(order: np.ndarray, ranks: dict[int, np.ndarray], length: int) -> np.ndarray:
+    """Where in suffix order the first ``length`` symbols differ from those one place before."""
+    n = len(order)
+    change = np.zeros(n, bool)
+    change[:1] = True
+    offset = 0
+    for width in sorted(ranks, reverse=True):
+        while length - offset >= width:
+            part = np.full(n, -1, np.int64)
+            part[:max(n - offset, 0)] = ranks[width][offset:]
+            part = part[order]
+            change[1:] |= part[1:] != part[:-1]
+            offset += width
+    return change
+
+
+def matches(index: FMIndex, queries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the queries, of the index's length, that occur in the index.
+
+    Returns query number, start in the query and the smallest owner of the window. This is
+    matching statistics cut off at the length: each query is read backwards, all queries side by
+    side, with one backward step a symbol; a match that has grown beyond the length is widened
     to the suffixes that share its first ``length`` symbols. Where no match of the full length
     goes on, the search falls back to those that share ``length`` - 1 symbols, and starts anew
     where these end too (a window from an earlier start must end before the symbol that failed).
     """
+    length = index.length
     if not queries or not index.n:
         return (np.zeros(0, np.int64),) * 3
-    number = index.classes(length)
-    shorter = index.classes(length - 1)
-    start_of = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
-    end_of = np.append(start_of[1:], index.n)
-    start_less = np.flatnonzero(np.concatenate(([True], shorter[1:] != shorter[:-1])))
-    end_less = np.append(start_less[1:], index.n)
     sizes = np.array([len(q) for q in queries])
     flat = np.concatenate(queries)
     begin = np.cumsum(sizes) - sizes
@@ -125,14 +145,13 @@ def matches(index: FMIndex, queries: list[np.ndarray], length: int) -> tuple[np.
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     while len(active):
         symbol = flat[begin[active] + at]
-        known = (symbol > 0) & (symbol < len(index.counts))
+        known = (symbol > 0) & (symbol < index.symbols)
         safe = np.where(known, symbol, 0)
         new_lo, new_hi = index.extend(safe, lo, hi)
         ok = known & (new_lo < new_hi)
         retry = np.flatnonzero(~ok & known & (grown == length))
         if len(retry):
-            wide = shorter[lo[retry]]
-            a, b = index.extend(safe[retry], start_less[wide], end_less[wide])
+            a, b = index.extend(safe[retry], *index.shorter.interval(index.shorter.of(lo[retry])))
             new_lo[retry], new_hi[retry] = a, b
             again = a < b
             ok[retry] = again
@@ -141,10 +160,10 @@ def matches(index: FMIndex, queries: list[np.ndarray], length: int) -> tuple[np.
         grown = np.where(ok, grown + 1, 0)
         over = np.flatnonzero(grown >= length)
         if len(over):
-            kind = number[lo[over]]
-            lo[over], hi[over] = start_of[kind], end_of[kind]
+            kind = index.full.of(lo[over])
+            lo[over], hi[over] = index.full.interval(kind)
             grown[over] = length
-            found.append((active[over], at[over], kind))
+            found.append((active[over], at[over], index.least[kind]))
         # After a failure at place i, the next window to try ends at i + length - 2 at most and
         # one before the end of the window that failed.
         failed = np.flatnonzero(~ok)

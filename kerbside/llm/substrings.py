@@ -3,9 +3,9 @@
 Every window of ``length`` words has an anchor: its smallest hashed k-gram, leftmost among
 equals. Consecutive windows with one anchor make a fragment, so equal windows lie in fragments
 of equal anchors, and only anchors that occur in two documents or more matter. Their distinct
-fragments, each with the smallest document that holds it, are dealt to shards by anchor; a
-shard is indexed and its fragments stream through the index, which tells for each window the
-smallest document in which it starts.
+fragments, each with the smallest document that holds it, are dealt to shards by anchor; in a
+shard, fragments of later documents stream past an index of those of earlier ones, which tells
+for each window the smallest document in which it starts.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kerbside.llm.common import LAST_ID, Rows, grouped, id_or_last, slices
+from kerbside.llm.common import Rows, grouped, id_or_last, slices
 from kerbside.llm.fm_index import FMIndex, matches
 from kerbside.sources.scratch import written
 
@@ -85,13 +85,12 @@ def _find_anchors(length: int):
 
 
 def _cut_out(batches: Rows) -> Rows:
-    """Words of the wanted fragments of each text, packed or plain."""
+    """Words of the wanted fragments of each text."""
     grow = zstandard.ZstdDecompressor()
     for batch in slices(batches, 256):
         rows = []
-        packed = batch.schema.names[0] == "packed"
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column("wanted").to_pylist()):
-            words = (grow.decompress(text) if packed else text).split()
+        for text, wanted in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
+            words = grow.decompress(text).split()
             for w in wanted:
                 rows.append((w["anchor"], w["digest"], w["least"],
                              b" ".join(words[w["start"]:w["start"] + w["words"]])))
@@ -122,29 +121,39 @@ def _windows(length: int):
 
 
 def _search(length: int, shard_words: int):
-    """Index shards of fragments sorted by anchor and stream the fragments through."""
+    """Stream fragments, sorted by anchor, past the fragments of smaller documents in their shard.
+
+    Two fragments of an anchor, numbered by document, have numbers that agree above some bit and
+    differ in it. So for each bit the fragments without it are indexed and those with it stream
+    past, and every fragment meets all earlier ones of its anchor, in as many passes as the
+    largest number has bits; no fragment streams past an index that holds it.
+    """
     def shard(held: dict[str, list]) -> pa.RecordBatch:
         split = [w.split(b" ") for w in held["words"]]
         names = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
         coded = [np.fromiter(map(names.__getitem__, ws), np.int64, len(ws)) for ws in split]
-        text = np.concatenate([np.append(c, 0) for c in coded])
-        owner = np.repeat(np.array(held["least"], np.int64), [len(c) + 1 for c in coded])
-        index = FMIndex(text, len(names) + 1, 1 << (length - 1).bit_length())
-        kinds = index.classes(length)
-        least = np.full(int(kinds[-1]) + 1, LAST_ID, np.int64)
-        np.minimum.at(least, kinds, owner[index.order])
-        query, start, kind = matches(index, coded, length)
-        order = np.lexsort((start, query))
-        query, start, first = query[order], start[order], least[kind[order]]
+        least = np.array(held["least"], np.int64)
+        number, many = np.array(held["number"], np.int64), np.array(held["many"], np.int64)
+        windows = np.array([len(c) for c in coded]) - length + 1
+        begin = np.cumsum(windows) - windows
+        query, start = np.repeat(np.arange(len(coded)), windows), np.arange(windows.sum()) - np.repeat(begin, windows)
+        first = np.repeat(least, windows)
+        for bit in range(int(number.max()).bit_length()):
+            later = np.flatnonzero((number >> bit) & 1)
+            earlier = np.flatnonzero(((number >> bit) & 1 == 0) & (((number >> bit) | 1) << bit < many))
+            text = np.concatenate([np.append(coded[i], 0) for i in earlier])
+            owner = np.repeat(least[earlier], [len(coded[i]) + 1 for i in earlier])
+            index = FMIndex(text, len(names) + 1, length, owner)
+            hit, place, owners = matches(index, [coded[i] for i in later])
+            np.minimum.at(first, begin[later[hit]] + place, owners)
         # Runs of neighbouring windows with the same smallest document.
-        edge = np.concatenate(([True], (query[1:] != query[:-1]) | (start[1:] != start[:-1] + 1)
-                               | (first[1:] != first[:-1])))
-        begin = np.flatnonzero(edge)
-        end = np.append(begin[1:], len(query)) - 1
+        edge = np.concatenate(([True], (query[1:] != query[:-1]) | (first[1:] != first[:-1])))
+        at = np.flatnonzero(edge)
+        end = np.append(at[1:], len(query)) - 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.array(held["anchor"], np.int64)[query[begin]]),
-             pa.array(np.array(held["digest"], np.int64)[query[begin]]),
-             pa.array(start[begin].astype(np.int32)), pa.array(start[end].astype(np.int32)), pa.array(first[begin])],
+            [pa.array(np.array(held["anchor"], np.int64)[query[at]]),
+             pa.array(np.array(held["digest"], np.int64)[query[at]]),
+             pa.array(start[at].astype(np.int32)), pa.array(start[end].astype(np.int32)), pa.array(first[at])],
             names=["anchor", "digest", "from_window", "to_window", "first_doc"])
 
     def search(batches: Rows) -> Rows:
@@ -154,6 +163,8 @@ def _search(length: int, shard_words: int):
             if size >= shard_words:
                 yield shard(held)
                 held, size = {}, 0
+            place = np.argsort(np.argsort(np.array(group["least"], np.int64), kind="stable"))
+            group["number"], group["many"] = place.tolist(), [len(place)] * len(place)
             for name, values in group.items():
                 held.setdefault(name, []).extend(values)
             size += sum(w.count(b" ") + 2 for w in group["words"])
@@ -201,26 +212,18 @@ def _indexed(fragments: DataFrame, length: int, shard_words: int) -> DataFrame:
             .mapInArrow(_search(length, shard_words), _RUN))
 
 
-def _crowded(fragments: DataFrame, length: int, shard_words: int) -> DataFrame:
+def _crowded(fragments: DataFrame, length: int) -> DataFrame:
     """Runs for anchors with very many different fragments, such as the edges of a passage that
     a third of all documents quote.
 
-    Their windows are counted by digest first, with map-side sums. A window of one fragment
-    starts first in that fragment's document; each other window goes to the index once, dealt by
-    its digest, so neither an anchor nor a passage has to fit into one task.
+    Neither an anchor nor a passage has to fit into one task: windows are counted by digest,
+    with map-side sums. An index would not serve here, as blocks of fragments would have to
+    stream past each other, which is quadratic in the crowd.
     """
     windows = written(fragments.mapInArrow(_windows(length), _WINDOW), "windows")
     often = written(windows.groupBy("window", "window_b").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("least", "anchor", "digest", "place")).alias("at"))
-        .where("n > 1").select("window", "window_b", "at.*"), "often")
-    pieces = fragments.select("anchor", "digest", "words").join(
-        often.groupBy("anchor", "digest").agg(F.collect_list(F.struct(
-            F.col("window").alias("anchor"), F.col("window_b").alias("digest"), "least",
-            F.col("place").alias("start"), F.lit(length).alias("words"))).alias("wanted")),
-        ["anchor", "digest"]).select(F.col("words").alias("plain"), "wanted")
-    firsts = written(_indexed(pieces.mapInArrow(_cut_out, _FRAGMENT), length, shard_words).select(
-        F.col("anchor").alias("window"), F.col("digest").alias("window_b"), "first_doc"), "firsts")
-    return windows.join(firsts, ["window", "window_b"], "left").select(
+        F.count(F.lit(1)).alias("n"), F.min("least").alias("first_doc")).where("n > 1").drop("n"), "often")
+    return windows.join(often, ["window", "window_b"], "left").select(
         "anchor", "digest", F.col("place").alias("from_window"), F.col("place").alias("to_window"),
         F.coalesce("first_doc", "least").alias("first_doc"))
 
@@ -249,7 +252,7 @@ def _spans(docs: DataFrame, carried: Column, length: int, shard_words: int, crow
                      .where(F.col("n") > crowd).select("anchor"), "crowds")
     runs = written(
         _indexed(cut.join(crowds, "anchor", "left_anti"), length, shard_words)
-        .unionByName(_crowded(cut.join(crowds, "anchor", "left_semi"), length, shard_words)), "runs")
+        .unionByName(_crowded(cut.join(crowds, "anchor", "left_semi"), length)), "runs")
     spans = (placed.select("row", "doc", "anchor", "digest", "start").join(runs, ["anchor", "digest"])
              .where("first_doc < doc")
              .groupBy("row").agg(F.collect_list(F.struct(

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kerbside.llm import common, fm_index, ngram_join, substrings, vectors
@@ -118,15 +119,59 @@ def test_fm_index_finds_every_window():
         queries = [[rng.randint(1, symbols + 1) for _ in range(rng.randint(0, 40))] for _ in range(4)]
         queries += [docs[0], docs[0][3:] + docs[-1][:9]]
         text = [x for d in docs for x in [*d, 0]]
-        index = fm_index.FMIndex(np.array(text), symbols, 8)
-        query, start, kind = fm_index.matches(index, [np.array(q, np.int64) for q in queries], length)
-        there = {tuple(text[i:i + length]) for i in range(len(text) - length + 1)}
+        owner = np.repeat(np.array([rng.randint(0, 50) for _ in docs]), [len(d) + 1 for d in docs])
+        index = fm_index.FMIndex(np.array(text), symbols, length, owner)
+        query, start, least = fm_index.matches(index, [np.array(q, np.int64) for q in queries])
+        there: dict[tuple, int] = {}
+        for i in range(len(text) - length + 1):
+            key = tuple(text[i:i + length])
+            there[key] = min(there.get(key, 99), int(owner[i]))
         assert sorted(zip(query.tolist(), start.tolist())) == [
             (q, i) for q, x in enumerate(queries) for i in range(len(x) - length + 1)
             if tuple(x[i:i + length]) in there]
-        number = index.classes(length)
-        for q, s, k in zip(query, start, kind):
-            assert all(text[p:p + length] == queries[q][s:s + length] for p in index.order[number == k])
+        assert all(there[tuple(queries[q][s:s + length])] == o for q, s, o in zip(query, start, least))
+
+
+def test_index_keeps_no_suffix_order():
+    """Bytes that stay in an index: far fewer than one 64-bit number a symbol."""
+    rng = np.random.default_rng(1)
+    text = np.append(rng.integers(1, 4_000, 100_000), 0)
+    index = fm_index.FMIndex(text, 4_000, 50, np.zeros(len(text), np.int64))
+    bits = [*index.bits, index.full.bits, index.shorter.bits]
+    assert sum(b.words.nbytes + b.before.nbytes for b in bits) < 3 * len(text)
+    assert not any(isinstance(v, np.ndarray) and len(v) == len(text) and v.itemsize == 8 and v is not index.least
+                   for v in vars(index).values())
+
+
+def test_removal_comes_from_the_backward_search(monkeypatch):
+    """Fragments that differ, with windows in common: only the search can tell that they repeat,
+    and a fragment streams past earlier ones alone."""
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(70)]
+    docs = [[f"a{d}x{i}" for i in range(rng.randint(3, 9))] + shared + [f"b{d}x{i}" for i in range(5)] for d in range(9)]
+    seen = []
+
+    def shard(numbers):
+        held = {"anchor": [7] * len(docs), "digest": list(range(len(docs))), "least": numbers,
+                "words": [" ".join(d).encode() for d in docs]}
+        batch = pa.RecordBatch.from_pydict(held)
+        out = list(substrings._search(50, 10**6)(iter([batch])))
+        return {(r["digest"], w): r["first_doc"] for b in out for r in b.to_pylist()
+                for w in range(r["from_window"], r["to_window"] + 1)}
+
+    real = substrings.matches
+    monkeypatch.setattr(substrings, "matches", lambda i, q: seen.append((i.n, len(q))) or real(i, q))
+    numbers = rng.sample(range(100), len(docs))
+    where: dict[tuple, int] = {}
+    for d, n in zip(docs, numbers):
+        for i in range(len(d) - 49):
+            key = tuple(d[i:i + 50])
+            where[key] = min(where.get(key, n), n)
+    want = {(j, i): where[tuple(d[i:i + 50])] for j, d in enumerate(docs) for i in range(len(d) - 49)}
+    assert shard(numbers) == want
+    assert len(seen) == 4 and sum(n for _, n in seen) < len(docs) * 4
+    monkeypatch.setattr(substrings, "matches", lambda i, q: (np.zeros(0, np.int64),) * 3)
+    assert shard(numbers) != want
 
 
 @pytest.mark.parametrize("length, shard_words, crowd", [
