@@ -5,7 +5,7 @@ equals. Consecutive windows with one anchor make a fragment, so equal windows li
 of equal anchors, and only anchors that occur in two documents or more matter. Their distinct
 fragments, each with the smallest document that holds it, are dealt to shards by anchor; in a
 shard, fragments of later documents stream past an index of those of earlier ones, which tells
-for each window the smallest document in which it starts.
+for each window an earlier document in which it starts.
 """
 
 from __future__ import annotations
@@ -120,40 +120,71 @@ def _windows(length: int):
     return windows
 
 
+def _may_repeat(flat: np.ndarray, group: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Whether all k-grams of the windows that begin at ``at`` occur twice or more in their group
+    (given per word): the others repeat nothing."""
+    k = min(ANCHOR_WORDS, length)
+    n = len(flat) - k + 1
+    grams = group[:n].astype(np.uint64)
+    for i in range(k):
+        grams = (grams ^ flat[i:n + i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        grams ^= grams >> np.uint64(29)
+    _, kind, count = np.unique(grams, return_inverse=True, return_counts=True)
+    lone = np.concatenate(([0], np.cumsum(count[kind] == 1)))
+    return lone[at + length - k + 1] == lone[at]
+
+
 def _search(length: int, shard_words: int):
     """Stream fragments, sorted by anchor, past the fragments of smaller documents in their shard.
 
     Two fragments of an anchor, numbered by document, have numbers that agree above some bit and
     differ in it. So for each bit the fragments without it are indexed and those with it stream
     past, and every fragment meets all earlier ones of its anchor, in as many passes as the
-    largest number has bits; no fragment streams past an index that holds it.
+    largest number has bits; no fragment streams past an index that holds it. A window that is
+    found drops out of later passes on both sides: its first occurrence never does.
     """
     def shard(held: dict[str, list]) -> pa.RecordBatch:
         split = [w.split(b" ") for w in held["words"]]
         names = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
-        coded = [np.fromiter(map(names.__getitem__, ws), np.int64, len(ws)) for ws in split]
+        flat = np.fromiter((names[w] for ws in split for w in ws), np.int64)
+        sizes = np.array([len(ws) for ws in split])
         least = np.array(held["least"], np.int64)
         number, many = np.array(held["number"], np.int64), np.array(held["many"], np.int64)
-        windows = np.array([len(c) for c in coded]) - length + 1
-        begin = np.cumsum(windows) - windows
-        query, start = np.repeat(np.arange(len(coded)), windows), np.arange(windows.sum()) - np.repeat(begin, windows)
-        first = np.repeat(least, windows)
+        # Per window: its fragment, its place there and in ``flat``.
+        windows = sizes - length + 1
+        query = np.repeat(np.arange(len(sizes)), windows)
+        start = np.arange(len(query)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at = (np.cumsum(sizes) - sizes)[query] + start
+        group = np.repeat(np.unique(np.array(held["anchor"], np.int64), return_inverse=True)[1], sizes)
+        first = least[query]
+        live = _may_repeat(flat, group, at, length)
         for bit in range(int(number.max()).bit_length()):
-            later = np.flatnonzero((number >> bit) & 1)
-            earlier = np.flatnonzero(((number >> bit) & 1 == 0) & (((number >> bit) | 1) << bit < many))
-            text = np.concatenate([np.append(coded[i], 0) for i in earlier])
-            owner = np.repeat(least[earlier], [len(coded[i]) + 1 for i in earlier])
+            # Runs of live windows, [begin, stop).
+            same = np.append(query[1:] == query[:-1], False) & live & np.append(live[1:], False)
+            begin = np.flatnonzero(live & ~np.concatenate(([False], same[:-1])))
+            stop = np.flatnonzero(live & ~same) + 1
+            who = number[query[begin]] >> bit
+            later = np.flatnonzero(who & 1)
+            earlier = np.flatnonzero((who & 1 == 0) & ((who | 1) << bit < many[query[begin]]))
+            if not len(later) or not len(earlier):
+                continue
+            pieces = [flat[a:b] for a, b in zip(at[begin].tolist(), (at[stop - 1] + length).tolist())]
+            text = np.concatenate([np.append(pieces[i], 0) for i in earlier])
+            owner = np.repeat(least[query[begin[earlier]]], [len(pieces[i]) + 1 for i in earlier])
             index = FMIndex(text, len(names) + 1, length, owner)
-            hit, place, owners = matches(index, [coded[i] for i in later])
-            np.minimum.at(first, begin[later[hit]] + place, owners)
-        # Runs of neighbouring windows with the same smallest document.
+            hit, place, owners = matches(index, [pieces[i] for i in later])
+            found = begin[later[hit]] + place
+            smaller = owners < least[query[found]]
+            first[found[smaller]] = owners[smaller]
+            live[found[smaller]] = False
+        # Runs of neighbouring windows with the same document.
         edge = np.concatenate(([True], (query[1:] != query[:-1]) | (first[1:] != first[:-1])))
-        at = np.flatnonzero(edge)
-        end = np.append(at[1:], len(query)) - 1
+        begin = np.flatnonzero(edge)
+        end = np.append(begin[1:], len(query)) - 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.array(held["anchor"], np.int64)[query[at]]),
-             pa.array(np.array(held["digest"], np.int64)[query[at]]),
-             pa.array(start[at].astype(np.int32)), pa.array(start[end].astype(np.int32)), pa.array(first[at])],
+            [pa.array(np.array(held["anchor"], np.int64)[query[begin]]),
+             pa.array(np.array(held["digest"], np.int64)[query[begin]]),
+             pa.array(start[begin].astype(np.int32)), pa.array(start[end].astype(np.int32)), pa.array(first[begin])],
             names=["anchor", "digest", "from_window", "to_window", "first_doc"])
 
     def search(batches: Rows) -> Rows:
