@@ -120,6 +120,19 @@ def _changes(order: np.ndarray, ranks: dict[int, np.ndarray], length: int) -> np
     return change
 
 
+def _one_by_one(index: FMIndex, flat: np.ndarray, begin: np.ndarray, query: np.ndarray,
+                start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the given windows that occur in the index (see ``matches``)."""
+    lo, hi = np.zeros(len(query), np.int64), np.full(len(query), index.n, np.int64)
+    for step in range(index.length - 1, -1, -1):
+        symbol = flat[begin[query] + start + step]
+        known = (symbol > 0) & (symbol < index.symbols)
+        lo, hi = index.extend(np.where(known, symbol, 0), lo, hi)
+        left = known & (lo < hi)
+        query, start, lo, hi = query[left], start[left], lo[left], hi[left]
+    return query, start, index.least[index.full.of(lo)]
+
+
 def matches(index: FMIndex, queries: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All windows of the queries, of the index's length, that occur in the index.
 
@@ -127,8 +140,9 @@ def matches(index: FMIndex, queries: list[np.ndarray]) -> tuple[np.ndarray, np.n
     matching statistics cut off at the length: each query is read backwards, all queries side by
     side, with one backward step a symbol; a match that has grown beyond the length is widened
     to the suffixes that share its first ``length`` symbols. Where no match of the full length
-    goes on, the search falls back to those that share ``length`` - 1 symbols, and starts anew
-    where these end too (a window from an earlier start must end before the symbol that failed).
+    goes on, the search falls back to those that share ``length`` - 1 symbols. Where these end
+    too, the windows of the query that are left (they end before that match and before the symbol
+    that failed) are searched one by one, those of all queries side by side.
     """
     length = index.length
     if not queries or not index.n:
@@ -143,6 +157,7 @@ def matches(index: FMIndex, queries: list[np.ndarray]) -> tuple[np.ndarray, np.n
     grown = np.zeros(len(active), np.int64)
     tail = at.copy()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    parked: list[tuple[np.ndarray, np.ndarray]] = []
     while len(active):
         symbol = flat[begin[active] + at]
         known = (symbol > 0) & (symbol < index.symbols)
@@ -164,18 +179,20 @@ def matches(index: FMIndex, queries: list[np.ndarray]) -> tuple[np.ndarray, np.n
             lo[over], hi[over] = index.full.interval(kind)
             grown[over] = length
             found.append((active[over], at[over], index.least[kind]))
-        # After a failure at place i, the next window to try ends at i + length - 2 at most and
-        # one before the end of the window that failed.
-        failed = np.flatnonzero(~ok)
         tail = np.where(grown >= length, at + length - 1, tail)
+        failed = np.flatnonzero(~ok)
         if len(failed):
-            tail[failed] = np.minimum(tail[failed] - 1, at[failed] + length - 2)
-            at[failed] = tail[failed]
-        moved = np.flatnonzero(ok)
-        at[moved] -= 1
-        left = (at >= 0) & (tail >= length - 1)
+            last = np.minimum(tail[failed] - 1, at[failed] + length - 2)
+            parked.append((active[failed], last - length + 2))
+        at -= 1
+        left = ok & (at >= 0)
         if not left.all():
             active, at, lo, hi, grown, tail = (x[left] for x in (active, at, lo, hi, grown, tail))
+    if parked:
+        query, many = (np.concatenate(x) for x in zip(*parked))
+        many = np.maximum(many, 0)
+        start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        found.append(_one_by_one(index, flat, begin, np.repeat(query, many), start))
     if not found:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found))

@@ -171,8 +171,12 @@ def _search(length: int, shard_words: int):
             pieces = [flat[a:b] for a, b in zip(at[begin].tolist(), (at[stop - 1] + length).tolist())]
             text = np.concatenate([np.append(pieces[i], 0) for i in earlier])
             owner = np.repeat(least[query[begin[earlier]]], [len(pieces[i]) + 1 for i in earlier])
-            index = FMIndex(text, len(names) + 1, length, owner)
-            hit, place, owners = matches(index, [pieces[i] for i in later])
+            # Symbols of this index; 0, the separator, also stands for words it lacks.
+            used = np.unique(text)
+            code = np.zeros(len(names) + 1, np.int64)
+            code[used] = np.arange(len(used))
+            index = FMIndex(code[text], len(used), length, owner)
+            hit, place, owners = matches(index, [code[pieces[i]] for i in later])
             found = begin[later[hit]] + place
             smaller = owners < least[query[found]]
             first[found[smaller]] = owners[smaller]
