@@ -7,13 +7,14 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbside.functions import columns as C
-from kerbside.operators import crowds
+from kerbside.operators import crowds, tiles
 from kerbside.operators.distributions import attach, bin_index
 from kerbside.schema import PROXIMITY_RADIUS_M
 from kerbside.sources.scratch import written
 
-#: Positions of a cell beyond which it is taken apart instead of paired.
-CROWD = 128
+#: Positions of a cell beyond which it is counted by tiles instead of paired, and beyond which it
+#: is taken apart (so that a tile's group is bounded).
+CROWD, HUGE = 128, 16_384
 
 
 def _bounds(df: DataFrame, by: list[str]) -> DataFrame:
@@ -142,7 +143,7 @@ def hotspots(df: DataFrame, cell: int = 20, top: int = 10, by: list[str] | None
 
 def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
                       frame: list[str] | None = None, vehicle: str = "vehicle_id",
-                      crowd: int = CROWD) -> DataFrame:
+                      crowd: int = CROWD, huge: int = HUGE) -> DataFrame:
     """Other vehicles within ``radius`` metres (inclusive, in the plane) in the same frame.
 
     ``df`` has one row per frame and vehicle. Vehicles at one spot (parked, or logged at a
@@ -151,8 +152,9 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
     an adjacent cell. Each unordered pair of positions is met once: a position looks in its own
     cell (one direction only) and in four of the eight neighbours, and a match counts for both
     sides. The merge hint keeps the planner from broadcasting a side that grows with the
-    data. Cells with more than ``crowd`` positions, and their neighbours towards them, go through
-    a hierarchy of smaller cells instead (``crowds``), which pairs few of their positions.
+    data. Cells with more than ``crowd`` positions, and their neighbours towards them, are counted
+    by ``tiles``, those with more than ``huge`` by a hierarchy of smaller cells (``crowds``); neither
+    makes a row per pair.
     """
     frame = frame or ["session_id", "tick"]
     spots = (df.where(C.present("x") & C.present("y")).groupBy("x", "y", *reversed(frame))
@@ -160,12 +162,16 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
              .withColumns({"_cx": F.floor(F.col("x") / radius), "_cy": F.floor(F.col("y") / radius)}))
     spots = written(spots, "spots")
     cell = ["_cx", "_cy", *reversed(frame)]
-    dense = written(spots.groupBy(*cell).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > crowd).select(*cell),
-                    "crowded-cells")
-    sparse, crowded = spots, None
+    dense = written(spots.groupBy(*cell).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > crowd), "crowded-cells")
+    sparse, crowded = spots, []
     if not dense.isEmpty():
-        sparse = spots.join(dense, cell, "left_anti")
-        crowded = crowds.crowded_counts(spots, dense, radius, frame)
+        several = dense.where(F.col("_m") > huge).select(*cell)
+        if not several.isEmpty():
+            crowded.append(crowds.crowded_counts(spots, several, radius, frame).select(*frame, "x", "y", "_near"))
+        told = spots.join(dense, cell, "left")
+        sparse = told.where("_m IS NULL").drop("_m")
+        held = told.where(F.col("_m").isNull() | (F.col("_m") <= huge))
+        crowded.append(tiles.tile_counts(held.withColumn("_crowded", F.col("_m").isNotNull()), radius, frame))
     looks = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                       for dx, dy in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
     seekers = (sparse.withColumn("_o", F.explode(looks))
@@ -179,17 +185,12 @@ def proximity_density(df: DataFrame, radius: float = PROXIMITY_RADIUS_M,
     # Join columns are sorted by in this order: cells tell rows apart sooner than sessions.
     pairs = seekers.join(sparse.hint("merge"), ["_cx", "_cy", *reversed(frame)]).where(near)
     # Both ends of a pair, each with the number of vehicles at the other end.
-    ends = F.array(
-        F.struct(F.col("_a").alias("_id"), F.col("_ax").alias("x"), F.col("_ay").alias("y"), "n"),
-        F.struct("_id", "x", "y", F.col("_an").alias("n")))
-    lines = pairs.select(*frame, F.explode(ends).alias("_e")).select(*frame, "_e.*").withColumnRenamed("n", "_near")
-    if crowded is not None:
-        lines = lines.unionByName(crowded)
-    around = (lines.groupBy("_id", *reversed(frame))
-              .agg(F.sum("_near").alias("_near"), F.min("x").alias("x"), F.min("y").alias("y")))
-    counted = (spots.select(*frame, "_id", "x", "y", (F.col("n") - 1).alias("_near"))
-               .unionByName(around).groupBy("x", "y", *reversed(frame))
-               .agg(F.sum("_near").alias("_near")))
+    ends = F.array(F.struct(F.col("_ax").alias("x"), F.col("_ay").alias("y"), F.col("n").alias("_near")),
+                   F.struct("x", "y", F.col("_an").alias("_near")))
+    lines = pairs.select(*frame, F.explode(ends).alias("_e")).select(*frame, "_e.*")
+    for more in (*crowded, spots.select(*frame, "x", "y", (F.col("n") - 1).alias("_near"))):
+        lines = lines.unionByName(more)
+    counted = lines.groupBy("x", "y", *reversed(frame)).agg(F.sum("_near").alias("_near"))
     return (df.select(*frame, vehicle, "x", "y")
             .join(counted.hint("merge"), ["x", "y", *reversed(frame)], "left")
             .select(*frame, vehicle, F.coalesce("_near", F.lit(0)).cast("int")

@@ -6,7 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from kerbside.operators import crowds, snapshot, spatial
+from kerbside.operators import crowds, snapshot, spatial, tiles
 from kerbside.schema import ACTOR_SCHEMA
 
 
@@ -155,3 +155,30 @@ def test_unknown_weather(spark):
     df = spark.createDataFrame([("WetNoon",), ("Fog",)], "preset string")
     got = {r.preset: (r.weather, r.applied_weather) for r in snapshot.encode_weather(df).collect()}
     assert got == {"WetNoon": (2, "WetNoon"), "Fog": (-1, "ClearNoon")}
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e7])
+def test_counts_within_equal_brute_force(shift):
+    """Random positions, a lattice whose points lie exactly at the radius, and a far one."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate((rng.uniform(0, 150, 1_500), rng.integers(0, 15, 400) * 10.0, [9e4])) + shift
+    y = np.concatenate((rng.uniform(-90, 90, 1_500), rng.integers(0, 15, 400) * 10.0, [9e4])) - shift
+    n = rng.integers(1, 5, len(x))
+    for size in (len(x), 1_900, 300, 1):
+        got = tiles.counts_within(x, y, x[:size], y[:size], n[:size], 50.0)
+        dx, dy = x[:, None] - x[:size], y[:, None] - y[:size]
+        assert got.tolist() == ((np.sqrt(dx * dx + dy * dy) <= 50) * n[:size]).sum(axis=1).tolist()
+
+
+def test_crowded_cells_make_no_rows_per_pair(spark, monkeypatch):
+    """Sparse, crowded and huge cells side by side; the crowded ones are not taken apart."""
+    rng = random.Random(3)
+    points = [("s", 0, v, rng.uniform(-160, 160), rng.uniform(-160, 160)) for v in range(300)]
+    points += [("s", 0, 1000 + v, rng.uniform(-60, 40), rng.uniform(-20, 20)) for v in range(700)]
+    df = spark.createDataFrame(points, "session_id string, tick int, vehicle_id int, x double, y double")
+    for huge in (150, 16_384):
+        got = {(r.session_id, r.tick, r.vehicle_id): r.traffic_density
+               for r in spatial.proximity_density(df, crowd=20, huge=huge).collect()}
+        assert got == near_count(points)
+    monkeypatch.setattr(crowds, "meetings", None)
+    assert spatial.proximity_density(df, crowd=20).count() == 1000
