@@ -51,3 +51,11 @@ def test_report_scans_once(spark, stored):
 
 def test_views_are_complete(spark, sf_dir):
     assert explore.raw(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
+def test_training_rows_are_shuffled_once(spark, sf_dir):
+    """The deduplication's shuffle also deals the rows; features are worked out below the filters."""
+    from kerbside.plans import modelling
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = modelling.split_features(spark, sf_dir, parts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "RoundRobin" not in plan
