@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbside.sources.scratch import written
@@ -30,6 +31,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Rows:
             yield batch.slice(start, rows)
 
 
+def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", rows: int = 1024, size: int = 1 << 22) -> Rows:
+    """As ``slices``, with at most ``size`` bytes of text in a batch of several rows."""
+    for batch in slices(batches, rows):
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def grouped(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:
     """Column lists of each run of equal ``key`` values in rows that are sorted by it."""
     held: dict[str, list] = {}

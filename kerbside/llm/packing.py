@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from kerbside.llm.common import Rows, running_offsets, slices
+from kerbside.llm.common import Rows, running_offsets, slices, text_slices
 from kerbside.llm.encoding import encoder
 from kerbside.sources.scratch import written
 
@@ -77,7 +77,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 4096, spac
     """
     def tokenize(batches: Rows) -> Rows:
         code, curve, shrink = encoder(vocabulary, spaced, marks), Curve(), zstandard.ZstdCompressor(1)
-        for batch in slices(batches, 1024):
+        for batch in text_slices(batches):
             got = code.split(batch.column("text"), end_id)
             wide = [ids.astype("<u2") if len(ids) == 0 or ids.max() < 1 << 16 else ids for ids in got]
             yield pa.RecordBatch.from_arrays(

@@ -280,3 +280,13 @@ def test_empty_tables(spark):
     assert pieces.encode_decode(none, vocabulary("piece_bpe_32k.model")).count() == 0
     assert packing.pack(none, vocabulary("word_bpe_49k.json"), 2).count() == 0
     assert records.read_sequences(records.write_sequences(none, vocabulary("byte_bpe_50k.json"), 0)).count() == 0
+
+
+def test_text_slices_are_bounded_in_bytes():
+    import pyarrow as pa
+    from kerbside.llm.common import text_slices
+    texts = ["x" * 10, None, "y" * 35, "z" * 100, "", "é" * 10, "w" * 25]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    got = [part.column("text").to_pylist() for part in text_slices([batch], size=40)]
+    assert sum(got, []) == texts and max(map(len, got)) > 1
+    assert all(len(part) == 1 or sum(len((t or "").encode()) for t in part) <= 40 for part in got)
