@@ -355,3 +355,12 @@ def test_the_slope_of_a_fitted_logistic_model_is_zero(table):
     train = table.where("split = 'train'")
     assert ml.logistic_slope(train, ml.fit_logistic(train)) < 1e-4
     assert ml.logistic_slope(train, ml.fit_logistic(train, max_iter=1)) > 1e-3
+
+
+def test_shown_digits_are_those_of_the_stored_double(spark):
+    """0.81265 is stored a little below that tie, 0.00035 above its own; 0.03125 is a tie: to even."""
+    values = [0.81265, 0.76235, 0.00035, 0.03125, 1.0]
+    df = spark.createDataFrame([("m", *values)], "model string, accuracy double, precision double, recall double, "
+                               "f1 double, roc_auc double")
+    got = {r.value: r.shown for r in evaluate.comparison(df).collect()}
+    assert got == {v: f"{v:.4f}" for v in values}
