@@ -182,12 +182,14 @@ def kernel_density(df: DataFrame, by: str, value: str | Column, lo: float, hi: f
         gathered = sum((F.lit(float(hermite(k)[power])) * F.col(f"m{k}") for k in range(power, TERMS)
                         if hermite(k)[power]), F.lit(0.0))
         expansion = expansion * F.col("u") + gathered
+    # Bandwidths are worked out again here, and their sums may run in another order: the last digits
+    # of ``h`` can differ from those of the cells, so they are no part of the key.
     every = widths.select(by, "total", "h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
                           F.lit(0.0).alias("w"))
     return (cells.withColumn("point", F.explode(near)).withColumn("u", u)
             .select(by, "total", "h", "point", (expansion * C.normal_kernel(F.col("u"))).alias("w"))
             .unionByName(every)
-            .groupBy(by, "point", "total", "h").agg(F.sum("w").alias("w"))
+            .groupBy(by, "point").agg(F.sum("w").alias("w"), F.max("total").alias("total"), F.max("h").alias("h"))
             .select(by, "point", C.steady(at, 6).alias("at"),
                     C.steady(F.col("w") / (F.col("total") * F.col("h")), 6).alias("density")))
 

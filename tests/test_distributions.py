@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -88,6 +90,22 @@ def test_density_of_very_many_values_matches_direct_sum(spark, factor):
     assert [r.density for r in got] == pytest.approx(want, abs=1.5e-6)
 
 
+def test_densities_bear_sums_that_differ_in_their_last_digits(spark):
+    """Sums run in another order each time they are worked out again on a cluster: one row per point."""
+    @F.udf("double")
+    def shaken(v):
+        return v + 1e-12 * random.random()
+
+    rows = spark.range(500).select(F.lit("a").alias("g"), shaken.asNondeterministic()(F.col("id") / 7.0).alias("v"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = D.kernel_density(rows, "g", "v", 0, 100, 50, 0.2, ["a"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert sorted(r.point for r in got) == list(range(50))
+    assert all(r.density > 0 for r in got if r["at"] < 70)
+
+
 def test_correlations_use_pairwise_present_rows(spark):
     rng = np.random.default_rng(1)
     frame = pd.DataFrame(rng.normal(1000, 1, (200, 3)), columns=["a", "b", "c"])
