@@ -4,11 +4,12 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from kerbside.operators import attribution, boosting, evaluate, features, ml, score, split
+from kerbside.operators import attribution, boosting, evaluate, features, leaf_bits, ml, score, split
 from kerbside.plans import jobs
 from kerbside.schema import FEATURES, KEY, MODEL_FEATURES, SPLIT_COLUMNS
 from kerbside.sources import readers, sinks
@@ -236,6 +237,25 @@ def test_attributions_of_the_boosted_model_sum_to_raw_scores(spark, table, boost
     assert np.allclose(base + np.array([[sum(a) for a in v] for v in rows.attribution]), raw)
 
 
+def test_forest_scores_by_bit_sets_equal_the_models_own(spark, table, monkeypatch):
+    forest = ml.fit_forest(table.where("split = 'train'"), trees=9, depth=12, min_leaf=1)
+    assert isinstance(forest.stages[-1], RandomForestClassificationModel)
+    own, got = (scored.orderBy(*KEY).toPandas() for scored in (
+        score.add_probability(table, forest), jobs.scored_by(table, forest)))
+    assert np.abs(np.stack(own.probability) - np.stack(got.probability)).max() < 1e-12
+    plan = jobs.scored_by(table, forest)._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "VectorAssembler" not in plan
+
+
+def test_bit_sets_of_trees_with_many_leaves():
+    """Leaves fill several words, bounds lie on values, one tree is a single leaf."""
+    cuts = np.concatenate(([-np.inf], np.arange(150.0), [np.inf]))
+    many = {"lo": cuts[:-1, None], "hi": cuts[1:, None], "value": np.arange(151.0)[:, None]}
+    one = {"lo": np.array([[-np.inf]]), "hi": np.array([[np.inf]]), "value": np.array([[0.5]])}
+    x = np.array([[-3.0], [0.0], [0.1], [63.0], [63.5], [149.0], [1e9]])
+    assert leaf_bits.LeafBits([many, one]).raw(x).ravel().tolist() == [0.5, 0.5, 1.5, 63.5, 64.5, 149.5, 150.5]
+
+
 def test_attribution_in_parts_equals_one_pass(spark, table):
     forest = ml.fit_forest(table.where("split = 'train'"), trees=4, depth=3)
     nodes = attribution.forest_nodes(spark, forest.stages[-1])
