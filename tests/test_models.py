@@ -319,6 +319,27 @@ def test_weights_are_worked_out_once_per_leaf_and_mask(monkeypatch):
     assert asked == [2 + 4]
 
 
+@pytest.mark.parametrize("cells, axes", [(1, 0), (30, 1), (90, 2), (1 << 19, 3)])
+def test_attributions_by_grids_equal_the_definition(cells, axes, monkeypatch):
+    """Groups of rows alike in the other features take no path per row, whatever the axes."""
+    monkeypatch.setattr(attribution, "MAX_CELLS", cells)
+    rng = np.random.default_rng(5)
+    part = []
+    for n in (7, 9):
+        used = rng.random((n, 5)) < 0.7
+        a, b = rng.integers(0, 4, (n, 5)) / 2.0, rng.integers(4, 8, (n, 5)) / 2.0
+        part.append({"lo": np.where(used & (rng.random((n, 5)) < 0.7), a, -np.inf), "hi": np.where(used, b, np.inf),
+                     "share": np.where(used, rng.uniform(0.05, 0.9, (n, 5)), 1.0), "value": rng.random((n, 3))})
+    x = np.repeat(rng.integers(0, 9, (40, 5)) / 2.0, 3, axis=0)  # on the bounds as well
+    whole = {k: np.concatenate([b[k] for b in part]) for k in ("lo", "hi", "share", "value")}
+    table = attribution.GridTable(part)
+    assert len(table.axes) == axes
+    monkeypatch.setattr(attribution, "shapley", None)
+    got = attribution.grouped_shapley(x, part, table, least=1)
+    for row, values in zip(x, got):
+        assert np.allclose(values, brute_shapley(row, whole))
+
+
 def test_top_attributions(spark):
     df = spark.createDataFrame([(1, 2, [[0.0, 0.0]] * 2 + [[0.05, -0.3]], 7.0, 8.0)],
                                "id int, prediction int, attribution array<array<double>>, a double, b double")
