@@ -1,8 +1,10 @@
 import inspect
+import pickle
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -154,6 +156,15 @@ def test_boosting_does_not_depend_on_the_layout_of_the_rows(known, boosted):
     assert again.node_rows() == boosted.node_rows()
 
 
+def test_boosting_sends_splits_not_sums_to_the_driver(known, monkeypatch):
+    sent = []
+    real = RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda rdd: (sent.append(real(rdd)), sent[-1])[1])
+    boosting.fit_softmax(known, rounds=2, depth=4)
+    assert len(sent) >= 8
+    assert max(len(pickle.dumps(s)) for s in sent) < 300 * 3 * 8
+
+
 def test_boosting_stops_when_validation_no_longer_gains(spark):
     rng = np.random.default_rng(3)
     rows = [(float(rng.normal()), float(rng.normal()), int(rng.integers(0, 3)), bool(i % 4 == 0)) for i in range(600)]
