@@ -258,6 +258,19 @@ def test_forest_scores_by_bit_sets_equal_the_models_own(spark, table, monkeypatc
     assert "ArrowEvalPython" in plan and "VectorAssembler" not in plan
 
 
+def test_boosted_scores_do_not_walk_the_trees(table, boosted, monkeypatch):
+    rows = table.where("split = 'test'").toPandas()
+    raw = boosted.trees.raw(rows[MODEL_FEATURES].to_numpy(float))
+    trees = boosted.trees
+    bits = leaf_bits.heap_bits(trees.feature, trees.threshold, trees.value, len(boosted.features))
+    assert np.allclose(bits.raw(rows[MODEL_FEATURES].to_numpy(float)), raw, atol=1e-12)
+    sent = []
+    real = type(table.sparkSession.sparkContext).broadcast
+    monkeypatch.setattr(type(table.sparkSession.sparkContext), "broadcast", lambda sc, v: (sent.append(v), real(sc, v))[1])
+    boosting.add_boosted_probability(table, boosted)
+    assert [type(v) for v in sent] == [leaf_bits.LeafBits]
+
+
 def test_bit_sets_of_trees_with_many_leaves():
     """Leaves fill several words, bounds lie on values, one tree is a single leaf."""
     cuts = np.concatenate(([-np.inf], np.arange(150.0), [np.inf]))
