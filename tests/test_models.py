@@ -223,6 +223,24 @@ def test_fits_use_a_bounded_sample(spark):
     assert sorted(some.collect()) == sorted(boosting.bounded_sample(df.repartition(5), 2_000).collect())
 
 
+def test_rows_for_fits_are_drawn_before_the_deduplication(spark, sf_dir, tmp_path, monkeypatch):
+    """With five copies of every row the first two cuts leave too few training rows."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    for _ in range(5):
+        lines.write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    whole = jobs.training_table(spark, str(tmp_path))
+    shares = []
+    real = jobs.split_features
+    monkeypatch.setattr(jobs, "split_features", lambda *a, share=None: (share and shares.append(share), real(*a, share=share))[1])
+    some = jobs.fit_table(spark, str(tmp_path), lines.count() // 4)
+    assert shares == pytest.approx([0.15, 0.3, 0.6], abs=1e-3)
+    assert sorted(some.collect()) == sorted(whole.where(split.key_below(shares[-1])).collect())
+    assert some.where("split = 'train'").count() >= lines.count() // 4
+    below = jobs.split_features(spark, str(tmp_path), share=0.1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in below.split("Window")[-1]
+    assert jobs.fit_table(spark, sf_dir, 40_000).count() == jobs.training_table(spark, sf_dir).count()
+
+
 def test_gain_importance_is_a_share(boosted):
     shares = boosting.gain_importance(boosted)
     assert sum(shares) == pytest.approx(1.0) and min(shares) >= 0 and len(shares) == len(MODEL_FEATURES)
